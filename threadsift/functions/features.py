@@ -68,8 +68,8 @@ def is_long(length: Column, over: int) -> Column:
 
 
 def flag_is_set(flag: Column) -> Column:
-    """1 when the flag's whole part is 1, else 0; NULL and text give 0."""
-    return F.when(as_int(flag) == 1, 1).otherwise(0)
+    """1 when the flag's whole part is 1 or it is a JSON ``true``, else 0; NULL and text give 0."""
+    return F.when((as_int(flag) == 1) | (flag.cast("string") == "true"), 1).otherwise(0)
 
 
 def engagement_rate(score: Column, length: Column) -> Column:

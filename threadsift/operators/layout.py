@@ -10,6 +10,13 @@ REBALANCE = "rebalance"
 AS_READ = "as_read"
 
 
+def _adaptive(df: DataFrame) -> bool:
+    needed = ["spark.sql.adaptive.enabled"]
+    if df.isStreaming:
+        needed.append("spark.sql.adaptive.streaming.stateless.enabled")
+    return all(df.sparkSession.conf.get(key, "true").lower() == "true" for key in needed)
+
+
 def by_month(
     df: DataFrame,
     layout: str = REBALANCE,
@@ -31,7 +38,7 @@ def by_month(
     if layout != REBALANCE:
         raise ValueError(f"layout is {REBALANCE!r} or {AS_READ!r}, not {layout!r}")
     count = () if partitions is None else (partitions,)
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+    if _adaptive(df):
         return df.hint("rebalance", *count, *MONTH_KEY)
     salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(salts))
     return df.repartition(*count, *MONTH_KEY, salt)

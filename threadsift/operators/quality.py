@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadsift.operators.clean import CLEANING_RULES, CAST_RULES, INGEST_RULES, REJECT
+from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, INGEST_RULES, REJECT
 
 ROWS_READ = "rows_read"
 
@@ -20,22 +20,17 @@ def reject_counts(rules: tuple[str, ...]) -> list[Column]:
     ]
 
 
-def observed(tagged: DataFrame, rules: tuple[str, ...], name: str) -> tuple[DataFrame, Observation]:
-    """Counts rejects while the tagged rows pass; read the Observation after the action.
-
-    Place it in the stage that writes, above any shuffle: when an executor is lost Spark runs
-    its map tasks again and would count their rows twice, whereas each partition of the
-    last stage is counted exactly once.
-    """
-    observation = Observation(name)
-    return tagged.observe(observation, *reject_counts(rules)), observation
-
-
 def extraction_metrics(counts: dict) -> dict[str, int]:
     kept = counts[ROWS_READ] - sum(counts[r] for r in INGEST_RULES)
     return {"total_records": kept, **{r: counts[r] for r in INGEST_RULES}}
 
 
+def after_ingest(counts: dict) -> dict[str, int]:
+    """Counters of the transform stage, from a pass that applied the ingest rules as well."""
+    kept = counts[ROWS_READ] - sum(counts[r] for r in INGEST_RULES)
+    return {**counts, ROWS_READ: kept, **dict.fromkeys(INGEST_RULES, 0)}
+
+
 def transformation_metrics(counts: dict) -> dict[str, int]:
     initial = counts[ROWS_READ]
     cleaned = initial - sum(counts[r] for r in CLEANING_RULES)

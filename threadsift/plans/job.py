@@ -1,35 +1,27 @@
 """The full job: ingest, transform, persist, report.
 
 Each stage reads the table the stage before it has written, so a lost executor costs at most
-the running stage, and the feed is parsed once per stage.
+the running stage. The feed is parsed once, or twice when a copy is landed first.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators import views as v
-from threadsift.operators.clean import (
-    CAST_RULES,
-    CLEANING_RULES,
-    INGEST_RULES,
-    all_feed_columns,
-    feed_columns,
-    keep_tagged,
-    tag,
-    typed_columns,
-)
-from threadsift.operators.features import all_features, analytical_columns, month_columns
-from threadsift.operators.layout import REBALANCE, by_month
+from threadsift.operators.clean import INGEST_RULES, all_feed_columns, feed_columns, keep_tagged, tag
+from threadsift.operators.layout import REBALANCE
 from threadsift.operators.quality import (
     QualityMetrics,
+    after_ingest,
     extraction_metrics,
-    observed,
+    reject_counts,
     transformation_metrics,
 )
+from threadsift.operators.table import counted_table
 from threadsift.sources.limit import find_cut, read_to_cut
 from threadsift.sources.readers import read_analytical, read_feed, stored_bytes
 from threadsift.sources.writers import (
@@ -38,7 +30,7 @@ from threadsift.sources.writers import (
     write_feed_json,
     write_view_csv,
 )
-from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
+from threadsift.spec import DEFAULT, FeedSpec
 
 
 @dataclass(frozen=True)
@@ -47,6 +39,9 @@ class JobOptions:
     source_format: str = "json"
     fields: tuple[str, ...] | None = None
     limit: int | None = None
+    # Land a slim copy of the feed first. Worth its two extra passes for a source that is slow
+    # or will not stay; files already on shared storage go straight into the transform.
+    land: bool = False
     layout: str = REBALANCE
     partitions: int | None = None
     mode: str = "overwrite"
@@ -97,6 +92,37 @@ class JobResult:
         return self.ok
 
 
+@dataclass(frozen=True)
+class _Source:
+    """The feed behind a path: tagged by the ingest rules, or only the rows to keep."""
+
+    spark: SparkSession
+    path: str
+    options: JobOptions
+
+    def raw(self, paths: list[str] | None = None) -> DataFrame:
+        o = self.options
+        return read_feed(self.spark, paths or [self.path], o.source_format, o.spec, o.fields)
+
+    def tagged(self, paths: list[str] | None = None) -> DataFrame:
+        return tag(self.raw(paths), INGEST_RULES, self.options.spec, drop_empty=True)
+
+    def kept(self, paths: list[str] | None = None) -> DataFrame:
+        return keep_tagged(self.tagged(paths)).transform(feed_columns, self.options.spec)
+
+    def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, int]]:
+        """The first kept rows and the counters of the files they came from."""
+        cut = find_cut(self.tagged, self.raw().inputFiles(), limit)
+        rows = read_to_cut(self.kept, cut)
+        metrics = extraction_metrics(cut.counts)
+        metrics["total_records"] = min(metrics["total_records"], limit)
+        return self.kept().limit(0) if rows is None else rows, metrics
+
+
+def _megabytes(spark: SparkSession, path: str) -> float:
+    return round(stored_bytes(spark, path) / 1024 / 1024, 2)
+
+
 def ingest(
     spark: SparkSession,
     source: str,
@@ -108,29 +134,18 @@ def ingest(
 
     One pass without a shuffle. With a limit the counters cover the files that were read.
     """
-    spec = options.spec
-
-    def read_tagged(paths: list[str]) -> DataFrame:
-        raw = read_feed(spark, paths, options.source_format, spec, options.fields)
-        return tag(raw, INGEST_RULES, spec, drop_empty=True)
-
-    def read_kept(paths: list[str]) -> DataFrame:
-        return all_feed_columns(keep_tagged(read_tagged(paths)), spec)
-
+    feed = _Source(spark, source, options)
     if options.limit is None:
-        counted, observation = observed(read_tagged([source]), INGEST_RULES, "extraction")
-        write_feed_json(all_feed_columns(keep_tagged(counted), spec), landed)
+        observation = Observation("extraction")
+        counted = feed.tagged().observe(observation, *reject_counts(INGEST_RULES))
+        write_feed_json(all_feed_columns(keep_tagged(counted), options.spec), landed)
         metrics = extraction_metrics(observation.get)
     else:
-        files = read_feed(spark, source, options.source_format, spec, options.fields).inputFiles()
-        cut = find_cut(read_tagged, files, options.limit)
-        kept = read_to_cut(read_kept, cut)
-        write_feed_json(read_kept([source]).limit(0) if kept is None else kept, landed)
-        metrics = extraction_metrics(cut.counts)
-        metrics["total_records"] = min(metrics["total_records"], options.limit)
+        rows, metrics = feed.first_rows(options.limit)
+        write_feed_json(all_feed_columns(rows, options.spec), landed)
     if quality is not None:
         quality.add_metrics("extraction", metrics)
-        quality.add_metric("extraction", "file_size_mb", round(stored_bytes(spark, landed) / 1024 / 1024, 2))
+        quality.add_metric("extraction", "file_size_mb", _megabytes(spark, landed))
 
 
 def transform(
@@ -138,32 +153,24 @@ def transform(
     analytical: str,
     options: JobOptions = JobOptions(),
     quality: QualityMetrics | None = None,
+    unlanded: bool = False,
 ) -> tuple[str, ...]:
     """Raw feed to the stored analytical table, in one pass; returns its columns.
 
-    Only typed values, the month and the reject reason are computed before the shuffle by
-    month; counters and features come after it. Rows to drop travel along for that: they are
-    few, and placeholders are short.
+    With ``unlanded`` the ingest rules apply in the same pass, and both stages are reported.
     """
     spec = options.spec
-    rules = CLEANING_RULES + CAST_RULES
-    kept_fields = [c for c in (*spec.fields, CORRUPT) if c in raw.columns]
-    tagged = (
-        raw.select(*kept_fields)
-        .transform(typed_columns, spec)
-        .transform(month_columns)
-        .transform(tag, rules, spec)
-        .drop(spec.event_time, spec.score, CORRUPT)
-    )
-    salt = tuple(c for c in (spec.id, "created_utc_long") if c in tagged.columns)
-    placed = by_month(tagged, options.layout, options.partitions, salt)
-    counted, observation = observed(placed, rules, "transformation")
-    table = keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)
+    observation = Observation("transformation")
+    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions)
     write_analytical(table, analytical, options.mode)
     if quality is not None:
+        counts = observation.get
+        if unlanded:
+            quality.add_metrics("extraction", extraction_metrics(counts))
+            counts = after_ingest(counts)
         quality.add_schema("raw", feed_columns(raw, spec))
         quality.add_schema("analytical", table)
-        quality.add_metrics("transformation", transformation_metrics(observation.get))
+        quality.add_metrics("transformation", transformation_metrics(counts))
         quality.add_metric("transformation", "feature_columns", len(table.columns))
     return tuple(table.columns)
 
@@ -221,10 +228,20 @@ def run_job(
     The caller owns the session.
     """
     paths, quality = Paths(output.rstrip("/")), QualityMetrics()
+    feed = _Source(spark, source, options)
     try:
-        ingest(spark, source, paths.landed, options, quality)
-        raw = read_feed(spark, paths.landed, "json", options.spec, options.fields)
-        columns = transform(raw, paths.analytical, options, quality)
+        if options.land:
+            ingest(spark, source, paths.landed, options, quality)
+            raw = read_feed(spark, paths.landed, "json", options.spec, options.fields)
+            columns = transform(raw, paths.analytical, options, quality)
+        elif options.limit is not None:
+            rows, metrics = feed.first_rows(options.limit)
+            quality.add_metrics("extraction", metrics)
+            columns = transform(rows, paths.analytical, options, quality)
+        else:
+            columns = transform(feed.raw(), paths.analytical, options, quality, unlanded=True)
+        if not options.land:
+            quality.add_metric("extraction", "file_size_mb", _megabytes(spark, source))
         table = read_analytical(spark, paths.analytical, options.spec, columns)
         views = summarise(spark, table, paths.view_summary, options.spec)
         written = persist_views(views, paths, options)

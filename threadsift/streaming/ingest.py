@@ -1,7 +1,7 @@
 """Incremental ingest: new landed files in, cleaned rows out, each file once.
 
-Stateless filters and projections in append mode, so there is no state to keep, no watermark
-and no shuffle. The grouped views stay batch work over the landed table.
+Stateless filters and projections in append mode, so there is no state to keep and no
+watermark. The grouped views stay batch work over the landed table.
 """
 
 from __future__ import annotations
@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from threadsift.operators.clean import CLEANING_RULES, CAST_RULES, INGEST_RULES, all_feed_columns, keep_tagged, tag, typed_columns
-from threadsift.operators.features import all_features, analytical_columns
-from threadsift.operators.layout import MONTH_KEY
+from threadsift.operators.clean import INGEST_RULES, all_feed_columns, keep_tagged, tag
+from threadsift.operators.layout import MONTH_KEY, REBALANCE
 from threadsift.operators.quality import reject_counts
+from threadsift.operators.table import counted_table
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 COUNTERS = "stream_counters"
@@ -49,12 +49,14 @@ def stream_ingest_clean(raw: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
     return all_feed_columns(keep_tagged(counted), spec)
 
 
-def stream_analytical(raw: DataFrame, spec: FeedSpec = DEFAULT, drop_empty: bool = True) -> DataFrame:
-    """Ingest rules, conversions and features in one step, with counters."""
-    rules = CLEANING_RULES + CAST_RULES
-    tagged = tag(typed_columns(raw, spec), rules, spec, drop_empty=drop_empty)
-    counted = tagged.observe(COUNTERS, *reject_counts(rules))
-    return keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)
+def stream_analytical(
+    raw: DataFrame, spec: FeedSpec = DEFAULT, drop_empty: bool = True, layout: str = REBALANCE
+) -> DataFrame:
+    """Ingest rules, conversions and features in one step, with counters.
+
+    Each micro-batch is laid out by month as in the batch job, so it adds few files.
+    """
+    return counted_table(raw, COUNTERS, spec, drop_empty, layout)
 
 
 def start_landing(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -258,7 +258,8 @@ def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_job_views(spark: SparkSession, sf: str) -> DataFrame:
-    result = job.run_job(spark, _landed_feed(spark, sf), scratch_folder(spark, "job"))
+    options = job.JobOptions(land=True)
+    result = job.run_job(spark, _landed_feed(spark, sf), scratch_folder(spark, "job"), options)
     if not result.ok:
         raise result.error
     views = v.views_of_summary(spark.read.parquet(result.paths.view_summary))
