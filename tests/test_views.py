@@ -1,0 +1,167 @@
+"""Views, ties, top-k, chart tables and the invariants that tie them together."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMALL, plan_of
+from threadsift.operators import features as f
+from threadsift.operators import views as v
+from workload.feed import comment_feed
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("views") / "table")
+    f.analytical_table(comment_feed(spark, SMALL)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def views(table):
+    return {name: view.collect() for name, view in v.all_views(table).items()}
+
+
+def test_columns_and_types(table):
+    types = {name: view.dtypes for name, view in v.all_views(table).items()}
+    assert types[v.TOP_GROUPS] == [
+        ("subreddit", "string"),
+        ("total_comments", "bigint"),
+        ("avg_score", "double"),
+        ("avg_comment_length", "double"),
+        ("total_score", "double"),
+        ("avg_engagement", "double"),
+    ]
+    assert types[v.HOURLY] == [("hour", "int"), ("comments", "bigint"), ("avg_score", "double")]
+    assert types[v.SENTIMENT] == [("sentiment_proxy", "string"), ("count", "bigint")]
+    assert types[v.ENGAGEMENT] == [
+        ("subreddit", "string"),
+        ("avg_engagement", "double"),
+        ("controversial_count", "bigint"),
+        ("avg_words", "double"),
+    ]
+
+
+def test_every_row_is_in_each_view_once(table, views):
+    rows = table.count()
+    assert sum(r["comments"] for r in views[v.HOURLY]) == rows
+    assert sum(r["count"] for r in views[v.SENTIMENT]) == rows
+    assert sum(r["total_comments"] for r in views[v.TOP_GROUPS]) == rows
+    assert {r["subreddit"] for r in views[v.TOP_GROUPS]} == {r["subreddit"] for r in views[v.ENGAGEMENT]}
+
+
+def test_total_is_count_times_average(views):
+    for r in views[v.TOP_GROUPS]:
+        assert math.isclose(r["total_score"] / r["total_comments"], r["avg_score"], abs_tol=1e-10)
+
+
+def test_null_group_is_its_own_group(views):
+    assert [r["subreddit"] for r in views[v.TOP_GROUPS]].count(None) == 1
+
+
+def test_orders(views):
+    def key(r):
+        return (r["subreddit"] is None, r["subreddit"] or "")
+
+    top, eng = views[v.TOP_GROUPS], views[v.ENGAGEMENT]
+    assert top == sorted(top, key=lambda r: (-r["total_comments"], key(r)))
+    assert eng == sorted(eng, key=lambda r: (-r["avg_engagement"], key(r)))
+    assert [r["hour"] for r in views[v.HOURLY]] == list(range(24))
+    counts = [r["count"] for r in views[v.SENTIMENT]]
+    assert counts == sorted(counts, reverse=True)
+
+
+def test_against_plain_python(table, views):
+    rows = table.collect()
+    for r in views[v.ENGAGEMENT]:
+        mine = [x for x in rows if x["subreddit"] == r["subreddit"]]
+        assert r["controversial_count"] == sum(x["is_controversial"] for x in mine)
+        assert math.isclose(r["avg_words"], sum(x["word_count"] for x in mine) / len(mine))
+        assert math.isclose(
+            r["avg_engagement"], sum(x["engagement_rate"] for x in mine) / len(mine), abs_tol=1e-12
+        )
+
+
+def test_ties_follow_the_key_with_null_last(feed):
+    keys = ["b", None, "a", "c", "", "B"]
+    rows = f.analytical_table(feed(*[{"subreddit": k} for k in keys]).repartition(6))
+    want = ["", "B", "a", "b", "c", None]
+    for view in (v.top_groups(rows), v.engagement(rows)):
+        assert [r["subreddit"] for r in view.collect()] == want
+        assert [r["subreddit"] for r in view.limit(3).collect()] == want[:3]
+
+
+def test_null_hour_comes_first(feed):
+    rows = f.analytical_table(feed({"created_utc": str(2**62)}, {}))
+    assert [r["hour"] for r in v.hourly_activity(rows).collect()] == [None, 0]
+
+
+def test_summary_gives_the_same_views(spark, table, views, tmp_path):
+    path = str(tmp_path / "summary")
+    v.view_summary(table).write.parquet(path)
+    for name, view in v.views_of_summary(spark.read.parquet(path)).items():
+        assert view.columns == list(views[name][0].asDict())
+        for got, want in zip(view.collect(), views[name], strict=True):
+            for a, b in zip(got, want, strict=True):
+                assert a == b or math.isclose(a, b, rel_tol=1e-12)
+
+
+def test_summary_keeps_null_keys_apart_from_rolled_up_keys(feed):
+    rows = f.analytical_table(feed({"subreddit": None}, {"subreddit": "a"}, {"created_utc": str(2**62)}))
+    views = v.views_of_summary(v.view_summary(rows))
+    assert [(r["subreddit"], r["total_comments"]) for r in views[v.TOP_GROUPS].collect()] == [
+        ("a", 1),
+        ("g", 1),
+        (None, 1),
+    ]
+    assert [(r["hour"], r["comments"]) for r in views[v.HOURLY].collect()] == [(None, 1), (0, 2)]
+
+
+def test_summary_reads_the_table_once_and_without_texts(table):
+    plan = plan_of(v.view_summary(table))
+    assert plan.count("Scan parquet") == 2  # once in the tree, once in its details
+    schema = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
+    assert "body" not in schema and "author" not in schema
+
+
+def test_top_k_is_one_operator_without_a_global_sort(table):
+    for view in (v.top_groups(table), v.engagement(table)):
+        plan = plan_of(v.dashboard_rows(view))
+        assert "TakeOrderedAndProject" in plan
+        assert "rangepartitioning" not in plan
+
+
+def test_views_aggregate_before_their_shuffle(table):
+    plan = plan_of(v.top_groups(table), "simple")
+    assert "partial_count" in plan.split("Exchange hashpartitioning")[-1]
+
+
+def test_chart_tables(spark):
+    top = spark.createDataFrame([(f"g{i:02}", 100 - i) for i in range(30)], "subreddit string, total_comments long")
+    assert v.chart_top_groups(top.orderBy(F.desc("total_comments"))).count() == 20
+    # counts whose published shares are 85.2, 13.7 and 1.1
+    counts = [("neutral", 2555681), ("positive", 412000), ("negative", 32319)]
+    shares = v.chart_sentiment_share(spark.createDataFrame(counts, "sentiment_proxy string, count long"))
+    assert {r[0]: r["share_percent"] for r in shares.collect()} == {
+        "neutral": 85.2,
+        "positive": 13.7,
+        "negative": 1.1,
+    }
+
+
+def test_one_group_with_most_rows(spark, feed):
+    rng = random.Random(7)
+    rows = [
+        {"subreddit": "hot" if rng.random() < 0.6 else f"g{rng.randrange(40)}", "score": str(rng.randrange(-9, 30))}
+        for _ in range(3000)
+    ]
+    table = f.analytical_table(feed(*rows).repartition(8))
+    got = {r["subreddit"]: (r["total_comments"], r["total_score"]) for r in v.top_groups(table).collect()}
+    want: dict = {}
+    for r in rows:
+        n, s = want.get(r["subreddit"], (0, 0.0))
+        want[r["subreddit"]] = (n + 1, s + float(r["score"]))
+    assert got == want
+    assert v.top_groups(table).first()["subreddit"] == "hot"
