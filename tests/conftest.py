@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(base / "shared"))
+        .config("spark.local.dir", str(base / "local"))
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .getOrCreate()
     )

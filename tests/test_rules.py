@@ -2,6 +2,8 @@
 
 import datetime as dt
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -212,3 +214,35 @@ def test_roles_are_parameters(spark):
     row = f.analytical_table(df, spec).first()
     assert (row["room"], row["message"], row["word_count"]) == ("lobby", "hello world", 2)
     assert (row["sentiment_proxy"], row["is_controversial"]) == ("positive", 1)
+
+
+def test_text_rules_on_random_texts(spark):
+    rng = random.Random(11)
+    alphabet = ["a", "B", " ", "  ", "\t", "\n", "\r\n", "\x0b", "\f", "\u00a0", "\u2003", "é", "\U0001f600", "[deleted]"]
+    texts = {"".join(rng.choices(alphabet, k=rng.randrange(12))) for _ in range(3000)}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "body string")
+    rows = f.text_features(df).withColumn("dropped", c.is_placeholder(F.col("body"), ("[deleted]",))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["comment_length"] == len(r["body"])
+        assert r["word_count"] == len(re.split("[ \t\n\x0b\f\r]+", r["body"]))
+        assert r["dropped"] == (r["body"].lower() == "[deleted]")
+
+
+def test_result_does_not_depend_on_ansi_mode(spark, feed):
+    def table():
+        rows = feed(
+            {"score": "bad"},
+            {"score": "1e3", "created_utc": "1325376000.7"},
+            {"created_utc": "99999999999999999"},
+            {"controversiality": "x"},
+            {"controversiality": "1.0", "body": ""},
+        )
+        return sorted(map(repr, f.analytical_table(rows).collect()))
+
+    with_ansi = table()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert table() == with_ansi and len(with_ansi) == 4
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

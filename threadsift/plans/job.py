@@ -6,8 +6,11 @@ the running stage. The feed is parsed once, or twice when a copy is landed first
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ from threadsift.sources.limit import find_cut, read_to_cut
 from threadsift.sources.readers import read_analytical, read_feed, stored_bytes
 from threadsift.sources.writers import (
     write_analytical,
+    write_chart_table,
     write_dashboard_json,
     write_feed_json,
     write_view_csv,
@@ -33,6 +37,9 @@ from threadsift.sources.writers import (
 from threadsift.spec import DEFAULT, FeedSpec
 
 
+_WRITES_AT_ONCE = 4
+
+
 @dataclass(frozen=True)
 class JobOptions:
     spec: FeedSpec = DEFAULT
@@ -194,16 +201,26 @@ def chart_tables(views: dict[str, DataFrame], spec: FeedSpec = DEFAULT) -> dict[
 def persist_views(
     views: dict[str, DataFrame], paths: Paths, options: JobOptions = JobOptions()
 ) -> dict[str, int]:
-    """CSV summaries, dashboard JSON and chart tables; returns how many of each."""
+    """CSV summaries, dashboard JSON and chart tables; returns how many of each.
+
+    The writes are small and independent, so a few run side by side.
+    """
     spec = options.spec
+    writes = []
     for name, view in views.items():
         files = 1 if name in v.BOUNDED_VIEWS else options.group_view_files
-        write_view_csv(view, paths.summary(name), files)
-        head = v.dashboard_rows(view)
-        write_dashboard_json(head, v.view_order(name, spec), paths.dashboard(name))
+        head, order = v.dashboard_rows(view), v.view_order(name, spec)
+        writes.append(partial(write_view_csv, view, paths.summary(name), files))
+        writes.append(partial(write_dashboard_json, head, order, paths.dashboard(name)))
     charts = chart_tables(views, spec)
     for name, chart in charts.items():
-        chart.coalesce(1).write.mode("overwrite").parquet(paths.chart(name))
+        writes.append(partial(write_chart_table, chart, paths.chart(name)))
+    # job group, tags and other local properties of the caller hold for the writes too
+    inherit = inheritable_thread_target(views[v.HOURLY].sparkSession)
+    with ThreadPoolExecutor(_WRITES_AT_ONCE) as pool:
+        running = [pool.submit(inherit(write)) for write in writes]
+    for write in running:
+        write.result()
     return {"csv_files": len(views), "visualizations": len(charts)}
 
 

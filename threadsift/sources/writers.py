@@ -62,6 +62,11 @@ def write_dashboard_json(rows: DataFrame, order: list, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_chart_table(chart: DataFrame, path: str) -> None:
+    """A chart's rows, at most a few dozen."""
+    chart.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def write_json_document(spark: SparkSession, document: dict, path: str) -> None:
     """A small driver-side document, written where the cluster can see it."""
     text = json.dumps(document, indent=2)
