@@ -34,7 +34,7 @@ def _dirty(number: Column, dirt: dict, clean: Column) -> Column:
 
 
 def comment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw feed: eight fields, score and time as text."""
+    """The raw feed: eight fields, all as text."""
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     documents = read("documents").select("doc_id", "text", "lang", "source")
     events = read("events").select(F.col("event_id").alias("doc_id"), "ts", "user_id", "value")
@@ -53,6 +53,6 @@ def comment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         DEFAULT.group: _dirty(n, DIRTY_GROUP, F.col("source")),
         DEFAULT.group_id: F.col("lang"),
         DEFAULT.author: F.concat(F.lit("u"), F.col("user_id").cast("string")),
-        DEFAULT.flag: F.col("toxic"),
+        DEFAULT.flag: F.col("toxic").cast("string"),
     }
     return joined.select(*[c.alias(name) for name, c in values.items()])

@@ -21,7 +21,7 @@ feed AS (
          CASE WHEN d.doc_id % 67 = 0 THEN NULL ELSE d.source END AS subreddit,
          d.lang AS subreddit_id,
          'u' || CAST(e.user_id AS VARCHAR) AS author,
-         l.toxic AS controversiality
+         CAST(l.toxic AS VARCHAR) AS controversiality
   FROM documents d
   JOIN events e ON e.event_id = d.doc_id
   JOIN orders o ON o.o_orderkey = d.doc_id
@@ -63,7 +63,7 @@ analytical AS (
          CAST(dayofweek(created_ts) + 1 AS INTEGER) AS day_of_week,
          score_num, comment_length, word_count,
          CASE WHEN comment_length > 500 THEN 1 ELSE 0 END AS is_long_comment,
-         CASE WHEN controversiality = 1 THEN 1 ELSE 0 END AS is_controversial,
+         CASE WHEN controversiality = '1' THEN 1 ELSE 0 END AS is_controversial,
          score_num / (comment_length + 1) AS engagement_rate,
          CASE WHEN score_num > 5 THEN 'positive' WHEN score_num < -5 THEN 'negative' ELSE 'neutral' END
            AS sentiment_proxy,
@@ -107,10 +107,9 @@ _MEASURES = """count(*) AS row_count, round(avg(score_num), 9) AS avg_score,
   round(avg(engagement_rate), 9) AS avg_engagement,
   CAST(sum(is_controversial) AS BIGINT) AS controversial_count, round(avg(word_count), 9) AS avg_words"""
 
-_SUMMARY = f"""SELECT 'subreddit' AS grouped_by, subreddit, CAST(NULL AS INTEGER) AS hour,
-  CAST(NULL AS VARCHAR) AS sentiment_proxy, {_MEASURES} FROM analytical GROUP BY subreddit
-UNION ALL SELECT 'hour', NULL, hour, NULL, {_MEASURES} FROM analytical GROUP BY hour
-UNION ALL SELECT 'sentiment_proxy', NULL, NULL, sentiment_proxy, {_MEASURES} FROM analytical GROUP BY sentiment_proxy"""
+_SUMMARY = f"""SELECT 'subreddit' AS grouped_by, subreddit AS key, {_MEASURES} FROM analytical GROUP BY subreddit
+UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), {_MEASURES} FROM analytical GROUP BY hour
+UNION ALL SELECT 'sentiment_proxy', sentiment_proxy, {_MEASURES} FROM analytical GROUP BY sentiment_proxy"""
 
 # The job's cleaning stage reads what ingest has landed, so empty texts are gone there.
 _JOB_FULL = ",".join((_FEED, _INGESTED, _CLEANED.replace("FROM feed", "FROM ingested"), _TYPED, _ANALYTICAL))
@@ -139,9 +138,6 @@ UNION ALL SELECT 'persistence', 'parquet_months', count(DISTINCT year * 100 + mo
 UNION ALL SELECT 'persistence', 'csv_files', 4.0
 UNION ALL SELECT 'persistence', 'visualizations', 3.0"""
 
-_RAW_TEXT = """SELECT id, body, score, created_utc, subreddit, subreddit_id, author,
-  CAST(controversiality AS VARCHAR) AS controversiality"""
-
 ORACLE: dict[str, str] = {
     "ingest_clean": _with(f"{_FEED},{_INGESTED}", "SELECT * FROM ingested"),
     "ingest_counters": _with(
@@ -156,12 +152,12 @@ FROM feed""",
         f"""SELECT least({LIMIT_ROWS}, count(*)) AS kept_rows, least({LIMIT_ROWS}, count(DISTINCT id)) AS distinct_ids,
   CAST(0 AS BIGINT) AS dirty_rows FROM ingested""",
     ),
-    "stream_ingest_clean": _with(f"{_FEED},{_INGESTED}", f"{_RAW_TEXT} FROM ingested"),
+    "stream_ingest_clean": _with(f"{_FEED},{_INGESTED}", "SELECT * FROM ingested"),
     "stream_analytical": _with(
         _JOB_FULL,
         """SELECT id, created_utc_long, year, month, score_num, word_count, sentiment_proxy, body FROM analytical""",
     ),
-    "jsonl_roundtrip": _with(_FEED, f"{_RAW_TEXT} FROM feed"),
+    "jsonl_roundtrip": _with(_FEED, "SELECT * FROM feed"),
     "json_missing_columns": _with(
         f"{_FEED},{_CLEANED}",
         """SELECT id, subreddit, CAST(0 AS DOUBLE) AS score_num, 0 AS is_controversial,

@@ -197,7 +197,10 @@ def engagement_50(spark: SparkSession, sf: str) -> DataFrame:
 
 def view_summary(spark: SparkSession, sf: str) -> DataFrame:
     summary = v.view_summary(_analytical(spark, sf))
-    return _rounded(summary, "avg_score", "avg_comment_length", "avg_engagement", "avg_words")
+    key = F.coalesce("subreddit", F.col("hour").cast("string"), "sentiment_proxy").alias("key")
+    measures = summary.columns[summary.columns.index("row_count") :]
+    keyed = summary.select("grouped_by", key, *measures)
+    return _rounded(keyed, "avg_score", "avg_comment_length", "avg_engagement", "avg_words")
 
 
 def chart_top20(spark: SparkSession, sf: str) -> DataFrame:
