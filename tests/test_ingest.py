@@ -1,11 +1,12 @@
 """Batch ingest, the row limit and the stream, against each other and brute force."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import SMALL, plan_of
 from threadsift.operators import clean as c
 from threadsift.operators import features as f
 from threadsift.plans import job
@@ -52,13 +53,39 @@ def tagged(spark):
 @pytest.mark.parametrize("limit", [1, 2, 3, 4, 6, 7, 8, 11, 12, 13, 100])
 def test_limit_takes_the_first_files(spark, folder, limit):
     cut = find_cut(tagged(spark), read_feed(spark, folder).inputFiles(), limit)
-    rows = read_to_cut(lambda files: c.keep_tagged(tagged(spark)(files)), cut)
+    rows = read_to_cut(spark, lambda files: c.keep_tagged(tagged(spark)(files)), cut)
     got = [r["id"] for r in rows.collect()]
     assert len(got) == len(set(got)) == min(limit, 12)
     whole = 0 if limit < 3 else 3 if limit < 7 else 7 if limit < 12 else 12
     assert {f"k{i}" for i in range(whole)} <= set(got)
 
 
+@pytest.mark.parametrize("limit", [1, 9, 10, 11, 25, 99, 100, 150])
+def test_limit_inside_a_large_file_goes_by_pieces(spark, tmp_path, limit):
+    write_file(tmp_path / "one.json", [{"id": f"k{i}", "body": f"text {i}"} for i in range(100)])
+    read = lambda files: c.keep_tagged(tagged(spark)(files))
+    cut = find_cut(tagged(spark), read_feed(spark, str(tmp_path / "one.json")).inputFiles(), limit)
+    rows = read_to_cut(spark, read, cut, rows_per_limit=10)
+    got = [r["id"] for r in rows.collect()]
+    assert len(got) == len(set(got)) == min(limit, 100)
+    limits = [int(n) for n in re.findall(r"GlobalLimit (\d+)", plan_of(rows, "simple"))]
+    assert all(n <= 10 for n in limits)
+
+
+def test_limit_inside_a_file_read_in_many_splits(spark, tmp_path):
+    write_file(tmp_path / "one.json", [{"id": f"k{i}", "body": "x" * 100} for i in range(2000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        read = lambda files: c.keep_tagged(tagged(spark)(files))
+        cut = find_cut(tagged(spark), read_feed(spark, str(tmp_path / "one.json")).inputFiles(), 1234)
+        for bound in (100, 10_000):
+            got = [r["id"] for r in read_to_cut(spark, read, cut, bound).collect()]
+            assert len(got) == len(set(got)) == 1234
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @pytest.mark.parametrize("limit", [0, -1])
 def test_limit_must_be_positive(spark, folder, limit):
     with pytest.raises(ValueError, match="positive"):

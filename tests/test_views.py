@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL, plan_of
 from threadsift.operators import features as f
 from threadsift.operators import views as v
+from threadsift.sources.writers import write_view_summary
 from workload.feed import comment_feed
 
 
@@ -100,7 +101,7 @@ def test_null_hour_comes_first(feed):
 
 def test_summary_gives_the_same_views(spark, table, views, tmp_path):
     path = str(tmp_path / "summary")
-    v.view_summary(table).write.parquet(path)
+    write_view_summary(v.view_summary(table), path)
     for name, view in v.views_of_summary(spark.read.parquet(path)).items():
         assert view.columns == list(views[name][0].asDict())
         for got, want in zip(view.collect(), views[name], strict=True):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, keep_tagged, tag, typed_columns
+from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, REJECT, keep_tagged, tag, typed_columns
 from threadsift.operators.features import all_features, analytical_columns, month_columns
 from threadsift.operators.layout import REBALANCE, by_month
 from threadsift.operators.quality import reject_counts
@@ -24,10 +25,10 @@ def counted_table(
     """The analytical table laid out by month, its rejects counted on the way.
 
     Only typed values, the month and the reject reason are computed before the shuffle by
-    month; counters and features come after it. Rows to drop travel along for that: they
-    are few, and placeholders are short. The counters have to sit there: when an
-    executor is lost Spark runs its map tasks again and would count their rows twice,
-    whereas each partition of the writing stage is counted exactly once.
+    month; counters and features come after it. Rows to drop travel along for that, without
+    their text. The counters have to sit there: when an executor is lost Spark runs its map
+    tasks again and would count their rows twice, whereas each partition of the writing
+    stage is counted exactly once.
     """
     carried = [c for c in (*spec.fields, CORRUPT) if c in raw.columns]
     tagged = (
@@ -35,6 +36,7 @@ def counted_table(
         .transform(typed_columns, spec)
         .transform(month_columns)
         .transform(tag, RULES, spec, drop_empty=drop_empty)
+        .withColumn(spec.text, F.when(F.col(REJECT).isNull(), F.col(spec.text)))
         .drop(spec.event_time, spec.score, CORRUPT)
     )
     salt = tuple(c for c in (spec.id, spec.text) if c in tagged.columns)

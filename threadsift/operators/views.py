@@ -109,7 +109,7 @@ def all_views(df: DataFrame, spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:
 
 # --- all views from one scan ------------------------------------------------------------
 
-_SET = "grouped_by"
+GROUPED_BY = "grouped_by"
 
 
 def view_summary(df: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
@@ -125,12 +125,12 @@ def view_summary(df: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
     grouped = df.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
         F.grouping_id().cast("int").alias("_set"), *[m.alias(n) for n, m in _measures().items()]
     )
-    return grouped.select(name[F.col("_set")].alias(_SET), *keys, *_measures())
+    return grouped.select(name[F.col("_set")].alias(GROUPED_BY), *keys, *_measures())
 
 
 def views_of_summary(summary: DataFrame, spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:
     return {
-        v: summary.filter(F.col(_SET) == _key(v, spec))
+        v: summary.filter(F.col(GROUPED_BY) == _key(v, spec))
         .select(*[F.col(m).alias(name) for name, m in _columns(v, spec)])
         .orderBy(*view_order(v, spec))
         for v in VIEWS

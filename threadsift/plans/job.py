@@ -33,6 +33,7 @@ from threadsift.sources.writers import (
     write_dashboard_json,
     write_feed_json,
     write_view_csv,
+    write_view_summary,
 )
 from threadsift.spec import DEFAULT, FeedSpec
 
@@ -120,7 +121,7 @@ class _Source:
     def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, int]]:
         """The first kept rows and the counters of the files they came from."""
         cut = find_cut(self.tagged, self.raw().inputFiles(), limit)
-        rows = read_to_cut(self.kept, cut)
+        rows = read_to_cut(self.spark, self.kept, cut)
         metrics = extraction_metrics(cut.counts)
         metrics["total_records"] = min(metrics["total_records"], limit)
         return self.kept().limit(0) if rows is None else rows, metrics
@@ -186,8 +187,9 @@ def summarise(
     spark: SparkSession, analytical: DataFrame, summary_path: str, spec: FeedSpec = DEFAULT
 ) -> dict[str, DataFrame]:
     """The four views from one scan of the stored table, by way of a small written summary."""
-    v.view_summary(analytical, spec).write.mode("overwrite").parquet(summary_path)
-    return v.views_of_summary(spark.read.parquet(summary_path), spec)
+    summary = v.view_summary(analytical, spec)
+    write_view_summary(summary, summary_path)
+    return v.views_of_summary(spark.read.schema(summary.schema).parquet(summary_path), spec)
 
 
 def chart_tables(views: dict[str, DataFrame], spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:

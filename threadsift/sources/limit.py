@@ -4,7 +4,8 @@
 to a single task and takes ``n`` there. A task holds fewer rows than a usual ``n``, so the
 whole feed would be read and shuffled. Here files are counted a few at a time,
 in name order, until they hold enough rows. Files before the cut are read whole; only rows of
-the one file at the cut pass through a limit.
+the one file at the cut pass through a limit. When that would be many rows, the file is first
+written out in small pieces and the same is done with those.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators.clean import INGEST_RULES, REJECT
 from threadsift.operators.quality import ROWS_READ, reject_counts
+from threadsift.sources.scratch import scratch_folder
 
 # Files counted per step: 1, 4, 16, ... up to this many, which bounds each result fetched.
 _MOST_FILES_PER_STEP = 4096
@@ -40,7 +42,10 @@ def _file_key(uri: str) -> str:
 
 
 def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], rows: int) -> Cut:
-    """Where the first ``rows`` kept rows end, over files in name order."""
+    """Where the first ``rows`` kept rows end, over files in name order.
+
+    ``files`` are names as ``DataFrame.inputFiles`` gives them.
+    """
     if rows <= 0:
         raise ValueError("the row limit must be positive; leave it out to read everything")
     waiting = sorted(unquote(f) for f in files)
@@ -75,10 +80,36 @@ def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], ro
     return Cut(tuple(whole), None, 0, counts)
 
 
-def read_to_cut(read_kept: Callable[[list[str]], DataFrame], cut: Cut) -> DataFrame | None:
-    """The rows up to the cut; None when no file holds a row."""
+def read_to_cut(
+    spark: SparkSession,
+    read_kept: Callable[[list[str]], DataFrame],
+    cut: Cut,
+    rows_per_limit: int = 1_000_000,
+) -> DataFrame | None:
+    """The rows up to the cut; None when no file holds a row.
+
+    At most ``rows_per_limit`` rows pass through one task.
+    """
     whole = read_kept(list(cut.whole)) if cut.whole else None
-    rest = read_kept([cut.cut]).limit(cut.rows_of_cut) if cut.cut and cut.rows_of_cut else None
+    rest = None
+    if cut.cut is not None and cut.rows_of_cut > rows_per_limit:
+        rest = _first_of_large_file(spark, read_kept([cut.cut]), cut.rows_of_cut, rows_per_limit)
+    elif cut.cut is not None:
+        rest = read_kept([cut.cut]).limit(cut.rows_of_cut)
     if whole is None or rest is None:
         return rest if whole is None else whole
     return whole.unionByName(rest)
+
+
+def _first_of_large_file(spark: SparkSession, kept: DataFrame, rows: int, rows_per_limit: int) -> DataFrame:
+    staged = scratch_folder(spark, "cut")
+    kept.write.option("maxRecordsPerFile", rows_per_limit).parquet(staged)
+
+    def read(files: list[str]) -> DataFrame:
+        return spark.read.schema(kept.schema).parquet(*files)
+
+    def read_tagged(files: list[str]) -> DataFrame:
+        return read(files).withColumn(REJECT, F.lit(None).cast("string"))
+
+    pieces = find_cut(read_tagged, read([staged]).inputFiles(), rows)
+    return read_to_cut(spark, read, pieces, rows_per_limit)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from threadsift.functions import json_double
 from threadsift.operators.layout import MONTH_KEY
+from threadsift.operators.views import GROUPED_BY
 
 OVERWRITE_MONTHS = "overwrite_months"
 
@@ -36,6 +37,11 @@ def write_analytical(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer.parquet(path)
 
 
+def write_view_summary(summary: DataFrame, path: str) -> None:
+    """The summary behind all views; a view reads only the folder of its own key."""
+    summary.write.mode("overwrite").partitionBy(GROUPED_BY).parquet(path)
+
+
 def write_view_csv(view: DataFrame, path: str, files: int | None = None) -> None:
     """A summary as CSV with header, in the view's order.
 

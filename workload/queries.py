@@ -77,7 +77,7 @@ def ingest_limit(spark: SparkSession, sf: str) -> DataFrame:
     tagged = lambda files: c.tag(read_feed(spark, files), c.INGEST_RULES, drop_empty=True)
     kept = lambda files: c.keep_tagged(tagged(files))
     cut = find_cut(tagged, read_feed(spark, path).inputFiles(), LIMIT_ROWS)
-    rows = read_to_cut(kept, cut)
+    rows = read_to_cut(spark, kept, cut)
     return rows.agg(
         F.count(F.lit(1)).alias("kept_rows"),
         F.count_distinct("id").alias("distinct_ids"),
