@@ -171,3 +171,10 @@ def test_stream_of_parquet(spark, tmp_path):
     stream = s.stream_feed(spark, source, "parquet", parquet_schema=feed.schema)
     s.finish(s.start_landing(s.stream_ingest_clean(stream), str(tmp_path / "out"), str(tmp_path / "cp")))
     assert read_feed(spark, str(tmp_path / "out")).count() == c.ingest_clean(feed).count()
+
+
+def test_stream_bounded_by_bytes(spark, folder, tmp_path):
+    stream = s.stream_ingest_clean(s.stream_feed(spark, folder, bytes_per_batch=300))
+    query = s.start_landing(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert s.finish(query) == {"rows_read": 26, **DROPPED}
+    assert len(query.recentProgress) > 2

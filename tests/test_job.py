@@ -112,6 +112,7 @@ def test_job_with_limit(spark, source, tmp_path, land):
     assert result, result.error
     metrics = result.quality.metrics
     assert metrics["extraction"]["total_records"] == 60
+    assert 0 < metrics["extraction"]["file_size_mb"] < 1
     assert metrics["transformation"]["initial_records"] == 60
     stored = read_analytical(spark, result.paths.analytical)
     assert stored.count() == metrics["transformation"]["final_records"] <= 60

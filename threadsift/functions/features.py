@@ -42,7 +42,7 @@ def is_placeholder(text: Column, placeholders: Sequence[str]) -> Column:
     if not placeholders:
         return F.when(text.isNotNull(), F.lit(False))
     longest = 4 * max(len(p) for p in placeholders)
-    return (F.octet_length(text) <= longest) & F.lower(text).isin(*placeholders)
+    return (F.octet_length(text) <= longest) & F.lower(text).isin(*[p.lower() for p in placeholders])
 
 
 def text_length(text: Column) -> Column:

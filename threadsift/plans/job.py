@@ -118,16 +118,17 @@ class _Source:
     def kept(self, paths: list[str] | None = None) -> DataFrame:
         return keep_tagged(self.tagged(paths)).transform(feed_columns, self.options.spec)
 
-    def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, int]]:
-        """The first kept rows and the counters of the files they came from."""
+    def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, float]]:
+        """The first kept rows and the metrics of the files they came from."""
         cut = find_cut(self.tagged, self.raw().inputFiles(), limit)
         rows = read_to_cut(self.spark, self.kept, cut)
         metrics = extraction_metrics(cut.counts)
         metrics["total_records"] = min(metrics["total_records"], limit)
+        metrics["file_size_mb"] = _megabytes(self.spark, cut.files) if cut.files else 0.0
         return self.kept().limit(0) if rows is None else rows, metrics
 
 
-def _megabytes(spark: SparkSession, path: str) -> float:
+def _megabytes(spark: SparkSession, path: str | list[str]) -> float:
     return round(stored_bytes(spark, path) / 1024 / 1024, 2)
 
 
@@ -259,7 +260,6 @@ def run_job(
             columns = transform(rows, paths.analytical, options, quality)
         else:
             columns = transform(feed.raw(), paths.analytical, options, quality, unlanded=True)
-        if not options.land:
             quality.add_metric("extraction", "file_size_mb", _megabytes(spark, source))
         table = read_analytical(spark, paths.analytical, options.spec, columns)
         views = summarise(spark, table, paths.view_summary, options.spec)

@@ -35,6 +35,10 @@ class Cut:
     rows_of_cut: int
     counts: dict[str, int]
 
+    @property
+    def files(self) -> list[str]:
+        return [*self.whole, self.cut] if self.cut else list(self.whole)
+
 
 def _file_key(uri: str) -> str:
     # The file list says file:///a, the file column file:/a.

@@ -62,8 +62,8 @@ def read_dashboard_json(spark: SparkSession, path: str, schema: T.StructType) ->
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of the data files below a path, from the file listing alone.
+def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Bytes of the data files below one or more paths, from the file listing alone.
 
     The binary source only opens a file when its content is asked for.
     """

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from threadsift.operators.clean import INGEST_RULES, all_feed_columns, keep_tagged, tag
 from threadsift.operators.layout import MONTH_KEY, REBALANCE
@@ -25,11 +26,17 @@ def stream_feed(
     spec: FeedSpec = DEFAULT,
     fields: tuple[str, ...] | None = None,
     files_per_batch: int | None = 1000,
-    parquet_schema=None,
+    bytes_per_batch: int | None = None,
+    parquet_schema: StructType | None = None,
 ) -> DataFrame:
-    """The raw feed as a stream over a folder of landed files."""
+    """The raw feed as a stream over a folder of landed files.
+
+    A micro-batch is bounded by files or by bytes, which a backlog needs.
+    """
     reader = spark.readStream.format(format)
-    if files_per_batch:
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    elif files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if format == "json":
         reader = (

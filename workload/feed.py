@@ -13,6 +13,14 @@ from threadsift.spec import DEFAULT
 
 SECONDS_PER_DAY = 86400
 
+# Only the columns the feed needs. With the schema given, no file is opened to plan a query.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, value double",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+    "labels": "doc_id bigint, toxic int",
+}
+
 # Rows whose number is divisible get the value, first match first.
 DIRTY_BODY = {37: None, 41: "[deleted]", 43: "[Removed]", 47: ""}
 DIRTY_SCORE = {53: "n/a", 61: None}
@@ -35,11 +43,11 @@ def _dirty(number: Column, dirt: dict, clean: Column) -> Column:
 
 def comment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed: eight fields, all as text."""
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    documents = read("documents").select("doc_id", "text", "lang", "source")
-    events = read("events").select(F.col("event_id").alias("doc_id"), "ts", "user_id", "value")
-    orders = read("orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
-    labels = read("labels").select("doc_id", "toxic")
+    documents, events, orders, labels = (
+        spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet") for name, schema in TABLES.items()
+    )
+    events = events.withColumnRenamed("event_id", "doc_id")
+    orders = orders.withColumnRenamed("o_orderkey", "doc_id")
     joined = documents.join(events, "doc_id").join(orders, "doc_id").join(labels, "doc_id", "left")
 
     n = F.col("doc_id")
