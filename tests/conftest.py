@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -55,6 +57,7 @@ def feed(spark):
 
 
 def plan_of(df, mode="formatted"):
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
-    )
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()

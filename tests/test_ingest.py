@@ -2,6 +2,7 @@
 
 import json
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,6 +151,23 @@ def test_stream_equals_batch_over_several_drops(spark, tmp_path):
     assert land(spark, source, landed, checkpoint).get("rows_read", 0) == 0
 
 
+def test_stopped_stream_goes_on_where_it_was(spark, tmp_path):
+    source, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    feed = comment_feed(spark, SMALL)
+    feed.repartition(12).write.json(source, ignoreNullFields=False)
+
+    def start():
+        stream = s.stream_analytical(s.stream_feed(spark, source, files_per_batch=1), drop_empty=False)
+        return s.start_analytical(stream, table, checkpoint)
+
+    first = start()
+    while first.isActive and not first.recentProgress:
+        time.sleep(0.05)
+    first.stop()
+    s.finish(start())
+    assert bag(read_analytical(spark, table)) == bag(f.analytical_table(feed))
+
+
 def test_stream_counters_cover_every_micro_batch(spark, folder, tmp_path):
     counts = land(spark, folder, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert counts == {"rows_read": 26, **DROPPED}

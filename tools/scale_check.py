@@ -1,8 +1,6 @@
 """A feed of the published size (3 million rows) from the given documents, and the job over it.
 
-A third of all rows falls into one month and a third into one group. The one-pass job is
-timed against the plan that repeats the input for every action (schema inference, three
-counts, the table, four summaries, four dashboards: 13 passes).
+The one-pass job is against the plan that repeats the input for every action (13 passes).
 
 usage: python tools/scale_check.py <new work folder> [rows] [sf_dir]
 """
@@ -17,44 +15,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from threadsift.plans.job import JobOptions, run_job  # noqa: E402
-from threadsift.sources.writers import write_feed_json  # noqa: E402
 from workload.passes import thirteen_passes  # noqa: E402
-
-WORDS = 30
-
-
-def make_feed(spark: SparkSession, sf_dir: str, path: str, rows: int) -> None:
-    words = F.split("text", " ")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(WORDS))
-    pieces = (
-        spark.read.parquet(f"{sf_dir}/documents.parquet")
-        .select("doc_id", "source", "lang", words.alias("words"), F.posexplode(starts).alias("piece", "at"))
-        .withColumn("body", F.array_join(F.slice("words", F.col("at"), WORDS), " "))
-        .drop("words", "at")
-    )
-    copies = -(-rows // pieces.count())
-    n = F.xxhash64("doc_id", "piece", "copy")
-    part = lambda salt, k: F.pmod(F.xxhash64("doc_id", "piece", "copy", F.lit(salt)), F.lit(k))
-    hot_month = F.lit(1325376000) + part(2, 31 * 86400)
-    other = F.lit(1262304000) + part(3, 5 * 365 * 86400)
-    feed = pieces.repartition(64).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    feed = feed.select(
-        F.hex(n).alias("id"),
-        F.when(part(1, 200) == 0, "[deleted]").otherwise(F.col("body")).alias("body"),
-        (part(4, 41) - 15).alias("score"),
-        F.when(part(5, 3) == 0, hot_month).otherwise(other).alias("created_utc"),
-        F.when(part(6, 3) == 0, "hot")
-        .otherwise(F.concat("source", F.lit("_"), part(7, 2000).cast("string")))
-        .alias("subreddit"),
-        F.col("lang").alias("subreddit_id"),
-        F.concat(F.lit("u"), part(8, 500000).cast("string")).alias("author"),
-        F.when(part(9, 30) == 0, 1).otherwise(0).alias("controversiality"),
-    )
-    write_feed_json(feed, path)
-
+from workload.scale_feed import PUBLISHED_ROWS, make_feed  # noqa: E402
 
 def timed(label: str, action) -> float:
     start = time.perf_counter()
@@ -66,7 +30,7 @@ def timed(label: str, action) -> float:
 
 def main() -> None:
     work = sys.argv[1]
-    rows = int(sys.argv[2]) if len(sys.argv) > 2 else 3_000_000
+    rows = int(sys.argv[2]) if len(sys.argv) > 2 else PUBLISHED_ROWS
     sf_dir = sys.argv[3] if len(sys.argv) > 3 else "/root/testdata/sf0.1"
     spark = (
         SparkSession.builder.master("local[8]")
