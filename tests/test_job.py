@@ -102,6 +102,8 @@ def test_report(spark, source, tmp_path):
     report = document(result.paths.report())
     assert list(report["metrics"]) == ["extraction", "transformation", "persistence"]
     assert report["pipeline_start"] < report["pipeline_end"]
+    stored = {(r["stage"], r["metric"]): r["value"] for r in spark.read.parquet(result.paths.quality_table).collect()}
+    assert stored == {(s, m): v for s, values in report["metrics"].items() for m, v in values.items()}
     assert "body:string" in report["schemas"]["raw"]
     assert "created_ts:timestamp_ntz" in report["schemas"]["analytical"]
 

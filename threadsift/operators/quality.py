@@ -74,6 +74,9 @@ class QualityMetrics:
         rows = [(s, m, float(v)) for s, values in self.metrics.items() for m, v in values.items()]
         return spark.createDataFrame(rows, self.SCHEMA)
 
+    def save_table(self, spark: SparkSession, path: str) -> None:
+        self.to_dataframe(spark).coalesce(1).write.mode("overwrite").parquet(path)
+
     def report(self) -> dict:
         return {
             "pipeline_start": self.start_time.isoformat(),

@@ -85,6 +85,10 @@ class Paths:
     def chart(self, name: str) -> str:
         return f"{self.root}/chart_data/{name}"
 
+    @property
+    def quality_table(self) -> str:
+        return f"{self.root}/quality_reports/metrics"
+
     def report(self, failed: bool = False) -> str:
         return f"{self.root}/quality_reports/pipeline_quality{'_failed' if failed else ''}.json"
 
@@ -265,6 +269,7 @@ def run_job(
         views = summarise(spark, table, paths.view_summary, options.spec)
         written = persist_views(views, paths, options)
         quality.add_metrics("persistence", {**month_metrics(table), **written})
+        quality.save_table(spark, paths.quality_table)
         quality.save_report(spark, paths.report())
         return JobResult(True, paths, quality)
     except Exception as error:

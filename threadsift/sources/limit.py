@@ -45,6 +45,11 @@ def _file_key(uri: str) -> str:
     return re.sub(r"^(\w+):/+", r"\1:/", unquote(uri))
 
 
+def _as_path(uri: str) -> str:
+    # A name to read back: not URL-encoded, and its pattern characters taken literally.
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
 def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], rows: int) -> Cut:
     """Where the first ``rows`` kept rows end, over files in name order.
 
@@ -52,7 +57,7 @@ def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], ro
     """
     if rows <= 0:
         raise ValueError("the row limit must be positive; leave it out to read everything")
-    waiting = sorted(unquote(f) for f in files)
+    waiting = sorted(files, key=unquote)
     counters = (ROWS_READ, *INGEST_RULES)
     counts = dict.fromkeys(counters, 0)
     whole: list[str] = []
@@ -60,7 +65,7 @@ def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], ro
     while waiting:
         batch, waiting = waiting[:step], waiting[step:]
         per_file = (
-            read_tagged(batch)
+            read_tagged([_as_path(f) for f in batch])
             .groupBy(F.col("_metadata.file_path").alias("file"))
             .agg(F.count_if(F.col(REJECT).isNull()).alias("kept"), *reject_counts(INGEST_RULES))
         )
@@ -75,8 +80,8 @@ def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], ro
             for name in counters:
                 counts[name] += row[name]
             if row["kept"] > left:
-                return Cut(tuple(whole), file, left, counts)
-            whole.append(file)
+                return Cut(tuple(whole), _as_path(file), left, counts)
+            whole.append(_as_path(file))
             left -= row["kept"]
             if left == 0:
                 return Cut(tuple(whole), None, 0, counts)

@@ -31,7 +31,8 @@ def stream_feed(
 ) -> DataFrame:
     """The raw feed as a stream over a folder of landed files.
 
-    A micro-batch is bounded by files or by bytes, which a backlog needs.
+    A micro-batch is bounded by files or by bytes, which a backlog needs. File names must not
+    hold pattern characters such as ``[``: Spark's file stream reads such files twice.
     """
     reader = spark.readStream.format(format)
     if bytes_per_batch:
