@@ -22,14 +22,14 @@ def by_month(
     layout: str = REBALANCE,
     partitions: int | None = None,
     salt_columns: tuple[str, ...] = (),
-    salts: int = 64,
 ) -> DataFrame:
     """Brings the rows of a month together so that a month gets few, full files.
 
     ``rebalance`` shuffles once by month; adaptive execution then splits a month larger than
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over several tasks and joins small
     ones, so one month may hold all rows. With adaptive execution off nothing would
-    split it, so a salt from ``salt_columns`` goes into the key instead.
+    split it, so a salt from ``salt_columns`` goes into the key instead: even then every task
+    gets its share, at the price of more files per month.
 
     ``as_read`` moves nothing: right for a feed whose files are already in time order.
     """
@@ -37,8 +37,8 @@ def by_month(
         return df
     if layout != REBALANCE:
         raise ValueError(f"layout is {REBALANCE!r} or {AS_READ!r}, not {layout!r}")
-    count = () if partitions is None else (partitions,)
     if _adaptive(df):
-        return df.hint("rebalance", *count, *MONTH_KEY)
-    salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(salts))
-    return df.repartition(*count, *MONTH_KEY, salt)
+        return df.hint("rebalance", *(() if partitions is None else (partitions,)), *MONTH_KEY)
+    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(tasks))
+    return df.repartition(tasks, *MONTH_KEY, salt)

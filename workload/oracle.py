@@ -157,6 +157,7 @@ FROM feed""",
         _JOB_FULL,
         """SELECT id, created_utc_long, year, month, score_num, word_count, sentiment_proxy, body FROM analytical""",
     ),
+    "parquet_feed_ingest": _with(f"{_FEED},{_INGESTED}", "SELECT * FROM ingested"),
     "jsonl_roundtrip": _with(_FEED, "SELECT * FROM feed"),
     "json_missing_columns": _with(
         f"{_FEED},{_CLEANED}",
@@ -203,6 +204,8 @@ FROM ({_SENTIMENT})"""
         """SELECT month, sentiment_proxy, count(*) AS records FROM analytical WHERE year = 1997
 GROUP BY month, sentiment_proxy"""
     ),
+    "parquet_as_read": _over_table(_TABLE),
+    "csv_hourly": _over_table(_HOURLY),
     "csv_roundtrip": _over_table(_TOP),
     "dashboard_json_roundtrip": _over_table(f"{_ENGAGEMENT} LIMIT 50".replace(", 9)", ", 10)")),
     "quality_metrics": _with(_JOB_FULL, _QUALITY),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from threadsift.operators import clean as c
 from threadsift.operators import features as f
 from threadsift.operators import views as v
+from threadsift.operators.layout import AS_READ
 from threadsift.operators.quality import reject_counts
 from threadsift.plans import job
 from threadsift.sources.limit import find_cut, read_to_cut
@@ -101,6 +102,12 @@ def stream_analytical(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def parquet_feed_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_folder(spark, "feed")
+    comment_feed(spark, sf).write.parquet(path)
+    return c.ingest_clean(read_feed(spark, path, "parquet"))
+
+
 # --- scan, projection, casts ------------------------------------------------------------
 
 
@@ -237,6 +244,19 @@ def parquet_one_year(spark: SparkSession, sf: str) -> DataFrame:
     return table.groupBy("month", "sentiment_proxy").agg(F.count(F.lit(1)).alias("records"))
 
 
+def parquet_as_read(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_folder(spark, "analytical")
+    job.transform(comment_feed(spark, sf), path, job.JobOptions(layout=AS_READ))
+    return _rounded(read_analytical(spark, path), "engagement_rate")
+
+
+def csv_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    view = v.hourly_activity(_analytical(spark, sf))
+    path = scratch_folder(spark, "csv")
+    write_view_csv(view, path, files=1)
+    return _rounded(read_view_csv(spark, path, view.schema), "avg_score")
+
+
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     view = v.top_groups(_analytical(spark, sf))
     path = scratch_folder(spark, "csv")
@@ -277,6 +297,7 @@ QUERIES: dict[str, Query] = {
         ingest_limit,
         stream_ingest_clean,
         stream_analytical,
+        parquet_feed_ingest,
         jsonl_roundtrip,
         json_missing_columns,
         clean_filters,
@@ -301,7 +322,9 @@ QUERIES: dict[str, Query] = {
         parquet_partition_roundtrip,
         parquet_month_counts,
         parquet_one_year,
+        parquet_as_read,
         csv_roundtrip,
+        csv_hourly,
         dashboard_json_roundtrip,
         quality_metrics,
         full_job_views,
