@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MONTH_KEY = ("year", "month")
+# Salted keys are hashed to tasks; with several per task the shares come out even.
+_SALTS_PER_TASK = 16
+
 REBALANCE = "rebalance"
 AS_READ = "as_read"
 
@@ -40,5 +43,5 @@ def by_month(
     if _adaptive(df):
         return df.hint("rebalance", *(() if partitions is None else (partitions,)), *MONTH_KEY)
     tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(tasks))
+    salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(_SALTS_PER_TASK * tasks))
     return df.repartition(tasks, *MONTH_KEY, salt)
