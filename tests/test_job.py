@@ -147,15 +147,30 @@ def test_failure_is_returned_with_a_report(spark, tmp_path):
     assert document(result.paths.report(failed=True))["metrics"] == {}
 
 
-def test_failure_keeps_the_metrics_of_finished_stages(spark, tmp_path):
-    # no group column: the table is written, the grouped views cannot be
-    fields = ("id", "body", "score", "created_utc")
-    write_feed_json(comment_feed(spark, SMALL).select(*fields), str(tmp_path / "in"))
-    result = run_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), JobOptions(fields=fields))
+def test_failure_keeps_the_metrics_of_finished_stages(spark, source, tmp_path):
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "summaries").write_text("in the way")
+    result = run_job(spark, source, str(tmp_path / "out"))
     assert not result
     report = document(result.paths.report(failed=True))
     want = c.clean(c.ingest_clean(comment_feed(spark, SMALL))).count()
     assert report["metrics"]["transformation"]["final_records"] == want
+    assert "persistence" not in report["metrics"]
+
+
+@pytest.mark.parametrize("missing", ["body", "subreddit"])
+def test_feed_without_a_needed_column_fails_before_any_write(spark, tmp_path, missing):
+    feed = comment_feed(spark, SMALL).drop(missing)
+    feed.write.parquet(str(tmp_path / "in"))
+    result = run_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), JobOptions(source_format="parquet"))
+    assert not result and missing in str(result.error)
+    assert not glob.glob(f"{result.paths.analytical}*")
+
+
+@pytest.mark.parametrize("limit", [0, -5])
+def test_limit_that_is_not_positive_is_refused(spark, source, tmp_path, limit):
+    result = run_job(spark, source, str(tmp_path / "out"), JobOptions(limit=limit))
+    assert not result and "positive" in str(result.error)
 
 
 def test_collector(spark):

@@ -116,6 +116,13 @@ class _Source:
         o = self.options
         return read_feed(self.spark, paths or [self.path], o.source_format, o.spec, o.fields)
 
+    def check_columns(self) -> None:
+        """Fails before any work when the feed lacks what the table or the views need."""
+        spec, columns = self.options.spec, self.raw().columns
+        missing = [c for c in (spec.text, spec.group) if c not in columns]
+        if missing:
+            raise ValueError(f"the feed has no column {' and no column '.join(missing)}")
+
     def tagged(self, paths: list[str] | None = None) -> DataFrame:
         return tag(self.raw(paths), INGEST_RULES, self.options.spec, drop_empty=True)
 
@@ -254,6 +261,7 @@ def run_job(
     paths, quality = Paths(output.rstrip("/")), QualityMetrics()
     feed = _Source(spark, source, options)
     try:
+        feed.check_columns()
         if options.land:
             ingest(spark, source, paths.landed, options, quality)
             raw = read_feed(spark, paths.landed, "json", options.spec, options.fields)
