@@ -200,7 +200,7 @@ def test_dashboard_is_an_ordered_indented_array(spark, tmp_path):
     rows = [(None, float("nan")), ("a", 1 / 3), ("b", 2.0), ("c", float("inf")), ("d", None)]
     view = spark.createDataFrame(rows, "subreddit string, avg_engagement double").repartition(4)
     order = [F.asc_nulls_last("subreddit")]
-    w.write_dashboard_json(view.orderBy(*order).limit(50), order, str(tmp_path / "d.json"))
+    w.write_dashboard_json(view, order, str(tmp_path / "d.json"))
     (path,) = data_files(tmp_path / "d.json")
     with open(path, encoding="utf-8") as text:
         document = text.read()
@@ -215,10 +215,19 @@ def test_dashboard_is_an_ordered_indented_array(spark, tmp_path):
     assert read_dashboard_json(spark, str(tmp_path / "d.json"), view.schema).count() == 5
 
 
+def test_dashboard_holds_the_first_rows_only(spark, tmp_path):
+    view = spark.range(5000).selectExpr("concat('g', id) subreddit", "pmod(hash(id), 70) total_comments")
+    order = v.view_order(v.TOP_GROUPS)
+    w.write_dashboard_json(view, order, str(tmp_path / "d.json"))
+    (path,) = data_files(tmp_path / "d.json")
+    shown = json.load(open(path, encoding="utf-8"))
+    assert shown == [r.asDict() for r in view.orderBy(*order).limit(50).collect()]
+
+
 def test_dashboard_of_nothing_is_an_empty_array(spark, tmp_path):
     view = spark.createDataFrame([], "subreddit string, total_comments long")
     order = [F.asc("subreddit")]
-    w.write_dashboard_json(view.orderBy(*order).limit(50), order, str(tmp_path / "d.json"))
+    w.write_dashboard_json(view, order, str(tmp_path / "d.json"))
     (path,) = data_files(tmp_path / "d.json")
     assert json.load(open(path, encoding="utf-8")) == []
 

@@ -223,9 +223,8 @@ def persist_views(
     writes = []
     for name, view in views.items():
         files = 1 if name in v.BOUNDED_VIEWS else options.group_view_files
-        head, order = v.dashboard_rows(view), v.view_order(name, spec)
         writes.append(partial(write_view_csv, view, paths.summary(name), files))
-        writes.append(partial(write_dashboard_json, head, order, paths.dashboard(name)))
+        writes.append(partial(write_dashboard_json, view, v.view_order(name, spec), paths.dashboard(name)))
     charts = chart_tables(views, spec)
     for name, chart in charts.items():
         writes.append(partial(write_chart_table, chart, paths.chart(name)))

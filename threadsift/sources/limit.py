@@ -104,15 +104,22 @@ def read_to_cut(
     if cut.cut is not None and cut.rows_of_cut > rows_per_limit:
         rest = _first_of_large_file(spark, read_kept([cut.cut]), cut.rows_of_cut, rows_per_limit)
     elif cut.cut is not None:
-        rest = read_kept([cut.cut]).limit(cut.rows_of_cut)
+        # Which rows a limit takes may change when its task runs again after a loss. Once
+        # written they are the same for every task that reads them.
+        rest = _staged(spark, read_kept([cut.cut]).limit(cut.rows_of_cut))
     if whole is None or rest is None:
         return rest if whole is None else whole
     return whole.unionByName(rest)
 
 
+def _staged(spark: SparkSession, df: DataFrame, rows_per_file: int = 0) -> DataFrame:
+    path = scratch_folder(spark, "cut")
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _first_of_large_file(spark: SparkSession, kept: DataFrame, rows: int, rows_per_limit: int) -> DataFrame:
-    staged = scratch_folder(spark, "cut")
-    kept.write.option("maxRecordsPerFile", rows_per_limit).parquet(staged)
+    pieces = _staged(spark, kept, rows_per_limit)
 
     def read(files: list[str]) -> DataFrame:
         return spark.read.schema(kept.schema).parquet(*files)
@@ -120,5 +127,5 @@ def _first_of_large_file(spark: SparkSession, kept: DataFrame, rows: int, rows_p
     def read_tagged(files: list[str]) -> DataFrame:
         return read(files).withColumn(REJECT, F.lit(None).cast("string"))
 
-    pieces = find_cut(read_tagged, read([staged]).inputFiles(), rows)
-    return read_to_cut(spark, read, pieces, rows_per_limit)
+    cut = find_cut(read_tagged, pieces.inputFiles(), rows)
+    return read_to_cut(spark, read, cut, rows_per_limit)

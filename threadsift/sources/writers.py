@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadsift.functions import json_double
 from threadsift.operators.layout import MONTH_KEY
-from threadsift.operators.views import GROUPED_BY
+from threadsift.operators.views import DASHBOARD_ROWS, GROUPED_BY
 
 OVERWRITE_MONTHS = "overwrite_months"
 
@@ -54,15 +54,17 @@ def write_view_csv(view: DataFrame, path: str, files: int | None = None) -> None
     )
 
 
-def write_dashboard_json(rows: DataFrame, order: list, path: str) -> None:
-    """A bounded, ordered head of a view as one indented JSON array.
+def write_dashboard_json(view: DataFrame, order: list[Column], path: str, rows: int = DASHBOARD_ROWS) -> None:
+    """The first rows of a view as one indented JSON array.
 
-    Doubles are rounded to ten decimals and NULL fields keep their key.
+    Doubles are rounded to ten decimals and NULL fields keep their key. The limit bounds what
+    the array and the numbering see.
     """
-    doubles = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    head = view.orderBy(*order).limit(rows)
+    doubles = {f.name for f in head.schema.fields if isinstance(f.dataType, T.DoubleType)}
     place = F.row_number().over(W.orderBy(*order))
-    record = F.struct(*[json_double(F.col(c)).alias(c) if c in doubles else F.col(c) for c in rows.columns])
-    placed = rows.select(place.alias("place"), record.alias("record"))
+    record = F.struct(*[json_double(F.col(c)).alias(c) if c in doubles else F.col(c) for c in head.columns])
+    placed = head.select(place.alias("place"), record.alias("record"))
     array = F.transform(F.sort_array(F.collect_list(F.struct("place", "record"))), lambda x: x["record"])
     document = placed.agg(F.to_json(array, {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
     document.coalesce(1).write.mode("overwrite").text(path)

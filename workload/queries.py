@@ -265,10 +265,10 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dashboard_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    head = v.dashboard_rows(v.engagement(_analytical(spark, sf)))
+    view = v.engagement(_analytical(spark, sf))
     path = scratch_folder(spark, "dashboard")
-    write_dashboard_json(head, v.view_order(v.ENGAGEMENT), path)
-    return read_dashboard_json(spark, path, head.schema)
+    write_dashboard_json(view, v.view_order(v.ENGAGEMENT), path)
+    return read_dashboard_json(spark, path, view.schema)
 
 
 def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
