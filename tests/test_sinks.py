@@ -77,17 +77,32 @@ def test_unknown_layout_is_refused(spark):
         by_month(spark.range(1).selectExpr("1 year", "1 month"), "sorted")
 
 
-def test_hot_month_is_split_over_files(spark, tmp_path):
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+@pytest.mark.parametrize("partitions", ["8", "2500"])
+def test_hot_month_is_split_over_files(spark, tmp_path, partitions):
+    values = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": partitions,
+    }
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         source = str(tmp_path / "feed")
-        hot = comment_feed(spark, "/root/testdata/sf0.01").withColumn("created_utc", F.lit("1325376000"))
+        hot = comment_feed(spark, "/root/testdata/sf0.01").withColumn(
+            "created_utc", F.when(F.crc32("id") % 3 > 0, "1325376000").otherwise(F.col("created_utc"))
+        )
         w.write_feed_json(hot.repartition(8), source)
         job.transform(read_feed(spark, source), str(tmp_path / "t"))
         assert len(data_files(tmp_path / "t" / "year=2012" / "month=1")) > 2
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_asked_partitions_are_kept_within_exact_sizes(spark):
+    rows = spark.range(1).selectExpr("1 year", "1 month")
+    assert ", 20)" in plan_of(by_month(rows, partitions=20), "simple")
+    assert ", 2000)" in plan_of(by_month(rows, partitions=9000), "simple")
 
 
 def test_month_filter_prunes_directories(spark, table):

@@ -20,6 +20,19 @@ def _adaptive(df: DataFrame) -> bool:
     return all(df.sparkSession.conf.get(key, "true").lower() == "true" for key in needed)
 
 
+def _exact_partitions(df: DataFrame, partitions: int | None) -> int | None:
+    """Partitions for the shuffle by month; None is the session's own number.
+
+    Above 2000 partitions (the default) a map task reports only the average of its smaller
+    blocks, adaptive execution takes a hot month for an average one and leaves it whole.
+    """
+    conf = df.sparkSession.conf
+    most = int(conf.get("spark.shuffle.minNumPartitionsToHighlyCompress", "2000"))
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    wanted = partitions or int(initial or conf.get("spark.sql.shuffle.partitions"))
+    return most if wanted > most else partitions
+
+
 def by_month(
     df: DataFrame,
     layout: str = REBALANCE,
@@ -41,7 +54,8 @@ def by_month(
     if layout != REBALANCE:
         raise ValueError(f"layout is {REBALANCE!r} or {AS_READ!r}, not {layout!r}")
     if _adaptive(df):
-        return df.hint("rebalance", *(() if partitions is None else (partitions,)), *MONTH_KEY)
+        exact = _exact_partitions(df, partitions)
+        return df.hint("rebalance", *(() if exact is None else (exact,)), *MONTH_KEY)
     tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(_SALTS_PER_TASK * tasks))
     return df.repartition(tasks, *MONTH_KEY, salt)
