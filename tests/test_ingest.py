@@ -196,6 +196,21 @@ def test_stream_table_equals_batch_table(spark, tmp_path, zone):
     assert bag(read_analytical(spark, table)) == bag(f.analytical_table(read_feed(spark, source)))
 
 
+def test_stream_splits_a_hot_month(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100k")
+    try:
+        source, table = str(tmp_path / "in"), str(tmp_path / "table")
+        hot = comment_feed(spark, "/root/testdata/sf0.01").withColumn("created_utc", F.lit("1325376000"))
+        hot.repartition(8).write.json(source, ignoreNullFields=False)
+        stream = s.stream_analytical(s.stream_feed(spark, source))
+        s.finish(s.start_analytical(stream, table, str(tmp_path / "cp")))
+        assert len(list((tmp_path / "table" / "year=2012" / "month=1").glob("part-*.parquet"))) > 2
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_stream_of_parquet(spark, tmp_path):
     source = str(tmp_path / "in")
     feed = comment_feed(spark, SMALL)
