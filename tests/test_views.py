@@ -68,7 +68,7 @@ def test_orders(views):
 
     top, eng = views[v.TOP_GROUPS], views[v.ENGAGEMENT]
     assert top == sorted(top, key=lambda r: (-r["total_comments"], key(r)))
-    assert eng == sorted(eng, key=lambda r: (-r["avg_engagement"], key(r)))
+    assert eng == sorted(eng, key=lambda r: (-round(r["avg_engagement"], 12), key(r)))
     assert [r["hour"] for r in views[v.HOURLY]] == list(range(24))
     counts = [r["count"] for r in views[v.SENTIMENT]]
     assert counts == sorted(counts, reverse=True)
@@ -94,6 +94,17 @@ def test_ties_follow_the_key_with_null_last(feed):
         assert [r["subreddit"] for r in view.limit(3).collect()] == want[:3]
 
 
+def test_averages_equal_but_for_their_last_bits_are_ties(spark, feed):
+    # 0.1 + 0.2 + 0.3 depends on the order of addition; whichever way a group is summed, the
+    # key decides
+    rows = [("b", 0.1), ("b", 0.2), ("b", 0.3), ("a", 0.3), ("a", 0.2), ("a", 0.1), ("c", 0.2)]
+    df = spark.createDataFrame(rows, "subreddit string, engagement_rate double").coalesce(1)
+    table = df.selectExpr("*", "0 is_controversial", "1 word_count")
+    assert [r["subreddit"] for r in v.engagement(table).collect()] == ["a", "b", "c"]
+    means = {r["subreddit"]: r["avg_engagement"] for r in v.engagement(table).collect()}
+    assert means["a"] != means["b"]
+
+
 def test_null_hour_comes_first(feed):
     rows = f.analytical_table(feed({"created_utc": str(2**62)}, {}))
     assert [r["hour"] for r in v.hourly_activity(rows).collect()] == [None, 0]

@@ -24,6 +24,7 @@ VIEWS = (TOP_GROUPS, HOURLY, SENTIMENT, ENGAGEMENT)
 BOUNDED_VIEWS = (HOURLY, SENTIMENT)
 
 DASHBOARD_ROWS = 50
+_ORDER_DIGITS = 12
 CHART_ROWS = 20
 
 
@@ -70,7 +71,9 @@ def view_order(view: str, spec: FeedSpec = DEFAULT) -> list[Column]:
     if view == TOP_GROUPS:
         return [F.desc("total_comments"), key]
     if view == ENGAGEMENT:
-        return [F.desc("avg_engagement"), key]
+        # The last bits of an average follow the order of addition, which differs from run to
+        # run; rounded, equal averages are ties in each of them.
+        return [F.round("avg_engagement", _ORDER_DIGITS).desc(), key]
     if view == SENTIMENT:
         return [F.desc("count"), key]
     return [F.asc_nulls_first(_key(view, spec))]
