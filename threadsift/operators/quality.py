@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, INGEST_RULES, REJECT
 
@@ -43,16 +43,15 @@ def transformation_metrics(counts: dict) -> dict[str, int]:
     }
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """One row in one partition, to hang literals on."""
+    return spark.range(0, 1, 1, 1)
+
+
 class QualityMetrics:
     """Collects ``stage -> metric -> value`` with the run's start and end."""
 
-    SCHEMA = T.StructType(
-        [
-            T.StructField("stage", T.StringType()),
-            T.StructField("metric", T.StringType()),
-            T.StructField("value", T.DoubleType()),
-        ]
-    )
+    COLUMNS = "stage string, metric string, value double"
 
     def __init__(self) -> None:
         self.start_time = datetime.now(timezone.utc)
@@ -71,11 +70,17 @@ class QualityMetrics:
         self.schemas[name] = df.schema.simpleString()
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        rows = [(s, m, float(v)) for s, values in self.metrics.items() for m, v in values.items()]
-        return spark.createDataFrame(rows, self.SCHEMA)
+        """One row per metric, built from literals: a local list would start Python workers."""
+        rows = [
+            F.struct(F.lit(stage), F.lit(name), F.lit(float(value)))
+            for stage, values in self.metrics.items()
+            for name, value in values.items()
+        ]
+        table = F.array(*rows).cast(f"array<struct<{self.COLUMNS}>>")
+        return one_row(spark).select(F.inline(table))
 
     def save_table(self, spark: SparkSession, path: str) -> None:
-        self.to_dataframe(spark).coalesce(1).write.mode("overwrite").parquet(path)
+        self.to_dataframe(spark).write.mode("overwrite").parquet(path)
 
     def report(self) -> dict:
         return {
@@ -86,6 +91,5 @@ class QualityMetrics:
         }
 
     def save_report(self, spark: SparkSession, path: str) -> None:
-        from threadsift.sources.writers import write_json_document
-
-        write_json_document(spark, self.report(), path)
+        text = json.dumps(self.report(), indent=2)
+        one_row(spark).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
