@@ -97,6 +97,14 @@ def test_job_outputs(spark, source, tmp_path):
     assert spark.read.parquet(paths.chart("hourly_activity")).count() == 24
 
 
+@pytest.mark.parametrize("limit", [None, 60])
+def test_source_may_be_a_pattern(spark, source, tmp_path, limit):
+    whole = run_job(spark, source, str(tmp_path / "whole"), JobOptions(limit=limit))
+    part = run_job(spark, f"{source}/part-*.json", str(tmp_path / "part"), JobOptions(limit=limit))
+    assert part, part.error
+    assert part.quality.metrics["extraction"] == whole.quality.metrics["extraction"]
+
+
 def test_report(spark, source, tmp_path):
     result = run_job(spark, source, str(tmp_path / "out"))
     report = document(result.paths.report())
