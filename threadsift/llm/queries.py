@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, packing, warc
+from threadsift.llm import chat, fingerprints, language, packing, toxicity, warc
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -43,6 +43,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.pieces.withColumn("lower_bound", F.lit(packed.bound).cast("long"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", F.coalesce(~toxicity.learnable(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.REJECT_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     turns = chat.canonical_turns(table(spark, sf_dir, "conversations"))
@@ -70,5 +80,26 @@ from marked group by conv_id
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op6_chat": op6_chat}
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = language.train(docs.filter(~held_out))
+    found = language.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return fingerprints.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_packing": op2_packing,
+    "op4_toxicity": op4_toxicity,
+    "op6_chat": op6_chat,
+    "op8_language": op8_language,
+    "op9_fingerprints": op9_fingerprints,
+}
 ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL}
