@@ -103,7 +103,8 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def write_archives(records: DataFrame, path: str, date: str = "2020-01-01T00:00:00Z") -> None:
-    """Writes the records; a file holds about one advisory partition size of compressed records."""
+    """Writes the records, one file per partition: after the join of ``page_records`` adaptive execution sizes
+    partitions, so a file holds at most about one advisory partition size of payloads."""
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -120,7 +121,7 @@ def write_archives(records: DataFrame, path: str, date: str = "2020-01-01T00:00:
     )
     last_is_zero = F.expr("substring(member, length(member), 1) = x'00'")
     value = F.when(last_is_zero, F.expr("substring(member, 1, length(member) - 1)")).otherwise(F.col("member"))
-    packed = rows.mapInPandas(members, "member binary").hint("rebalance")
+    packed = rows.mapInPandas(members, "member binary")
     packed.select(value.cast("string").alias("value")).write.option("lineSep", "\0").text(path)
 
 
