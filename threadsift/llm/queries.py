@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, fingerprints, language, packing, toxicity, warc
+from threadsift.llm import chat, fingerprints, language, lines, packing, toxicity, warc, winnowing
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -80,6 +80,39 @@ from marked group by conv_id
 """
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP7_SQL = r"""
+with recursive lowered as (select doc_id, row_number() over () as r,
+  list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws from documents),
+items as (select item_id,
+  list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws from benchmark),
+sized as (select *, least(len(ws), 10) as size from items where len(ws) > 0),
+wanted as (select distinct item_id, size, list_aggregate(ws[i:i + size - 1], 'string_agg', ' ') as w
+  from (select *, unnest(range(1, len(ws) - size + 2)) as i from sized)),
+sizes as (select distinct size from wanted),
+windows as (select r, size, i, list_aggregate(ws[i:i + size - 1], 'string_agg', ' ') as w
+  from (select r, ws, size, unnest(range(1, len(ws) - size + 2)) as i from lowered, sizes where len(ws) >= size)),
+hits as (select r, i, windows.size, item_id from windows join wanted on windows.w = wanted.w and windows.size = wanted.size),
+hit_words as (select r, count(distinct k) as n_hit from (select r, unnest(range(i, i + size)) as k from hits) group by r),
+found as (select r, count(distinct item_id) as n_items,
+  sha256(string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar))) as items_sha256 from hits group by r)
+select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from lowered left join hit_words using (r) left join found using (r)
+"""
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
@@ -94,12 +127,43 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+#: Edit distances of DuckDB count bytes, so accented letters of the corpus become single bytes first.
+OP10_SQL = """
+with parts as (select doc_id, text, unnest(string_split(text, chr(10))) as line,
+  generate_subscripts(string_split(text, chr(10)), 1) as pos from documents where text is not null),
+taking as (select * from parts where length(line) >= 32),
+named as (select line, min(row(doc_id is null, doc_id, pos)) as first from taking group by line),
+bytes as (select *, translate(line, 'äöüßéèêçàùôîñóíúáâëïûœÄÖÜÉÈÊÇÀÙÔÎÑÓÍÚÁ', '0123456789@#~^=<>{}[]|ABCDEFGHIJKLMNOP') as b,
+  length(line) as n from named),
+near as (select distinct p.line from bytes p join bytes q on q.n between p.n - 2 and p.n + 2 and q.first < p.first
+  and (substr(p.line, 1, q.n // 3) = substr(q.line, 1, q.n // 3) or right(p.line, q.n // 3) = right(q.line, q.n // 3)
+    or levenshtein(substr(p.b, 1, 24), substr(q.b, 1, 24)) <= 2)
+  where levenshtein(p.b, q.b) <= 2),
+judged as (select parts.doc_id, parts.pos, parts.line, coalesce(near.line is not null
+    or (named.line is not null and row(parts.doc_id is null, parts.doc_id, parts.pos) > named.first), false) as gone
+  from parts left join named using (line) left join near on near.line = parts.line)
+select d.doc_id, coalesce(count(j.pos), 0) as n_lines, coalesce(sum(j.gone::int), 0)::bigint as n_removed,
+  sha256(coalesce(string_agg(j.line, chr(10) order by j.pos) filter (where not j.gone), '')) as kept_sha256
+from documents d left join judged j on j.doc_id = d.doc_id group by d.doc_id
+"""
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op4_toxicity": op4_toxicity,
     "op6_chat": op6_chat,
+    "op7_winnowing": op7_winnowing,
     "op8_language": op8_language,
     "op9_fingerprints": op9_fingerprints,
+    "op10_lines": op10_lines,
 }
-ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL}
+ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op7_winnowing": OP7_SQL, "op10_lines": OP10_SQL}

@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from threadsift.sources.scratch import scratch_folder
 
@@ -41,3 +42,13 @@ def ship(spark: SparkSession) -> None:
             out.write(file, file.relative_to(package.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+#: Rows that a side may have to be sent to every task; narrow rows, some 30 MB.
+BROADCAST_ROWS = 400_000
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it was counted to be small, else as it is, for a shuffled join."""
+    n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
