@@ -81,14 +81,12 @@ def character_pairs(line: str) -> list[Column]:
     pair = lambda i: F.pmod(F.xxhash64(F.substring(F.col(line), i, F.lit(2))), F.lit(64 * _PAIR_WORDS)).cast("int")
     bits = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(line) - 1), pair))
     one = F.lit(1).cast("long")
-    return [
-        F.aggregate(
-            F.filter(bits, lambda b, w=w: F.floor(b / 64) == w),
-            F.lit(0).cast("long"),
-            lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(b, F.lit(64)))),
-        )
-        for w in range(_PAIR_WORDS)
-    ]
+
+    def word(w: int) -> Column:
+        own = F.filter(bits, lambda b: F.floor(b / 64) == w)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(b, F.lit(64)))))
+
+    return [word(w) for w in range(_PAIR_WORDS)]
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -127,7 +125,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     frequent = distinct.filter(F.col("n") * FREQUENT > total).select(F.col("h1").alias("_f1"), F.col("h2").alias("_f2"), F.col("first").alias("_first"))
     # at most FREQUENT rows
     kept = lines.join(F.broadcast(frequent), (F.col("h1") == F.col("_f1")) & (F.col("h2") == F.col("_f2")), "left")
-    kept = kept.filter(F.col("_first").isNull() | (F.col("_first") == _place()))
+    kept = kept.filter(F.col("_first").isNull() | F.col("_first").eqNullSafe(_place()))
     # a line is named by 62 bits of its hash; the lowest bit of the name says that the row is an index entry
     name = F.shiftleft(F.shiftright("h1", 2), 1)
     keys = kept.select(name.alias("name"), F.explode(segment_keys("line", edits, min_chars)).alias("_k"))
@@ -145,22 +143,21 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     members = met.join(texts, "name").select("key", (F.col("index") == 1).alias("index"), "line", "first", *(f"p{i}" for i in range(_PAIR_WORDS)))
     order = Window.partitionBy("key").orderBy("first", "line")
     members = members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK))
-    fields = ["line", "first", *(f"p{i}" for i in range(_PAIR_WORDS))]
-    blocks = members.groupBy("key", "block").agg(
-        F.collect_list(F.struct(*fields)).alias("probes"), F.collect_list(F.when(F.col("index"), F.struct(*fields))).alias("entries")
-    )
-    earlier = blocks.filter(F.size("entries") > 0).select("key", F.col("block").alias("before"), "entries")
-    pairs = blocks.select("key", "block", "probes").join(earlier, "key").filter("before <= block")
+    fields = ["line", "first", "index", *(f"p{i}" for i in range(_PAIR_WORDS))]
+    blocks = members.groupBy("key", "block").agg(F.collect_list(F.struct(*fields)).alias("lines"))
+    earlier = blocks.select("key", F.col("block").alias("before"), F.col("lines").alias("earlier"))
+    pairs = blocks.join(earlier, "key").filter("before <= block")
 
     def reached(p: Column) -> Column:
         def witness(q: Column) -> Column:
             changed = sum((F.bit_count(p[f"p{i}"].bitwiseXOR(q[f"p{i}"])) for i in range(_PAIR_WORDS)), F.lit(0))
-            comes_first = (q["first"] < p["first"]) & (p["line"] != q["line"])
+            # the index holds the segments of the shorter line of a pair, which may be either
+            comes_first = (q["first"] < p["first"]) & (p["line"] != q["line"]) & (p["index"] | q["index"])
             return comes_first & (changed <= 4 * edits) & within_edits(q["line"], p["line"], edits)
 
-        return F.exists("entries", witness)
+        return F.exists("earlier", witness)
 
-    found = pairs.select(F.explode_outer(F.filter("probes", reached)).alias("_p")).select(F.col("_p.line").alias("line"))
+    found = pairs.select(F.explode_outer(F.filter("lines", reached)).alias("_p")).select(F.col("_p.line").alias("line"))
     return found.filter("line is not null").select(*_hashes()).distinct()
 
 
@@ -174,7 +171,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     marked = distinct.join(near, ["h1", "h2"], "left").filter("n > 1 or near")
     marked = settled(marked.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), "first", F.coalesce("near", F.lit(False)).alias("near")), "marked")
     gone = places.join(small_side(marked), (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
-    gone = gone.filter(F.col("near") | (F.col("first") != _place()))
+    gone = gone.filter(F.col("near") | ~F.col("first").eqNullSafe(_place()))
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
 
 
