@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, fingerprints, language, lines, packing, toxicity, warc, winnowing
+from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, toxicity, warc, winnowing
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -43,6 +43,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.pieces.withColumn("lower_bound", F.lit(packed.bound).cast("long"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = jaccard.near_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
@@ -159,6 +165,7 @@ from documents d left join judged j on j.doc_id = d.doc_id group by d.doc_id
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op3_jaccard": op3_jaccard,
     "op4_toxicity": op4_toxicity,
     "op6_chat": op6_chat,
     "op7_winnowing": op7_winnowing,
