@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threadsift.llm.components import components
+from threadsift.llm.exchange import MOST_BUCKETS, PACKED, batch, canonical, find_shared, gathered, send, table_of
 from threadsift.llm.hashing import U64, flat, groups, mix, shingle_hashes, word_hashes
 from threadsift.llm.sets import SignatureTree
 from threadsift.llm.tables import settled
@@ -47,7 +48,6 @@ BUCKET_SHINGLES = 1_500_000
 TILE_BYTES = 1 << 22
 
 _DOC_SETS = "doc_id {key}, n int, set_id long"
-_PACKED = "bucket int, kind int, payload binary"
 
 
 def _unique_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,25 +63,6 @@ def _unique_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.
     return np.concatenate(sets) if sets else np.zeros(0, U64), n, names
 
 
-def _pack(sids: np.ndarray, sizes: np.ndarray, counts: np.ndarray, tokens: np.ndarray) -> bytes:
-    head = np.array([len(sids), len(tokens)], "<u8")
-    return head.tobytes() + sids.astype("<u8").tobytes() + sizes.astype("<u4").tobytes() + counts.astype("<u4").tobytes() + tokens.astype("<u8").tobytes()
-
-
-def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    runs, n = np.frombuffer(payload, "<u8", 2).tolist()
-    sids = np.frombuffer(payload, "<u8", runs, 16)
-    sizes = np.frombuffer(payload, "<u4", runs, 16 + 8 * runs)
-    counts = np.frombuffer(payload, "<u4", runs, 16 + 12 * runs)
-    return sids, sizes, counts, np.frombuffer(payload, "<u8", n, 16 + 16 * runs)
-
-
-def _batch(schema: str, *columns) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    fields = [f.split() for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
-
-
 def document_sets(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, n, set_id): number of distinct shingles and the set's name (NULL without shingles)."""
 
@@ -94,110 +75,21 @@ def document_sets(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, _DOC_SETS.format(key=docs.schema["doc_id"].dataType.simpleString()))
 
 
-def _bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    """Ranges of the upper 24 bits of 64."""
-    return (((tokens >> U64(40)) * U64(buckets)) >> U64(24)).astype(np.int64)
-
-
-def _low(tokens: np.ndarray) -> np.ndarray:
-    """The lower 48 bits as bytes."""
-    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-
-
 def _send_shingles(buckets: int, k: int):
-    """Rows of kind 0 (to the bucket of the values): values of one set with their owners, then values of several sets.
-    Rows of kind 1 (to the bucket of the sets): values known to be shared within the chunk."""
-
-    def chunk(data: np.ndarray, offsets: np.ndarray, seen: set[int]) -> Iterator[pa.RecordBatch]:
-        tokens, n, names = _unique_shingles(data, offsets, k)
-        fresh = np.zeros(len(n), bool)
-        for i, name in enumerate(names.tolist()):
-            if name and name not in seen:
-                seen.add(name)
-                fresh[i] = True
-        tokens, own = tokens[np.repeat(fresh, n)], np.repeat(np.flatnonzero(fresh), n[fresh])
-        # from here on a hash is its bucket and its lower 48 bits
-        tokens = _bucket_of(tokens, buckets).astype(U64) << U64(48) | tokens & U64((1 << 48) - 1)
-        order = np.argsort(tokens, kind="stable")
-        tokens, own = tokens[order], own[order]
-        first = np.concatenate(([True], tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, bool)
-        again = ~first
-        several = again.copy()
-        several[:-1] |= again[1:]
-        rows: list[tuple[int, int, bytes]] = []
-        at = (tokens >> U64(48)).astype(np.int64)
-        single, multi = ~several, several & first
-        cuts, multi_cuts = (np.searchsorted(at[which], np.arange(buckets + 1)) for which in (single, multi))
-        s_tokens, s_own, m_tokens = tokens[single], own[single], tokens[multi]
-        for b in range(buckets):
-            x, y = slice(*cuts[b : b + 2]), slice(*multi_cuts[b : b + 2])
-            if x.start == x.stop and y.start == y.stop:
-                continue
-            by_owner = np.argsort(s_own[x], kind="stable")
-            owners, counts = np.unique(s_own[x], return_counts=True)
-            some = _pack(names[owners], n[owners], counts, np.zeros(0, U64))
-            low = _low(s_tokens[x][by_owner]).tobytes() + _low(m_tokens[y]).tobytes()
-            rows.append((b, 0, np.array([len(some), len(by_owner)], "<u8").tobytes() + some + low))
-        t, o = tokens[several], own[several]
-        rows += _to_sets(t, names[o], n[o], buckets)
-        yield _batch(_PACKED, *map(list, zip(*rows, strict=True))) if rows else _batch(_PACKED, [], [], [])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            data, offsets = flat(batch.column(0))
+        seen: set[int] = set()  # a set that a task meets again needs no second entry
+        for part in batches:
+            data, offsets = flat(part.column(0))
             for i, j in groups(offsets, CHUNK_BYTES):
-                yield from chunk(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], seen)
-
-    return run
-
-
-def _to_sets(tokens: np.ndarray, sids: np.ndarray, sizes: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
-    """Values and the sets that have them, packed for the buckets of the sets."""
-    if not len(tokens):
-        return []
-    to = (sids % U64(buckets)).astype(np.int64)
-    order = np.lexsort((tokens, sids, to))
-    tokens, sids, sizes, to = tokens[order], sids[order], sizes[order], to[order]
-    rows = []
-    cuts = np.searchsorted(to, np.arange(buckets + 1))
-    for b in np.flatnonzero(np.diff(cuts)).tolist():
-        x = slice(*cuts[b : b + 2])
-        names, first, counts = np.unique(sids[x], return_index=True, return_counts=True)
-        rows.append((b, 1, _pack(names, sizes[x][first], counts, tokens[x])))
-    return rows
-
-
-def _find_shared(buckets: int):
-    def run(key, part):
-        bucket = key[0].as_py()
-        passed, values, sets, sizes, several = [], [], [], [], []
-        for kind, payload in zip(part.column("kind").to_pylist(), part.column("payload").to_pylist(), strict=True):
-            if kind:
-                passed.append((bucket, 1, payload))
-                continue
-            length, n = np.frombuffer(payload, "<u8", 2).tolist()
-            sids, own, counts, _ = _unpack(payload[16 : 16 + length])
-            low = np.frombuffer(payload, np.uint8, offset=16 + length).reshape(-1, 6)
-            wide = np.zeros((len(low), 8), np.uint8)
-            wide[:, :6] = low
-            values.append(wide.view("<u8")[:, 0])
-            none = np.zeros(len(low) - n, U64)
-            sets.append(np.concatenate((np.repeat(sids, counts), none)))
-            sizes.append(np.concatenate((np.repeat(own, counts), none.astype("<u4"))))
-        rows = passed
-        if values:
-            value, sid, size = np.concatenate(values), np.concatenate(sets), np.concatenate(sizes)
-            order = np.argsort(value, kind="stable")
-            value, sid, size = value[order], sid[order], size[order]
-            starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-            run_of = np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [len(value)]))))
-            # several sets: an entry of a chunk that has it several times (owner 0), or different owners
-            mixed = (np.minimum.reduceat(sid, starts) != np.maximum.reduceat(sid, starts)) | (sid[starts] == 0)
-            keep = mixed[run_of] & (sid != 0)
-            token = value[keep] | U64(bucket) << U64(48)
-            rows = rows + _to_sets(token, sid[keep], size[keep], buckets)
-        return pa.Table.from_batches([_batch(_PACKED, *map(list, zip(*rows, strict=True))) if rows else _batch(_PACKED, [], [], [])])
+                tokens, n, names = _unique_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
+                fresh = np.zeros(len(n), bool)
+                for at, name in enumerate(names.tolist()):
+                    if name and name not in seen:
+                        seen.add(name)
+                        fresh[at] = True
+                own = np.repeat(np.flatnonzero(fresh), n[fresh])
+                rows = send(canonical(tokens[np.repeat(fresh, n)], buckets), own, names, n, buckets)
+                yield from table_of(PACKED, rows).to_batches()
 
     return run
 
@@ -205,36 +97,23 @@ def _find_shared(buckets: int):
 _SETS = "set_id long, n int, tokens binary"
 
 
-def _gather_sets(buckets: int, percent: int):
+def _gather_sets(percent: int):
     """Sets of which enough shingles are shared, with those shingles."""
 
     def run(key, part):
-        sids, sizes, tokens = [], [], []
-        for payload in part.column("payload").to_pylist():
-            s, n, counts, t = _unpack(payload)
-            sids.append(np.repeat(s, counts))
-            sizes.append(np.repeat(n, counts))
-            tokens.append(t)
-        sid, size, token = np.concatenate(sids), np.concatenate(sizes), np.concatenate(tokens)
-        order = np.lexsort((token, sid))
-        sid, size, token = sid[order], size[order], token[order]
-        fresh = np.concatenate(([True], (sid[1:] != sid[:-1]) | (token[1:] != token[:-1])))
-        sid, size, token = sid[fresh], size[fresh], token[fresh]
-        starts = np.flatnonzero(np.concatenate(([True], sid[1:] != sid[:-1])))
-        ends = np.concatenate((starts[1:], [len(sid)]))
+        name, size, token, starts, ends = gathered(part)
         enough = 100 * (ends - starts) >= percent * size[starts].astype(np.int64)
-        rows = [(int(sid[a]), int(size[a]), token[a:b].tobytes()) for a, b in zip(starts[enough], ends[enough], strict=True)]
-        return pa.Table.from_batches([_batch(_SETS, *map(list, zip(*rows, strict=True))) if rows else _batch(_SETS, [], [], [])])
+        return table_of(_SETS, [(int(name[a]), int(size[a]), token[a:b].tobytes()) for a, b in zip(starts[enough], ends[enough], strict=True)])
 
     return run
 
 
 def shared_sets(docs: DataFrame, shingles: int, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(set_id, n, tokens): the sets that can have a partner, with their shared shingles."""
-    buckets = min(1 << 15, max(1, -(-shingles // BUCKET_SHINGLES)))
-    sent = docs.select("text").mapInArrow(_send_shingles(buckets, k), _PACKED)
-    shared = sent.groupBy("bucket").applyInArrow(_find_shared(buckets), _PACKED)
-    return shared.groupBy("bucket").applyInArrow(_gather_sets(buckets, percent), _SETS)
+    buckets = min(MOST_BUCKETS, max(1, -(-shingles // BUCKET_SHINGLES)))
+    sent = docs.select("text").mapInArrow(_send_shingles(buckets, k), PACKED)
+    shared = sent.groupBy("bucket").applyInArrow(find_shared(buckets), PACKED)
+    return shared.groupBy("bucket").applyInArrow(_gather_sets(percent), _SETS)
 
 
 def _set_arrays(part: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -258,7 +137,7 @@ def _send_counts(buckets: int):
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             at = order[cuts[b] : cuts[b + 1]]
             rows.append((b, chunk, values[at].astype("<u8").tobytes() + counts[at].astype("<u8").tobytes()))
-        return pa.Table.from_batches([_batch(_COUNTS, *map(list, zip(*rows, strict=True)))])
+        return table_of(_COUNTS, rows)
 
     return run
 
@@ -276,7 +155,7 @@ def _add_counts(key, part):
         some = total > 1
         if some.any():
             rows.append((key[0].as_py(), chunk, own[some].astype("<u8").tobytes() + total[some].astype("<u8").tobytes()))
-    return pa.Table.from_batches([_batch(_COUNTS, *map(list, zip(*rows, strict=True))) if rows else _batch(_COUNTS, [], [], [])])
+    return table_of(_COUNTS, rows)
 
 
 def _prefixes(percent: int):
@@ -299,7 +178,7 @@ def _prefixes(percent: int):
                 out_tokens.append(chosen.astype(np.int64))
                 out_sets.append(np.full(len(chosen), sid, np.int64))
         none = [np.zeros(0, np.int64)]
-        return pa.Table.from_batches([_batch(_PREFIX, np.concatenate(out_tokens or none), np.concatenate(out_sets or none))])
+        return pa.Table.from_batches([batch(_PREFIX, np.concatenate(out_tokens or none), np.concatenate(out_sets or none))])
 
     return run
 
@@ -333,7 +212,7 @@ def _join_units(percent: int):
                 members = tree.names[tree.label == label]
                 out_a.append(members)
                 out_b.append(np.full(len(members), members.min()))
-        return pa.Table.from_batches([_batch(_EDGES, np.concatenate(out_a), np.concatenate(out_b))])
+        return pa.Table.from_batches([batch(_EDGES, np.concatenate(out_a), np.concatenate(out_b))])
 
     return run
 
@@ -373,7 +252,7 @@ def _roots(percent: int):
             excess = max(excess, len(t) - len(bits))
         root = part.column("root").to_numpy()
         row = (key[0].as_py(), key[1].as_py(), wide.tobytes(), int(sizes.min()), int(sizes.max()), excess, int(root.min()), int(root.max()))
-        return pa.Table.from_batches([_batch(schema, *([v] for v in row))])
+        return pa.Table.from_batches([batch(schema, *([v] for v in row))])
 
     return run, schema
 
@@ -385,7 +264,7 @@ def _join_tiles(percent: int):
         labels = np.unique(root, return_inverse=True)[1]
         tree = SignatureTree(sids, sizes, tokens, labels, side)
         links = tree.join(percent, int((side == 0).sum()))
-        return pa.Table.from_batches([_batch(_PAIR_EDGES, [int(tree.names[x]) for x, _ in links], [int(tree.names[y]) for _, y in links])])
+        return pa.Table.from_batches([batch(_PAIR_EDGES, [int(tree.names[x]) for x, _ in links], [int(tree.names[y]) for _, y in links])])
 
     return run
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, toxicity, warc, winnowing
+from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, suffixes, toxicity, warc, winnowing
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -59,6 +59,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    left = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     turns = chat.canonical_turns(table(spark, sf_dir, "conversations"))
@@ -167,6 +173,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_jaccard": op3_jaccard,
     "op4_toxicity": op4_toxicity,
+    "op5_suffixes": op5_suffixes,
     "op6_chat": op6_chat,
     "op7_winnowing": op7_winnowing,
     "op8_language": op8_language,
