@@ -8,8 +8,8 @@ Equal lines are found by an aggregate over 128-bit hashes. For near lines each d
 segments, of which at most ``edits`` can be touched, so a line within reach has one of them unchanged, at a place that
 differs by at most the shift that the lengths allow. (length, segment number, segment) are the index; each line probes
 the lengths and places where a segment of an earlier line could be. Lines that meet under a key are compared in blocks
-of bounded size inside expressions: first by their sets of character pairs, of which an edit changes at most four, then
-by a banded bit-parallel edit distance. A line needs one witness, so no pairs are put out. All of it is DataFrame
+of bounded size inside expressions: first by their sets of three-character runs, of which an edit changes at most six,
+then by a banded bit-parallel edit distance. A line needs one witness, so no pairs are put out. All of it is DataFrame
 functions.
 
 Lines that are at least a ten-thousandth of all lines (so at most ten thousand of them) enter the index once,
@@ -31,10 +31,11 @@ from threadsift.llm.tables import settled, small_side
 MIN_CHARS = 32
 EDITS = 2
 #: Lines in one side of a block comparison.
-BLOCK = 128
+BLOCK = 64
 #: One of so many lines is frequent enough to be indexed from a list.
 FREQUENT = 10_000
-_PAIR_WORDS = 4  # 64-bit words of the set of character pairs
+_GRAM = 3  # characters
+_GRAM_WORDS = 16  # 64-bit words of the set of character grams
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -52,58 +53,69 @@ def _hashes(line: str = "line") -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i of edits + 1; the later segments are the longer ones."""
+def wide(line: str) -> Column:
+    """The line with four bytes per character, so that parts of it are found without counting characters."""
+    return F.encode(F.col(line), "UTF-32")
+
+
+def segment_keys(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """(name, index, key) from (name, _wide): the keys that each line probes; those with ``index`` below edits + 1 are
+    its own segments."""
     n = edits + 1
-    size, longer = F.floor(length / n).cast("int"), F.pmod(length, F.lit(n))
-    start = i * size + F.greatest(F.lit(i) - (n - longer), F.lit(0))
-    return start, size + F.when(longer >= n - i, 1).otherwise(0)
-
-
-def segment_keys(line: str, edits: int, min_chars: int) -> Column:
-    """Array of (key, index): keys that the line probes; those with index true are its own segments."""
-    text, length = F.col(line), F.length(line)
-    out = []
-    for shorter in range(edits + 1):
-        other = length - shorter
-        for i in range(edits + 1):
-            start, size = _segment(other, i, edits)
+    whole = lambda a, b: F.call_function("div", a, F.lit(b)).cast("int")
+    length = whole(F.octet_length("_wide"), 4)
+    for shorter in range(n):  # sizes of the segments of a line that is so much shorter; the later ones are the longer
+        lines = lines.withColumns({f"_q{shorter}": whole(length - shorter, n), f"_r{shorter}": F.pmod(length - shorter, F.lit(n))})
+    index, others = [], []
+    for shorter in range(n):
+        size, longer = F.col(f"_q{shorter}"), F.col(f"_r{shorter}")
+        other = size * n + longer
+        for i in range(n):
+            start = size * i + F.greatest(longer + (i - n), F.lit(0))
+            own = size + F.when(longer >= n - i, 1).otherwise(0)
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                part = F.substring(text, start + (shift + 1), size)
-                key = F.xxhash64(other, F.lit(i), part)
-                key = key if not shorter else F.when(other >= min_chars, key)
-                out.append(F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("index")))
-    return F.array(*out)
+                key = F.xxhash64(other, F.lit(i), F.substring("_wide", start * 4 + (4 * shift + 1), own * 4))
+                if shorter or shift:
+                    others.append(F.when(other >= min_chars, key))
+                else:
+                    index.append(key)
+    return lines.select("name", F.posexplode_outer(F.array(*index, *others)).alias("index", "key"))
 
 
-def character_pairs(line: str) -> list[Column]:
-    """The set of character pairs as bits of ``_PAIR_WORDS`` numbers."""
-    pair = lambda i: F.pmod(F.xxhash64(F.substring(F.col(line), i, F.lit(2))), F.lit(64 * _PAIR_WORDS)).cast("int")
-    bits = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(line) - 1), pair))
-    one = F.lit(1).cast("long")
+def code_points(line: str) -> Column:
+    return F.transform(F.split(F.col(line), ""), lambda c: F.ascii(c))
 
-    def word(w: int) -> Column:
-        own = F.filter(bits, lambda b: F.floor(b / 64) == w)
-        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(b, F.lit(64)))))
 
-    return [word(w) for w in range(_PAIR_WORDS)]
+def character_grams(chars: str) -> Column:
+    """The set of runs of ``_GRAM`` characters, hashed to 64 * ``_GRAM_WORDS`` numbers."""
+    own = F.col(chars)
+    gram = lambda c, i: F.pmod(F.xxhash64(c, *(F.get(own, i + d) for d in range(1, _GRAM))), F.lit(64 * _GRAM_WORDS)).cast("int")
+    return F.array_distinct(F.transform(own, gram))
+
+
+def as_bits(numbers: str, word: int) -> Column:
+    """The numbers from 64 * word on, as bits of one number."""
+    own = F.filter(F.col(numbers), lambda b: F.floor(b / 64) == word)
+    one = F.lit(1).cast("long")
+    return F.aggregate(own, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(b, F.lit(64)))))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether the edit distance of two texts is at most ``edits``.
+    """Whether the edit distance of two texts, given as arrays of code points, is at most ``edits``.
 
     Bit d of state e says that the first i characters of ``a`` become the first i + d - edits of ``b`` by at most e
     edits; one step takes the next character of ``a`` for all diagonals of the band at once.
     """
     band = (1 << (2 * edits + 1)) - 1
-    left, right = F.split(a, ""), F.split(b, "")
     start = F.struct(*(F.lit(((1 << (e + 1)) - 1) << edits & band).alias(f"r{e}") for e in range(edits + 1)))
 
-    def step(state: Column, i: Column) -> Column:
-        own, same = F.get(left, i), F.lit(0)
+    def diagonals(own: Column, i: Column) -> Column:
+        same = F.lit(0)
         for d in range(2 * edits + 1):
-            hit = F.coalesce(own == F.get(right, i + (d - edits)), F.lit(False))
-            same = same.bitwiseOR(F.when(hit, 1 << d).otherwise(0))
+            same = same.bitwiseOR(F.when(own == F.get(b, i + (d - edits)), 1 << d).otherwise(0))
+        return same
+
+    def step(state: Column, same: Column) -> Column:
         rows = []
         for e in range(edits + 1):
             now = state[f"r{e}"].bitwiseAND(same)
@@ -113,8 +125,8 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
             rows.append(now)
         return F.struct(*(r.alias(f"r{e}") for e, r in enumerate(rows)))
 
-    final = F.aggregate(F.sequence(F.lit(0), F.length(a) - 1), start, step, lambda s: s[f"r{edits}"])
-    apart = F.length(b) - F.length(a) + edits
+    final = F.aggregate(F.transform(a, diagonals), start, step, lambda s: s[f"r{edits}"])
+    apart = F.size(b) - F.size(a) + edits
     reached = F.call_function("shiftright", final, F.greatest(apart, F.lit(0)))
     return (apart >= 0) & (apart <= 2 * edits) & (reached.bitwiseAND(F.lit(1)) == 1)
 
@@ -128,32 +140,41 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     kept = kept.filter(F.col("_first").isNull() | F.col("_first").eqNullSafe(_place()))
     # a line is named by 62 bits of its hash; the lowest bit of the name says that the row is an index entry
     name = F.shiftleft(F.shiftright("h1", 2), 1)
-    keys = kept.select(name.alias("name"), F.explode(segment_keys("line", edits, min_chars)).alias("_k"))
-    keys = keys.select(F.col("_k.key").alias("key"), F.col("name").bitwiseOR(F.col("_k.index").cast("int").cast("long")).alias("name"))
+    keys = kept.select(name.alias("name"), wide("line").alias("_wide"))
+    keys = segment_keys(keys, edits, min_chars).filter("key is not null")
+    keys = keys.select("key", F.when(F.col("index") <= edits, F.col("name").bitwiseOR(F.lit(1).cast("long"))).otherwise(F.col("name")).alias("name"))
     by_key = Window.partitionBy("key")
     own = F.shiftright("name", 1)
-    met = keys.filter("key is not null").select("key", "name", F.min(own).over(by_key).alias("_a"), F.max(own).over(by_key).alias("_b"))
+    met = keys.select("key", "name", F.min(own).over(by_key).alias("_a"), F.max(own).over(by_key).alias("_b"))
     met = met.filter("_a <> _b").groupBy("key", own.alias("name")).agg(F.max(F.col("name").bitwiseAND(F.lit(1).cast("long"))).alias("index"))
     met = settled(met, "met")
     names = settled(met.select("name").distinct(), "names")
     texts = lines.withColumn("name", F.shiftright(F.shiftleft(F.shiftright("h1", 2), 1), 1))
     texts = texts.join(small_side(names), "name", "left_semi").groupBy("name", "line").agg(F.min(_place()).alias("first"))
-    words = character_pairs("line")
-    texts = settled(texts.select("name", "line", "first", *(w.alias(f"p{i}") for i, w in enumerate(words))), "texts")
-    members = met.join(texts, "name").select("key", (F.col("index") == 1).alias("index"), "line", "first", *(f"p{i}" for i in range(_PAIR_WORDS)))
-    order = Window.partitionBy("key").orderBy("first", "line")
-    members = members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK))
-    fields = ["line", "first", "index", *(f"p{i}" for i in range(_PAIR_WORDS))]
-    blocks = members.groupBy("key", "block").agg(F.collect_list(F.struct(*fields)).alias("lines"))
-    earlier = blocks.select("key", F.col("block").alias("before"), F.col("lines").alias("earlier"))
-    pairs = blocks.join(earlier, "key").filter("before <= block")
+    words = [f"p{i}" for i in range(_GRAM_WORDS)]
+    texts = texts.withColumn("chars", code_points("line"))
+    # columns of a table, so that the optimizer cannot move their making into a loop over characters
+    texts = settled(texts, "texts").withColumn("grams", character_grams("chars"))
+    texts = settled(texts.select("name", "line", "first", "chars", *(as_bits("grams", i).alias(w) for i, w in enumerate(words))), "texts")
+    members = met.join(texts, "name").select("key", (F.col("index") == 1).alias("index"), "line", "chars", "first", *words)
+    # all lines of a key in one array, or those of a frequent key in blocks, whose pairs are dealt out anew
+    members = members.withColumn("_n", F.count(F.lit(1)).over(by_key))
+    fields = F.collect_list(F.struct("line", "chars", "first", "index", *words))
+    few = members.filter(F.col("_n") <= BLOCK).groupBy("key").agg(fields.alias("lines"))
+    block = F.floor((F.row_number().over(by_key.orderBy("first", "line")) - 1) / BLOCK)
+    blocks = members.filter(F.col("_n") > BLOCK).withColumn("block", block).groupBy("key", "block").agg(fields.alias("lines"))
+    earlier = blocks.select(F.col("key").alias("_key"), F.col("block").alias("before"), F.col("lines").alias("earlier"))
+    pairs = blocks.join(earlier, (F.col("key") == F.col("_key")) & (F.col("before") <= F.col("block")))
+    pairs = pairs.repartition("key", "block", "before").select("lines", "earlier")
+    pairs = pairs.unionByName(few.select("lines", F.col("lines").alias("earlier")))
 
     def reached(p: Column) -> Column:
         def witness(q: Column) -> Column:
-            changed = sum((F.bit_count(p[f"p{i}"].bitwiseXOR(q[f"p{i}"])) for i in range(_PAIR_WORDS)), F.lit(0))
+            changed = [F.bit_count(p[w].bitwiseXOR(q[w])) for w in words]
+            some, all_of_them = (sum(x[1:], x[0]) <= 2 * _GRAM * edits for x in (changed[: _GRAM_WORDS // 4], changed))
             # the index holds the segments of the shorter line of a pair, which may be either
             comes_first = (q["first"] < p["first"]) & (p["line"] != q["line"]) & (p["index"] | q["index"])
-            return comes_first & (changed <= 4 * edits) & within_edits(q["line"], p["line"], edits)
+            return comes_first & some & all_of_them & within_edits(q["chars"], p["chars"], edits)
 
         return F.exists("earlier", witness)
 
