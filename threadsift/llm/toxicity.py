@@ -1,13 +1,14 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 Words of a text (runs without white space) are classified once per worker: whether they are in the learned lexicon, in
-it after undoing obfuscation, begin like toxic words, address the reader, are in capitals or obfuscated. The features
-of a text are densities of these classes, how near to a second person the lexicon words stand, rates of capitals,
-marks and digits, and the length.
+it after undoing obfuscation, begin like toxic words, are in a wider lexicon of weaker evidence, address the reader,
+are in capitals or obfuscated. The features of a text are densities of these classes, how near to a second person the
+lexicon words stand, rates of capitals, marks and digits, and the length.
 
-Training uses at most ``MAX_TRAINING_ROWS`` labelled rows, those with the least hash of doc_id, and their whole texts, in
-three parts that never mix: one gives the lexicon, one the trees, one the calibration, so that no step is fitted
-to what an earlier one has memorised. Every text is scored whole.
+Training uses at most ``MAX_TRAINING_ROWS`` labelled rows, those with the least hash of doc_id, and their whole texts.
+Two halves of four fifths give each the lexicon for the other's features, on which the trees are trained, so no row is
+described by a lexicon that has seen its label; the lexicon in use is that of both. The last fifth calibrates.
+Every text is scored whole.
 
 Defined results: a NULL or empty text has all features zero and a score like any other; several labels for a document
 count as toxic if one does, NULL labels are ignored; ties in sampling go by doc_id; without labelled rows of both
@@ -17,6 +18,7 @@ classes every score is the share of toxic rows (0 without rows).
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,14 +28,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.llm.hashing import flat
+from threadsift.llm.tables import settled
 
 MAX_TRAINING_ROWS = 15_000
 REJECT_SCORE = 0.7
-#: Entries of the lexicon at most, words and beginnings of words each.
+#: Entries of a lexicon at most, for each of words and beginnings and either strength.
 MAX_LEXICON = 4000
+#: Words and beginnings of toxic training documents that are considered at most, the most frequent ones.
+MOST_UNITS = 200_000
+#: How many times as frequent in toxic documents a word of the lexicon and of the wider one are.
+STRONG, WEAK = 12.0, 4.0
+#: Evidence for either: toxic documents with the word times the logarithm of that ratio. Among a million words chance
+#: alone reaches some 14.
+EVIDENCE = 18.0
 #: Words a worker remembers.
 REMEMBERED_WORDS = 500_000
-_BEGINNING = 5
+_BEGINNINGS = (5, 7)
 _NEAR = 3
 
 #: Words that address the reader, in the languages of the corpus.
@@ -41,16 +51,22 @@ SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deinen euch euer ihr tu te toi ton ta tes vous votre vos "
     "usted ustedes tú ti tus vosotros vuestro su sus".split()
 )
+#: Common insults, which are in every lexicon.
+INSULTS = frozenset(
+    "idiot idiots moron morons stupid loser losers pathetic worthless scum trash clown clowns disgusting dumb fool imbecile "
+    "filth vermin creep jerk freak idiota imbécil estúpido estúpida basura asqueroso idioten dummkopf blödmann abschaum "
+    "versager widerlich crétin débile abruti ordure minable dégoûtant".split()
+)
 #: Characters that stand for letters.
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"})
 _not_letters = re.compile(r"[\W_]+")
 _inner_mark = re.compile(r"[^\W\d_][*@$!|0-9._-]+[^\W\d_]")
 
-LEXICON, BEGINNING, SECOND, CAPITALS, OBFUSCATED, HIDDEN, DIGITS = 1, 2, 4, 8, 16, 32, 64
+LEXICON, BEGINNING, SECOND, CAPITALS, OBFUSCATED, HIDDEN, DIGITS, WIDER = 1, 2, 4, 8, 16, 32, 64, 128
 FEATURES = (
     "lexicon_rate", "lexicon_count", "beginning_rate", "beginning_count", "hidden_rate", "hidden_count", "near_second_rate",
     "second_rate", "capital_words", "capital_letters", "exclamations", "questions", "marks", "obfuscated_words",
-    "digit_words", "log_words", "word_length",
+    "digit_words", "wider_rate", "wider_count", "log_words", "word_length",
 )
 
 
@@ -65,6 +81,7 @@ class Words:
 
     lexicon: frozenset[str]
     beginnings: frozenset[str]
+    wider: frozenset[str]  # words and beginnings
     known: dict[bytes, int] = field(default_factory=dict)
 
     def classify(self, raw: bytes) -> int:
@@ -72,8 +89,11 @@ class Words:
         word, out = plain(text), 0
         if word in self.lexicon:
             out |= LEXICON
-        if word[:_BEGINNING] in self.beginnings:
+        begins = [word[:n] for n in _BEGINNINGS if len(word) >= n]
+        if not self.beginnings.isdisjoint(begins):
             out |= BEGINNING
+        if word in self.wider or not self.wider.isdisjoint(begins):
+            out |= WIDER
         if word in SECOND_PERSON:
             out |= SECOND
         if len(word) > 1 and text.isupper():
@@ -114,8 +134,8 @@ def features(column: pa.Array, words: Words) -> np.ndarray:
         if not n:
             continue
         kinds = words.classes(split)
-        totals = [int(np.count_nonzero(kinds & c)) for c in (LEXICON, BEGINNING, HIDDEN, SECOND, CAPITALS, OBFUSCATED, DIGITS)]
-        lexicon, beginning, hidden, second, capitals, obfuscated, digits = totals
+        totals = [int(np.count_nonzero(kinds & c)) for c in (LEXICON, BEGINNING, HIDDEN, SECOND, CAPITALS, OBFUSCATED, DIGITS, WIDER)]
+        lexicon, beginning, hidden, second, capitals, obfuscated, digits, wider = totals
         near = 0
         if lexicon + hidden and second:
             at = np.flatnonzero(kinds & (LEXICON | HIDDEN))
@@ -129,7 +149,7 @@ def features(column: pa.Array, words: Words) -> np.ndarray:
         out[i] = (
             lexicon / n, lexicon, beginning / n, beginning, hidden / n, hidden, near / n, second / n, capitals / n,
             counts[_UPPER].sum() / letters, counts[33] / size, counts[63] / size, counts[_MARK].sum() / size,
-            obfuscated / n, digits / n, np.log1p(n), size / n,
+            obfuscated / n, digits / n, wider / n, wider, np.log1p(n), size / n,
         )
     return out
 
@@ -229,38 +249,77 @@ def learnable(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) != 1
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        units, toxic = [], []
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = {plain(w) for w in (text or "").split()}
-            own = [f"w{w}" for w in found if w] + [f"b{b}" for b in {w[:_BEGINNING] for w in found if len(w) >= _BEGINNING}]
-            units += own
-            toxic += [y] * len(own)
-            if len(units) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(toxic, pa.int32())], names=["unit", "toxic"])
-                units, toxic = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(toxic, pa.int32())], names=["unit", "toxic"])
-
-
-def _lexicon(rows: DataFrame, toxic: int, clean: int) -> Words:
-    """Words and beginnings that occur in far more of the toxic than of the clean documents."""
-    counted = rows.mapInArrow(_units, "unit string, toxic int").groupBy("unit")
-    counted = counted.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-    odds = ((F.col("t") + 0.5) / (toxic + 1)) / ((F.col("n") - F.col("t") + 0.5) / (clean + 1))
-    found = counted.filter((F.col("t") >= 3) & (odds >= 12)).select("unit", (F.col("t") * F.log(odds)).alias("worth"))
-    kept = {"w": [], "b": []}
-    for kind in kept:
-        top = found.filter(F.substring("unit", 1, 1) == kind).orderBy(F.desc("worth"), "unit").limit(MAX_LEXICON).collect()
-        kept[kind] = [r["unit"][1:] for r in top]
-    return Words(frozenset(kept["w"]), frozenset(kept["b"]))
+def _units(wanted: frozenset[str] | None):
+    """The words and beginnings of each text, once each, with a hash of the word before: copies of a passage have the
+    same word before, so they count as one place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 200):
+                units, before, toxic, half = [], [], [], []
+                for text, y, h in zip(*(batch.column(c).slice(i, 200).to_pylist() for c in range(3)), strict=True):
+                    found, last = {}, ""
+                    for w in map(plain, (text or "").split()):
+                        if w and f"w{w}" not in found:
+                            found[f"w{w}"] = last
+                            for n in _BEGINNINGS:
+                                if len(w) >= n:
+                                    found.setdefault(f"b{w[:n]}", last)
+                        last = w
+                    own = list(found) if wanted is None else [u for u in found if u in wanted]
+                    units += own
+                    before += [zlib.crc32(found[u].encode()) for u in own]
+                    toxic += [y] * len(own)
+                    half += [h] * len(own)
+                arrays = [pa.array(units, pa.string()), pa.array(before, pa.int64()), pa.array(toxic, pa.int32()), pa.array(half, pa.int32())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["unit", "before", "toxic", "half"])
+
+    return run
+
+
+_UNITS = "unit string, before long, toxic int, half int"
+
+
+def _lexicons(rows: DataFrame) -> tuple[Words, Words, Words]:
+    """Of the rows of half 0, of half 1, and of both: words and beginnings that occur in far more of the toxic than of
+    the clean documents. Units are first looked for in toxic documents, then counted in the clean ones."""
+    sizes = {0: [0, 0], 1: [0, 0]}
+    for r in rows.groupBy("half").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["half"]] = [r["t"], r["n"]]
+
+    def places_of(found: DataFrame, name: str) -> DataFrame:
+        places = found.groupBy("unit", "before").agg(F.min("half").alias("a"), F.max("half").alias("b"))
+        zero, one = F.sum((F.col("a") == 0).cast("int")), F.sum((F.col("b") == 1).cast("int"))
+        return places.groupBy("unit").agg(zero.alias(f"{name}0"), one.alias(f"{name}1"))
+
+    toxic_units = places_of(rows.filter("toxic = 1").mapInArrow(_units(None), _UNITS), "t")
+    toxic_units = settled(toxic_units.filter(F.col("t0") + F.col("t1") >= 3).orderBy(F.desc(F.col("t0") + F.col("t1")), "unit").limit(MOST_UNITS), "units")
+    wanted = frozenset(r["unit"] for r in toxic_units.select("unit").collect())  # at most MOST_UNITS
+    clean_units = places_of(rows.filter("toxic = 0").mapInArrow(_units(wanted), _UNITS), "c")
+    table = toxic_units.join(clean_units.withColumnRenamed("unit", "_unit"), F.col("unit") == F.col("_unit"), "left").fillna(0, ["c0", "c1"])
+    table = table.select("unit", "t0", (F.col("t0") + F.col("c0")).alias("n0"), "t1", (F.col("t1") + F.col("c1")).alias("n1"))
+    counted = settled(table, "units")
+    out = []
+    for t, n, toxic, every in (
+        (F.col("t0"), F.col("n0"), *sizes[0]), (F.col("t1"), F.col("n1"), *sizes[1]),
+        (F.col("t0") + F.col("t1"), F.col("n0") + F.col("n1"), sizes[0][0] + sizes[1][0], sizes[0][1] + sizes[1][1]),
+    ):
+        odds = ((t + 0.5) / (toxic + 1)) / ((n - t + 0.5) / (every - toxic + 1))
+        found = counted.filter((odds >= WEAK) & (t * F.log(odds) >= EVIDENCE)).select("unit", (t * F.log(odds)).alias("worth"), (odds >= STRONG).alias("strong"))
+        kept = {}
+        for kind in ("w", "b"):
+            for strong in (True, False):
+                own = found.filter((F.substring("unit", 1, 1) == kind) & (F.col("strong") == strong))
+                kept[kind, strong] = [r["unit"][1:] for r in own.orderBy(F.desc("worth"), "unit").limit(MAX_LEXICON).collect()]
+        out.append(Words(frozenset(kept["w", True]) | INSULTS, frozenset(kept["b", True]), frozenset(kept["w", False] + kept["b", False])))
+    return tuple(out)
 
 
 def _featured(words: Words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = features(batch.column(0), words)
-            yield pa.RecordBatch.from_arrays([pa.array(rows.tolist(), pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "toxic", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows.tolist(), pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
     return run
 
@@ -272,22 +331,23 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     known = known.withColumn("place", place).orderBy("place", "doc_id").limit(max_rows)
     # at most max_rows narrow rows: bounded, so they can go to every task
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic", "place")
     fold = F.pmod(F.xxhash64("place"), F.lit(5))
-    first = rows.filter(fold < 2)
-    sizes = first.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
-    words = _lexicon(first.select("text", "toxic"), sizes["t"], sizes["n"] - sizes["t"])
-    got = rows.filter(fold >= 2).withColumn("place", F.when(fold == 4, -1).otherwise(1)).repartition(12)
-    table = got.mapInArrow(_featured(words), "x array<double>, toxic int, place int").collect()
-    table.sort(key=lambda r: (r["place"], r["toxic"], r["x"]))
-    x = np.array([r["x"] for r in table]).reshape(len(table), len(FEATURES))
-    y, own = np.array([r["toxic"] for r in table]), np.array([r["place"] for r in table])
-    fit, held = own > 0, own < 0
-    if len(set(y[fit])) < 2:
-        return Model(words, None, (np.zeros(1), np.zeros(1)), float(y.mean()) if len(y) else 0.0)
-    trees = Trees.fit(x[fit], y[fit])
-    held = held if len(set(y[held])) == 2 else fit
-    return Model(words, trees, isotonic(trees.raw(x[held]), y[held]), float(y.mean()))
+    half = F.when(fold < 4, F.pmod(fold, F.lit(2))).otherwise(2).cast("int")
+    rows = settled(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic", half.alias("half")), "labelled")
+    lexicons = _lexicons(rows.filter("half < 2"))
+    x, y = [], []
+    for part, words in enumerate((lexicons[1], lexicons[0], lexicons[2])):
+        got = rows.filter(F.col("half") == part).select("text", "toxic").repartition(6).mapInArrow(_featured(words), "x array<double>, toxic int")
+        got = sorted(((r["toxic"], r["x"]) for r in got.collect()))
+        x.append(np.array([r[1] for r in got]).reshape(len(got), len(FEATURES)))
+        y.append(np.array([r[0] for r in got], np.int64))
+    fit_x, fit_y = np.concatenate(x[:2]), np.concatenate(y[:2])
+    every = np.concatenate(y)
+    if len(set(fit_y.tolist())) < 2:
+        return Model(lexicons[2], None, (np.zeros(1), np.zeros(1)), float(every.mean()) if len(every) else 0.0)
+    trees = Trees.fit(fit_x, fit_y)
+    held_x, held_y = (x[2], y[2]) if len(set(y[2].tolist())) == 2 else (fit_x, fit_y)
+    return Model(lexicons[2], trees, isotonic(trees.raw(held_x), held_y), float(every.mean()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
