@@ -2,6 +2,7 @@
 
 import json
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from threadsift.operators import features as f
 from threadsift.plans import job
 from threadsift.operators.quality import QualityMetrics
 from threadsift.sources.limit import find_cut, read_to_cut
-from threadsift.sources.readers import read_analytical, read_feed
+from threadsift.sources.readers import read_analytical, read_feed, stored_files
 from threadsift.streaming import ingest as s
 from workload.feed import comment_feed
 
@@ -57,60 +58,60 @@ def fill(path, name):
 DROPPED = {c.CORRUPT_RECORD: 2, c.NULL_BODY: 8, c.PLACEHOLDER: 4}
 
 
-def tagged(spark):
-    return lambda files: c.tag(read_feed(spark, files), c.INGEST_RULES, drop_empty=True)
+def cut_of(spark, source, limit):
+    feed = job._Source(spark, str(source), job.JobOptions())
+    return feed, find_cut(feed.tagged, stored_files(spark, str(source)), limit)
 
 
 @pytest.mark.parametrize("limit", [1, 2, 3, 4, 6, 7, 8, 11, 12, 13, 100])
 @pytest.mark.parametrize("names", ["folder", "odd_folder"])
 def test_limit_takes_the_first_files(spark, request, names, limit):
-    source = request.getfixturevalue(names)
-    cut = find_cut(tagged(spark), read_feed(spark, source).inputFiles(), limit)
-    rows = read_to_cut(spark, lambda files: c.keep_tagged(tagged(spark)(files)), cut)
-    got = [r["id"] for r in rows.collect()]
+    feed, cut = cut_of(spark, request.getfixturevalue(names), limit)
+    got = [r["id"] for r in read_to_cut(spark, feed.kept, cut).collect()]
     assert len(got) == len(set(got)) == min(limit, 12)
     whole = 0 if limit < 3 else 3 if limit < 7 else 7 if limit < 12 else 12
     assert {f"k{i}" for i in range(whole)} <= set(got)
 
 
-@pytest.mark.parametrize("limit", [1, 9, 10, 11, 25, 99, 100, 150])
-def test_limit_inside_a_large_file_goes_by_pieces(spark, tmp_path, monkeypatch, limit):
-    limits, plain = [], DataFrame.limit
-    monkeypatch.setattr(DataFrame, "limit", lambda df, n: limits.append(n) or plain(df, n))
-    write_file(tmp_path / "one.json", [{"id": f"k{i}", "body": f"text {i}"} for i in range(100)])
-    read = lambda files: c.keep_tagged(tagged(spark)(files))
-    cut = find_cut(tagged(spark), read_feed(spark, str(tmp_path / "one.json")).inputFiles(), limit)
-    rows = read_to_cut(spark, read, cut, rows_per_limit=10)
-    got = [r["id"] for r in rows.collect()]
-    assert len(got) == len(set(got)) == min(limit, 100)
-    assert all(n <= 10 for n in limits)
+@pytest.mark.parametrize("limit", [1, 500, 1234, 1999, 2000])
+def test_limit_inside_a_file_shuffles_one_block(spark, tmp_path, monkeypatch, limit):
+    """A file of 40 blocks: what passes through the limit is in one of them."""
+    limited, plain = [], DataFrame.limit
+    monkeypatch.setattr(DataFrame, "limit", lambda df, n: limited.append((df, n)) or plain(df, n))
+    write_file(tmp_path / "one.json", [{"id": f"k{i:04}", "body": "x" * 100} for i in range(2000)])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    size = (tmp_path / "one.json").stat().st_size
+    for key in before:
+        spark.conf.set(key, str(size // 40 + 1))
+    try:
+        feed, cut = cut_of(spark, tmp_path / "one.json", limit)
+        rows = read_to_cut(spark, feed.kept, cut)
+        got = [r["id"] for r in rows.collect()]
+        assert got and len(got) == len(set(got)) == limit
+        within = [(df.count(), n) for df, n in limited if "id" in df.columns]
+        assert len(within) == (limit < 2000) and all(n <= held <= 60 for held, n in within)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
     # which rows were taken is settled before any later stage reads them
     assert "Limit" not in plan_of(rows, "simple")
 
 
-def test_limit_inside_a_file_read_in_many_splits(spark, tmp_path):
-    write_file(tmp_path / "one.json", [{"id": f"k{i}", "body": "x" * 100} for i in range(2000)])
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        read = lambda files: c.keep_tagged(tagged(spark)(files))
-        cut = find_cut(tagged(spark), read_feed(spark, str(tmp_path / "one.json")).inputFiles(), 1234)
-        for bound in (100, 10_000):
-            got = [r["id"] for r in read_to_cut(spark, read, cut, bound).collect()]
-            assert len(got) == len(set(got)) == 1234
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+def test_limit_prunes_files_when_listing(spark, folder):
+    feed, cut = cut_of(spark, folder, 8)
+    whole = read_to_cut(spark, feed.kept, replace(cut, cut=None))
+    assert "file_path" in plan_of(whole) and whole.count() == 7
 
 
 @pytest.mark.parametrize("limit", [0, -1])
 def test_limit_must_be_positive(spark, folder, limit):
     with pytest.raises(ValueError, match="positive"):
-        find_cut(tagged(spark), read_feed(spark, folder).inputFiles(), limit)
+        cut_of(spark, folder, limit)
 
 
 def test_limit_stops_counting_at_the_cut(spark, folder):
-    cut = find_cut(tagged(spark), read_feed(spark, folder).inputFiles(), 2)
-    assert len(cut.whole) == 1 and cut.rows_of_cut == 2
+    _, cut = cut_of(spark, folder, 2)
+    assert cut.last_whole.endswith("f0.json") and cut.rows_of_cut == 2
     # files 0 and 1: an empty text each, a placeholder in the second, three rows to keep
     assert cut.counts == {"rows_read": 6, c.CORRUPT_RECORD: 0, c.NULL_BODY: 2, c.PLACEHOLDER: 1}
 
@@ -220,6 +221,11 @@ def test_stream_of_parquet(spark, tmp_path):
     assert read_feed(spark, str(tmp_path / "out")).count() == c.ingest_clean(feed).count()
 
 
+def test_stream_refuses_names_that_spark_reads_twice(spark, odd_folder):
+    with pytest.raises(ValueError, match="pattern"):
+        s.stream_feed(spark, odd_folder)
+
+
 def test_stream_bounded_by_bytes(spark, folder, tmp_path):
     stream = s.stream_ingest_clean(s.stream_feed(spark, folder, bytes_per_batch=300))
     query = s.start_landing(stream, str(tmp_path / "out"), str(tmp_path / "cp"))

@@ -86,6 +86,14 @@ def test_nan_score_is_kept_and_positive(feed):
         (None, None),
         ("NaN", None),
         ("1e30", None),
+        ("1e3", None),
+        ("12d", None),
+        ("12f", None),
+        ("9223372036854775807", 2**63 - 1),
+        ("9223372036854775808", None),
+        ("9223372036854775808.0", None),
+        (" 12.9 ", 12),
+        ("-12.9", -12),
         ("1325376000", 1325376000),
         ("1325376000.0", 1325376000),
         ("1325379600.5", 1325379600),

@@ -13,9 +13,11 @@ _MAX_EPOCH_SECONDS = 9_000_000_000_000
 
 
 def _truncated(c: Column, to: str) -> Column:
-    # A direct try_cast refuses '1325379600.0', the text of a float in the feed; through
-    # double the fraction is cut. The direct cast goes first to keep all 64 bits.
-    return F.coalesce(c.try_cast(to), c.try_cast("double").try_cast(to))
+    # A direct try_cast refuses '1325379600.0', the text of a float in the feed. Its whole part is
+    # taken as text, so all 64 bits stay and what is out of range is NULL. Other notations of
+    # numbers ('1e3', '12d') are not whole numbers here, as in the plain cast.
+    whole = F.regexp_extract(c.cast("string"), r"^\s*([+-]?\d+)\.\d*\s*$", 1)
+    return F.coalesce(c.try_cast(to), whole.try_cast(to))
 
 
 def as_long(c: Column) -> Column:
@@ -68,7 +70,10 @@ def is_long(length: Column, over: int) -> Column:
 
 
 def flag_is_set(flag: Column) -> Column:
-    """1 when the flag's whole part is 1 or it is a JSON ``true``, else 0; NULL and text give 0."""
+    """1 when the flag's whole part is 1 or it is a JSON ``true``, else 0; NULL and other text give 0.
+
+    JSON fields are read as text, where ``true`` and ``"true"`` look alike: both count as set.
+    """
     return F.when((as_int(flag) == 1) | (flag.cast("string") == "true"), 1).otherwise(0)
 
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTH_KEY = ("year", "month")
 # Salted keys are hashed to tasks; with several per task the shares come out even.
 _SALTS_PER_TASK = 16
+# Pieces of a month when the size of the feed is not known.
+_FEWEST_PIECES = 8
+# A month is cut so that one with all rows has pieces of so many advisory partition sizes.
+_SIZES_PER_PIECE = 32
+_PIECE = "_piece"
 
 REBALANCE = "rebalance"
 AS_READ = "as_read"
@@ -20,17 +27,17 @@ def _adaptive(df: DataFrame) -> bool:
     return all(df.sparkSession.conf.get(key, "true").lower() == "true" for key in needed)
 
 
-def _exact_partitions(df: DataFrame, partitions: int | None) -> int | None:
-    """Partitions for the shuffle by month; None is the session's own number.
+def pieces_of_month(spark: SparkSession, source_bytes: int | None) -> int:
+    """Into how many pieces to cut a month of a feed of that size."""
+    if not source_bytes:
+        return _FEWEST_PIECES
+    size = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    return max(_FEWEST_PIECES, -(-source_bytes // (_SIZES_PER_PIECE * size)))
 
-    Above 2000 partitions (the default) a map task reports only the average of its smaller
-    blocks, adaptive execution takes a hot month for an average one and leaves it whole.
-    """
-    conf = df.sparkSession.conf
-    most = int(conf.get("spark.shuffle.minNumPartitionsToHighlyCompress", "2000"))
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    wanted = partitions or int(initial or conf.get("spark.sql.shuffle.partitions"))
-    return most if wanted > most else partitions
+
+def _bytes(setting: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", setting.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
 def by_month(
@@ -38,14 +45,15 @@ def by_month(
     layout: str = REBALANCE,
     partitions: int | None = None,
     salt_columns: tuple[str, ...] = (),
+    pieces: int = _FEWEST_PIECES,
 ) -> DataFrame:
     """Brings the rows of a month together so that a month gets few, full files.
 
-    ``rebalance`` shuffles once by month; adaptive execution then splits a month larger than
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over several tasks and joins small
-    ones, so one month may hold all rows. With adaptive execution off nothing would
-    split it, so a salt from ``salt_columns`` goes into the key instead: even then every task
-    gets its share, at the price of more files per month.
+    ``rebalance`` shuffles once by month and a piece of it, a hash of ``salt_columns`` below
+    ``pieces``; so a month that holds all rows is still that many tasks, whatever the number of
+    partitions. Adaptive execution merges small pieces and splits what is larger than
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` where it can see that. With adaptive execution
+    off every task gets its share of every month, at the price of more files.
 
     ``as_read`` moves nothing: right for a feed whose files are already in time order.
     """
@@ -53,9 +61,10 @@ def by_month(
         return df
     if layout != REBALANCE:
         raise ValueError(f"layout is {REBALANCE!r} or {AS_READ!r}, not {layout!r}")
+    salt = F.xxhash64(*(salt_columns or df.columns))
     if _adaptive(df):
-        exact = _exact_partitions(df, partitions)
-        return df.hint("rebalance", *(() if exact is None else (exact,)), *MONTH_KEY)
+        cut = df.withColumn(_PIECE, F.pmod(salt, F.lit(pieces)))
+        number = () if partitions is None else (partitions,)
+        return cut.hint("rebalance", *number, *MONTH_KEY, _PIECE).drop(_PIECE)
     tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*(salt_columns or df.columns)), F.lit(_SALTS_PER_TASK * tasks))
-    return df.repartition(tasks, *MONTH_KEY, salt)
+    return df.repartition(tasks, *MONTH_KEY, F.pmod(salt, F.lit(_SALTS_PER_TASK * tasks)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, INGEST_RULES, REJECT
 
 ROWS_READ = "rows_read"
+PRESENT = "_present_"
 
 
 def reject_counts(rules: tuple[str, ...]) -> list[Column]:
@@ -20,6 +21,25 @@ def reject_counts(rules: tuple[str, ...]) -> list[Column]:
     ]
 
 
+def present_fields(fields: list[str]) -> tuple[list[Column], Column]:
+    """Aggregates that tell for each field whether any row has a value, and the column of bits they
+    are taken from."""
+    bits = F.lit(0)
+    for place, name in enumerate(fields):
+        bits = bits.bitwiseOR(F.when(F.col(name).isNotNull(), 1 << place).otherwise(0))
+    aggregates = [
+        F.max(F.col(PRESENT).bitwiseAND(F.lit(1 << place))).alias(f"{PRESENT}{name}") for place, name in enumerate(fields)
+    ]
+    return aggregates, bits.alias(PRESENT)
+
+
+def fields_without_values(counts: dict) -> list[str]:
+    """Fields that no row read has a value in; none when no row was read."""
+    if not counts[ROWS_READ]:
+        return []
+    return [name.removeprefix(PRESENT) for name, value in counts.items() if name.startswith(PRESENT) and not value]
+
+
 def extraction_metrics(counts: dict) -> dict[str, int]:
     kept = counts[ROWS_READ] - sum(counts[r] for r in INGEST_RULES)
     return {"total_records": kept, **{r: counts[r] for r in INGEST_RULES}}

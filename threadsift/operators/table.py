@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, REJECT, keep_tagged, tag, typed_columns
 from threadsift.operators.features import all_features, analytical_columns, month_columns
-from threadsift.operators.layout import REBALANCE, by_month
-from threadsift.operators.quality import reject_counts
+from threadsift.operators.layout import REBALANCE, by_month, pieces_of_month
+from threadsift.operators.quality import present_fields, reject_counts
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 RULES = CLEANING_RULES + CAST_RULES
@@ -21,6 +21,7 @@ def counted_table(
     drop_empty: bool = False,
     layout: str = REBALANCE,
     partitions: int | None = None,
+    source_bytes: int | None = None,
 ) -> DataFrame:
     """The analytical table laid out by month, its rejects counted on the way.
 
@@ -28,18 +29,19 @@ def counted_table(
     month; counters and features come after it. Rows to drop travel along for that, without
     their text. The counters have to sit there: when an executor is lost Spark runs its map
     tasks again and would count their rows twice, whereas each partition of the writing
-    stage is counted exactly once.
+    stage is counted exactly once. Which fields have any value at all is counted with them.
     """
     carried = [c for c in (*spec.fields, CORRUPT) if c in raw.columns]
+    has_values, bits = present_fields([c for c in spec.fields if c in raw.columns])
     tagged = (
-        raw.select(*carried)
+        raw.select(*carried, bits)
         .transform(typed_columns, spec)
         .transform(month_columns)
         .transform(tag, RULES, spec, drop_empty=drop_empty)
         .withColumn(spec.text, F.when(F.col(REJECT).isNull(), F.col(spec.text)))
         .drop(spec.event_time, spec.score, CORRUPT)
     )
-    salt = tuple(c for c in (spec.id, spec.text) if c in tagged.columns)
-    placed = by_month(tagged, layout, partitions, salt)
-    counted = placed.observe(observation, *reject_counts(RULES))
+    salt = next(((c,) for c in (spec.id, spec.text) if c in tagged.columns), ())
+    placed = by_month(tagged, layout, partitions, salt, pieces_of_month(raw.sparkSession, source_bytes))
+    counted = placed.observe(observation, *reject_counts(RULES), *has_values)
     return keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)

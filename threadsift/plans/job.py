@@ -7,11 +7,11 @@ the running stage. The feed is parsed once, or twice when a copy is landed first
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators import views as v
@@ -21,12 +21,13 @@ from threadsift.operators.quality import (
     QualityMetrics,
     after_ingest,
     extraction_metrics,
+    fields_without_values,
     reject_counts,
     transformation_metrics,
 )
 from threadsift.operators.table import counted_table
 from threadsift.sources.limit import find_cut, read_to_cut
-from threadsift.sources.readers import read_analytical, read_feed, stored_bytes
+from threadsift.sources.readers import DETECT, detect_fields, read_analytical, read_feed, stored_bytes, stored_files
 from threadsift.sources.writers import (
     write_analytical,
     write_chart_table,
@@ -37,7 +38,6 @@ from threadsift.sources.writers import (
 )
 from threadsift.spec import DEFAULT, FeedSpec
 
-
 _WRITES_AT_ONCE = 4
 
 
@@ -45,7 +45,9 @@ _WRITES_AT_ONCE = 4
 class JobOptions:
     spec: FeedSpec = DEFAULT
     source_format: str = "json"
-    fields: tuple[str, ...] | None = None
+    # The fields a JSON feed carries. None assumes all eight and fails when one that rows depend on
+    # has no value anywhere; "detect" looks for them in a pass of its own.
+    fields: tuple[str, ...] | str | None = None
     limit: int | None = None
     # Land a slim copy of the feed first. Worth its two extra passes for a source that is slow
     # or will not stay; files already on shared storage go straight into the transform.
@@ -116,6 +118,13 @@ class _Source:
         o = self.options
         return read_feed(self.spark, paths or [self.path], o.source_format, o.spec, o.fields)
 
+    def with_known_fields(self) -> _Source:
+        o = self.options
+        if o.fields != DETECT:
+            return self
+        found = detect_fields(self.spark, self.path, o.spec) if o.source_format == "json" else None
+        return replace(self, options=replace(o, fields=found))
+
     def check_columns(self) -> None:
         """Fails before any work when the feed lacks what the table or the views need."""
         spec, columns = self.options.spec, self.raw().columns
@@ -126,16 +135,19 @@ class _Source:
     def tagged(self, paths: list[str] | None = None) -> DataFrame:
         return tag(self.raw(paths), INGEST_RULES, self.options.spec, drop_empty=True)
 
-    def kept(self, paths: list[str] | None = None) -> DataFrame:
-        return keep_tagged(self.tagged(paths)).transform(feed_columns, self.options.spec)
+    def kept(self, paths: list[str] | None = None, where: Column | None = None, with_block: bool = False) -> DataFrame:
+        raw = self.raw(paths) if where is None else self.raw(paths).filter(where)
+        block = F.col("_metadata.file_block_start").alias("_block")
+        kept = keep_tagged(tag(raw.select(block, "*") if with_block else raw, INGEST_RULES, self.options.spec, drop_empty=True))
+        return kept.select("_block") if with_block else kept.transform(feed_columns, self.options.spec)
 
     def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, float]]:
         """The first kept rows and the metrics of the files they came from."""
-        cut = find_cut(self.tagged, self.raw().inputFiles(), limit)
+        cut = find_cut(self.tagged, stored_files(self.spark, self.path), limit)
         rows = read_to_cut(self.spark, self.kept, cut)
         metrics = extraction_metrics(cut.counts)
         metrics["total_records"] = min(metrics["total_records"], limit)
-        metrics["file_size_mb"] = _megabytes(self.spark, cut.files) if cut.files else 0.0
+        metrics["file_size_mb"] = round(cut.bytes / 1024 / 1024, 2)
         return self.kept().limit(0) if rows is None else rows, metrics
 
 
@@ -174,17 +186,25 @@ def transform(
     options: JobOptions = JobOptions(),
     quality: QualityMetrics | None = None,
     unlanded: bool = False,
+    source_bytes: int | None = None,
 ) -> tuple[str, ...]:
     """Raw feed to the stored analytical table, in one pass; returns its columns.
 
-    With ``unlanded`` the ingest rules apply in the same pass, and both stages are reported.
+    With ``unlanded`` the ingest rules apply in the same pass, and both stages are reported. Fails
+    when a field that rows depend on was assumed to be there and no row has a value in it: then
+    every row would be dropped, or go to no group, without a word.
     """
     spec = options.spec
     observation = Observation("transformation")
-    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions)
+    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes)
     write_analytical(table, analytical, options.mode)
+    counts = observation.get
+    if options.fields is None:
+        needed = (spec.text, spec.score, spec.event_time, spec.group)
+        empty = [f for f in fields_without_values(counts) if f in needed]
+        if empty:
+            raise ValueError(f"no row has a value in {', '.join(empty)}: name the fields that the feed carries")
     if quality is not None:
-        counts = observation.get
         if unlanded:
             quality.add_metrics("extraction", extraction_metrics(counts))
             counts = after_ingest(counts)
@@ -260,18 +280,22 @@ def run_job(
     paths, quality = Paths(output.rstrip("/")), QualityMetrics()
     feed = _Source(spark, source, options)
     try:
+        feed = feed.with_known_fields()
+        options = feed.options
         feed.check_columns()
         if options.land:
             ingest(spark, source, paths.landed, options, quality)
             raw = read_feed(spark, paths.landed, "json", options.spec, options.fields)
-            columns = transform(raw, paths.analytical, options, quality)
+            size = stored_bytes(spark, paths.landed)
+            columns = transform(raw, paths.analytical, options, quality, source_bytes=size)
         elif options.limit is not None:
             rows, metrics = feed.first_rows(options.limit)
             quality.add_metrics("extraction", metrics)
             columns = transform(rows, paths.analytical, options, quality)
         else:
-            columns = transform(feed.raw(), paths.analytical, options, quality, unlanded=True)
-            quality.add_metric("extraction", "file_size_mb", _megabytes(spark, source))
+            size = stored_bytes(spark, source)
+            columns = transform(feed.raw(), paths.analytical, options, quality, unlanded=True, source_bytes=size)
+            quality.add_metric("extraction", "file_size_mb", round(size / 1024 / 1024, 2))
         table = read_analytical(spark, paths.analytical, options.spec, columns)
         views = summarise(spark, table, paths.view_summary, options.spec)
         written = persist_views(views, paths, options)

@@ -2,10 +2,10 @@
 
 ``DataFrame.limit`` in front of a write cuts each task to ``n`` rows, shuffles what is left
 to a single task and takes ``n`` there. A task holds fewer rows than a usual ``n``, so the
-whole feed would be read and shuffled. Here files are counted a few at a time,
-in name order, until they hold enough rows. Files before the cut are read whole; only rows of
-the one file at the cut pass through a limit. When that would be many rows, the file is first
-written out in small pieces and the same is done with those.
+whole feed would be read and shuffled. Here files are counted a few at a time, in name order,
+until they hold enough rows. Files before the cut are read whole, by a condition on the file name.
+The file at the cut is counted by block, the pieces in which Spark reads it: blocks before the cut are
+taken whole, and only rows of the one block at the cut pass through a limit.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators.clean import INGEST_RULES, REJECT
@@ -24,25 +25,21 @@ from threadsift.sources.scratch import scratch_folder
 
 # Files counted per step: 1, 4, 16, ... up to this many, which bounds each result fetched.
 _MOST_FILES_PER_STEP = 4096
+_FILE, _BLOCK = "_metadata.file_path", "_metadata.file_block_start"
+# The pieces of a file may change between two reads when the cluster grows or shrinks.
+_ATTEMPTS = 3
 
 
 @dataclass(frozen=True)
 class Cut:
-    """Files read whole, the file cut and the rows to take from it, counters of all of them."""
+    """The last file read whole (and all before it in name order), the file cut and the rows to take
+    from it, and of all of them the counters and bytes."""
 
-    whole: tuple[str, ...]
+    last_whole: str | None
     cut: str | None
     rows_of_cut: int
     counts: dict[str, int]
-
-    @property
-    def files(self) -> list[str]:
-        return [*self.whole, self.cut] if self.cut else list(self.whole)
-
-
-def _file_key(uri: str) -> str:
-    # The file list says file:///a, the file column file:/a.
-    return re.sub(r"^(\w+):/+", r"\1:/", unquote(uri))
+    bytes: int
 
 
 def _as_path(uri: str) -> str:
@@ -50,82 +47,73 @@ def _as_path(uri: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
-def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: list[str], rows: int) -> Cut:
-    """Where the first ``rows`` kept rows end, over files in name order.
-
-    ``files`` are names as ``DataFrame.inputFiles`` gives them.
-    """
+def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: DataFrame, rows: int) -> Cut:
+    """Where the first ``rows`` kept rows end, over ``files`` (file, length) in name order."""
     if rows <= 0:
         raise ValueError("the row limit must be positive; leave it out to read everything")
-    waiting = sorted(files, key=unquote)
     counters = (ROWS_READ, *INGEST_RULES)
     counts = dict.fromkeys(counters, 0)
-    whole: list[str] = []
-    left, step = rows, 1
-    while waiting:
-        batch, waiting = waiting[:step], waiting[step:]
+    last, left, step, size = None, rows, 1, 0
+    while True:
+        waiting = files if last is None else files.filter(F.col("file") > last)
+        batch = waiting.orderBy("file").limit(step).collect()
+        if not batch:
+            return Cut(last, None, 0, counts, size)
         per_file = (
-            read_tagged([_as_path(f) for f in batch])
-            .groupBy(F.col("_metadata.file_path").alias("file"))
+            read_tagged([_as_path(f["file"]) for f in batch])
+            .groupBy(F.col(_FILE).alias("file"))
             .agg(F.count_if(F.col(REJECT).isNull()).alias("kept"), *reject_counts(INGEST_RULES))
         )
-        found = {_file_key(r["file"]): r for r in per_file.collect()}
-        unknown = found.keys() - {_file_key(f) for f in batch}
+        found = {r["file"]: r for r in per_file.collect()}
+        unknown = found.keys() - {f["file"] for f in batch}
         if unknown:
             raise RuntimeError(f"rows from files that were not asked for: {sorted(unknown)[:3]}")
-        for file in batch:
-            row = found.get(_file_key(file))
-            if row is None:
-                continue
-            for name in counters:
-                counts[name] += row[name]
-            if row["kept"] > left:
-                return Cut(tuple(whole), _as_path(file), left, counts)
-            whole.append(_as_path(file))
-            left -= row["kept"]
+        for file, length in batch:
+            row = found.get(file)
+            size += length
+            if row is not None:
+                for name in counters:
+                    counts[name] += row[name]
+                if row["kept"] > left:
+                    return Cut(last, file, left, counts, size)
+                left -= row["kept"]
+            last = file
             if left == 0:
-                return Cut(tuple(whole), None, 0, counts)
+                return Cut(last, None, 0, counts, size)
         step = min(4 * step, _MOST_FILES_PER_STEP)
-    return Cut(tuple(whole), None, 0, counts)
 
 
 def read_to_cut(
-    spark: SparkSession,
-    read_kept: Callable[[list[str]], DataFrame],
-    cut: Cut,
-    rows_per_limit: int = 1_000_000,
+    spark: SparkSession, read_kept: Callable[[list[str] | None, Column | None], DataFrame], cut: Cut
 ) -> DataFrame | None:
-    """The rows up to the cut; None when no file holds a row.
+    """The rows up to the cut; None when there is no file.
 
-    At most ``rows_per_limit`` rows pass through one task.
+    ``read_kept`` reads the feed, or only some paths of it, under a condition.
     """
-    whole = read_kept(list(cut.whole)) if cut.whole else None
-    rest = None
-    if cut.cut is not None and cut.rows_of_cut > rows_per_limit:
-        rest = _first_of_large_file(spark, read_kept([cut.cut]), cut.rows_of_cut, rows_per_limit)
-    elif cut.cut is not None:
-        # Which rows a limit takes may change when its task runs again after a loss. Once
-        # written they are the same for every task that reads them.
-        rest = _staged(spark, read_kept([cut.cut]).limit(cut.rows_of_cut))
+    whole = read_kept(None, F.col(_FILE) <= cut.last_whole) if cut.last_whole is not None else None
+    rest = None if cut.cut is None else _first_of_file(spark, read_kept, [_as_path(cut.cut)], cut.rows_of_cut)
     if whole is None or rest is None:
         return rest if whole is None else whole
     return whole.unionByName(rest)
 
 
-def _staged(spark: SparkSession, df: DataFrame, rows_per_file: int = 0) -> DataFrame:
-    path = scratch_folder(spark, "cut")
-    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _first_of_large_file(spark: SparkSession, kept: DataFrame, rows: int, rows_per_limit: int) -> DataFrame:
-    pieces = _staged(spark, kept, rows_per_limit)
-
-    def read(files: list[str]) -> DataFrame:
-        return spark.read.schema(kept.schema).parquet(*files)
-
-    def read_tagged(files: list[str]) -> DataFrame:
-        return read(files).withColumn(REJECT, F.lit(None).cast("string"))
-
-    cut = find_cut(read_tagged, pieces.inputFiles(), rows)
-    return read_to_cut(spark, read, cut, rows_per_limit)
+def _first_of_file(spark: SparkSession, read_kept, file: list[str], rows: int) -> DataFrame:
+    """The first rows of one file, written: which rows a limit takes may change when its task runs
+    again after a loss. The file is read alone each time, so its blocks are the same."""
+    for _ in range(_ATTEMPTS):
+        per_block = _with_block(read_kept, file).groupBy("_block").count().orderBy("_block").collect()
+        sums = list(accumulate(r["count"] for r in per_block))
+        at = next(i for i, n in enumerate(sums) if n >= rows)
+        block, before = per_block[at]["_block"], sums[at] - per_block[at]["count"]
+        head = read_kept(file, F.col(_BLOCK) < block)
+        taken = head.unionByName(read_kept(file, F.col(_BLOCK) == block).limit(rows - before))
+        path = scratch_folder(spark, "cut")
+        taken.write.parquet(path)
+        staged = spark.read.schema(taken.schema).parquet(path)
+        if staged.count() == rows:
+            return staged
+    raise RuntimeError(f"the blocks of {file[0]} keep changing")
+
+
+def _with_block(read_kept, file: list[str]) -> DataFrame:
+    return read_kept(file, None, with_block=True)

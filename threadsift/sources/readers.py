@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 
+DETECT = "detect"
+
+
+def detect_fields(spark: SparkSession, path: str | list[str], spec: FeedSpec = DEFAULT) -> tuple[str, ...]:
+    """The feed's fields that occur in its JSON Lines: one full pass over them."""
+    found = spark.read.option("primitivesAsString", "true").json(path).columns
+    return tuple(f for f in spec.fields if f in found)
+
+
 def read_feed(
     spark: SparkSession,
     path: str | list[str],
@@ -62,10 +72,16 @@ def read_dashboard_json(spark: SparkSession, path: str, schema: T.StructType) ->
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:
-    """Bytes of the data files below one or more paths, from the file listing alone.
+def stored_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, length) of the files that a feed reader reads at ``path``, from the file listing alone.
 
-    The binary source only opens a file when its content is asked for.
+    Nested folders count only where they are partitions, as for the readers. The binary source
+    opens a file only when its content is asked for.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.groupBy().sum("length").first()[0] or 0
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("_metadata.file_path").alias("file"), "length")
+
+
+def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Bytes of the files that a feed reader reads at ``path``."""
+    return stored_files(spark, path).groupBy().sum("length").first()[0] or 0

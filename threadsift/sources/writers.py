@@ -36,8 +36,12 @@ def write_analytical(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_view_summary(summary: DataFrame, path: str) -> None:
-    """The summary behind all views; a view reads only the folder of its own key."""
-    summary.write.mode("overwrite").partitionBy(GROUPED_BY).parquet(path)
+    """The summary behind all views; a view reads only the folder of its own key.
+
+    Replaces what is there whatever the session's overwrite mode, so an empty run leaves no old view.
+    """
+    writer = summary.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(GROUPED_BY).parquet(path)
 
 
 def write_view_csv(view: DataFrame, path: str, files: int | None = None) -> None:

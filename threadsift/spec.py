@@ -48,6 +48,9 @@ class FeedSpec:
         *column* with its own default, which is not the same as a NULL *value*.
         """
         carried = self.fields if fields is None else tuple(fields)
+        unknown = [f for f in carried if f not in self.fields]
+        if unknown:
+            raise ValueError(f"not a field of the feed: {', '.join(unknown)}")
         names = [f for f in self.fields if f in carried]
         if corrupt:
             names.append(CORRUPT)

@@ -7,6 +7,7 @@ watermark. The grouped views stay batch work over the landed table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -14,9 +15,11 @@ from threadsift.operators.clean import INGEST_RULES, all_feed_columns, keep_tagg
 from threadsift.operators.layout import MONTH_KEY, REBALANCE
 from threadsift.operators.quality import reject_counts
 from threadsift.operators.table import counted_table
+from threadsift.sources.readers import stored_files
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 COUNTERS = "stream_counters"
+_PATTERN = r"[\[\]{}*?\\\\]"
 
 
 def stream_feed(
@@ -31,9 +34,13 @@ def stream_feed(
 ) -> DataFrame:
     """The raw feed as a stream over a folder of landed files.
 
-    A micro-batch is bounded by files or by bytes, which a backlog needs. File names must not
-    hold pattern characters such as ``[``: Spark's file stream reads such files twice.
+    A micro-batch is bounded by files or by bytes, which a backlog needs. File names with pattern
+    characters such as ``[`` are refused when the run starts: Spark's file stream takes them for
+    patterns and may read a file twice or not at all.
     """
+    odd = stored_files(spark, path).filter(F.regexp_like(F.url_decode(F.element_at(F.split("file", "/"), -1)), F.lit(_PATTERN)))
+    if name := odd.select("file").first():
+        raise ValueError(f"a file name with pattern characters: {name[0]}")
     reader = spark.readStream.format(format)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)

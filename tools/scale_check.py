@@ -17,7 +17,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from threadsift.plans.job import JobOptions, run_job  # noqa: E402
-from workload.passes import thirteen_passes  # noqa: E402
 from workload.scale_feed import PUBLISHED_ROWS, make_feed  # noqa: E402
 
 def timed(label: str, action) -> float:
@@ -57,7 +56,6 @@ def main() -> None:
     print(json.dumps(result.quality.report()["metrics"], indent=1))
     kept = result.quality.metrics["extraction"]["total_records"]
     print(f"job rate: {kept / took:,.0f} rows/s")
-    timed("13 passes", lambda: thirteen_passes(spark, feed, f"{work}/naive"))
 
 
 if __name__ == "__main__":

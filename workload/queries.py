@@ -13,15 +13,9 @@ from threadsift.operators import views as v
 from threadsift.operators.layout import AS_READ
 from threadsift.operators.quality import reject_counts
 from threadsift.plans import job
-from threadsift.sources.limit import find_cut, read_to_cut
 from threadsift.sources.readers import read_analytical, read_dashboard_json, read_feed, read_view_csv
 from threadsift.sources.scratch import scratch_folder
-from threadsift.sources.writers import (
-
-    write_dashboard_json,
-    write_feed_json,
-    write_view_csv,
-)
+from threadsift.sources.writers import write_dashboard_json, write_feed_json, write_view_csv
 from threadsift.spec import DEFAULT
 from threadsift.streaming import ingest as s
 from workload.feed import comment_feed
@@ -74,12 +68,10 @@ def ingest_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_limit(spark: SparkSession, sf: str) -> DataFrame:
-    path = _landed_feed(spark, sf)
-    tagged = lambda files: c.tag(read_feed(spark, files), c.INGEST_RULES, drop_empty=True)
-    kept = lambda files: c.keep_tagged(tagged(files))
-    cut = find_cut(tagged, read_feed(spark, path).inputFiles(), LIMIT_ROWS)
-    rows = read_to_cut(spark, kept, cut)
-    return rows.agg(
+    path, landed = scratch_folder(spark, "feed"), scratch_folder(spark, "landed")
+    write_feed_json(comment_feed(spark, sf).repartition(5), path)  # several files, one of them cut
+    job.ingest(spark, path, landed, job.JobOptions(limit=LIMIT_ROWS))
+    return read_feed(spark, landed).agg(
         F.count(F.lit(1)).alias("kept_rows"),
         F.count_distinct("id").alias("distinct_ids"),
         F.count_if(c.is_placeholder(F.col("body"), DEFAULT.placeholders) | (F.col("body") == "")).alias("dirty_rows"),
