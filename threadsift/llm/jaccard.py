@@ -3,9 +3,9 @@
 The shingles of a text are its runs of five words (of fewer words, all as one). Documents with equal shingle sets are one
 set, named by its hash; the join is between sets. It is exact and never looks at all pairs:
 
-1. Sharing. Chunks of documents send each of their distinct shingle hashes once to the bucket of its value, where
-   hashes that two or more sets have are found. Only a set of which three quarters of the shingles are shared can have
-   a partner; all others are done. A shingle in very many documents costs one entry per chunk.
+1. Sharing. A set can have a partner only if at most a quarter of its shingles are in no other set. That is tested on
+   the shingles in one half of the hash space, by the exchange of ``exchange.py``: a set of which more than a quarter of
+   all shingles are found alone in that half is done. A shingle in very many documents costs one entry per chunk.
 2. Prefixes. Among the remaining sets the frequency of each shingle is counted the same way. Two sets that link share
    one of the rarest quarter of each other's shingles, so sets that meet there, directly or by others, form a field;
    links never cross fields.
@@ -35,19 +35,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threadsift.llm.components import components
-from threadsift.llm.exchange import MOST_BUCKETS, PACKED, batch, canonical, find_shared, gathered, send, table_of
+from threadsift.llm.exchange import MOST_BUCKETS, PACKED, SHARED, batch, canonical, find_shared, gathered, send, table_of
 from threadsift.llm.hashing import U64, flat, groups, mix, shingle_hashes, word_hashes
 from threadsift.llm.sets import SignatureTree
-from threadsift.llm.tables import settled
+from threadsift.llm.tables import settled, small_side
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 #: Text that one chunk covers, shingles that one bucket task sorts, and bytes of sets that one tree task joins.
 CHUNK_BYTES = 1 << 23
-BUCKET_SHINGLES = 1_500_000
+BUCKET_SHINGLES = 2_000_000
 TILE_BYTES = 1 << 22
 
-_DOC_SETS = "doc_id {key}, n int, set_id long"
+_DOC_SETS = "doc_id {key}, n int, set_id long, need int"
 
 
 def _unique_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,32 +63,46 @@ def _unique_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.
     return np.concatenate(sets) if sets else np.zeros(0, U64), n, names
 
 
-def document_sets(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, n, set_id): number of distinct shingles and the set's name (NULL without shingles)."""
+def _tested(tokens: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the shingles are in the tested half, and how many of those must be shared in each text."""
+    half = tokens < U64(1 << 63)
+    own = np.repeat(np.arange(len(n)), n)
+    spare = n - -(-percent * n // 100)  # shingles that may be in no other set
+    return half, np.maximum(0, np.bincount(own, half, len(n)).astype(np.int64) - spare)
+
+
+def document_sets(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n, set_id, need): number of distinct shingles, the set's name (NULL without shingles), and how many of
+    its tested shingles must be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, n, names = _unique_shingles(*flat(batch.column(1)), k)
+        for part in batches:
+            tokens, n, names = _unique_shingles(*flat(part.column(1)), k)
+            _, need = _tested(tokens, n, percent)
             ids = pa.array(names.astype(np.int64), pa.int64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), ids], names=["doc_id", "n", "set_id"])
+            columns = [part.column(0), pa.array(n, pa.int32()), ids, pa.array(need, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "set_id", "need"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _DOC_SETS.format(key=docs.schema["doc_id"].dataType.simpleString()))
 
 
-def _send_shingles(buckets: int, k: int):
+def _send_shingles(buckets: int, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a set that a task meets again needs no second entry
         for part in batches:
             data, offsets = flat(part.column(0))
             for i, j in groups(offsets, CHUNK_BYTES):
                 tokens, n, names = _unique_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                fresh = np.zeros(len(n), bool)
-                for at, name in enumerate(names.tolist()):
-                    if name and name not in seen:
-                        seen.add(name)
-                        fresh[at] = True
-                own = np.repeat(np.flatnonzero(fresh), n[fresh])
-                rows = send(canonical(tokens[np.repeat(fresh, n)], buckets), own, names, n, buckets)
+                half, need = _tested(tokens, n, percent)
+                fresh = n > 0
+                for at in np.flatnonzero(fresh).tolist():
+                    name = int(names[at])
+                    if name in seen:
+                        fresh[at] = False
+                    seen.add(name)
+                own = np.repeat(np.arange(len(n)), n)
+                sent = half & fresh[own]  # the upper bit of these is zero
+                rows = send(canonical(tokens[sent] << U64(1), buckets), own[sent], names, need, buckets)
                 yield from table_of(PACKED, rows).to_batches()
 
     return run
@@ -97,23 +111,42 @@ def _send_shingles(buckets: int, k: int):
 _SETS = "set_id long, n int, tokens binary"
 
 
-def _gather_sets(percent: int):
-    """Sets of which enough shingles are shared, with those shingles."""
+_NAMES = "set_id long"
 
-    def run(key, part):
-        name, size, token, starts, ends = gathered(part)
-        enough = 100 * (ends - starts) >= percent * size[starts].astype(np.int64)
-        return table_of(_SETS, [(int(name[a]), int(size[a]), token[a:b].tobytes()) for a, b in zip(starts[enough], ends[enough], strict=True)])
+
+def _enough_shared(key, part):
+    """The sets of which as many of the tested shingles are shared as need be."""
+    if SHARED not in part.column("kind").to_pylist():
+        return table_of(_NAMES, [])
+    name, need, _, starts, ends = gathered(part)
+    return table_of(_NAMES, [(v,) for v in name[starts[ends - starts >= need[starts]]].astype(np.int64).tolist()])
+
+
+def _whole_sets(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            data, offsets = flat(part.column(0))
+            for i, j in groups(offsets, CHUNK_BYTES):
+                tokens, n, names = _unique_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
+                cuts = np.concatenate(([0], np.cumsum(n)))
+                rows = [(int(names[x]), int(n[x]), tokens[cuts[x] : cuts[x + 1]].tobytes()) for x in np.flatnonzero(n).tolist()]
+                yield from table_of(_SETS, rows).to_batches()
 
     return run
 
 
-def shared_sets(docs: DataFrame, shingles: int, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(set_id, n, tokens): the sets that can have a partner, with their shared shingles."""
-    buckets = min(MOST_BUCKETS, max(1, -(-shingles // BUCKET_SHINGLES)))
-    sent = docs.select("text").mapInArrow(_send_shingles(buckets, k), PACKED)
+def possible_sets(docs: DataFrame, owners: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """(set_id, n, tokens): the sets that can have a partner, with their shingles. ``owners`` are the document_sets."""
+    shingles = owners.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = min(MOST_BUCKETS, max(1, -(-int(shingles) // 2 // BUCKET_SHINGLES)))
+    sent = docs.select("text").mapInArrow(_send_shingles(buckets, k, percent), PACKED)
     shared = sent.groupBy("bucket").applyInArrow(find_shared(buckets), PACKED)
-    return shared.groupBy("bucket").applyInArrow(_gather_sets(percent), _SETS)
+    names = shared.groupBy("bucket").applyInArrow(_enough_shared, _NAMES)
+    names = settled(names.unionByName(owners.filter("need = 0 and set_id is not null").select("set_id")).distinct(), "possible")
+    known = owners.join(small_side(names.withColumnRenamed("set_id", "_set")), F.col("set_id") == F.col("_set"))
+    firsts = settled(known.groupBy("set_id").agg(F.min("doc_id").alias("_id")).select("_id").distinct(), "firsts")
+    texts = docs.select("doc_id", "text").join(small_side(firsts), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return texts.select("text").mapInArrow(_whole_sets(k), _SETS)
 
 
 def _set_arrays(part: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -335,9 +368,11 @@ def link_components(sets: DataFrame, meetings: DataFrame, percent: int = PERCENT
 
 def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """(doc_id, n_shingles, set_id, component_id) for every row: component_id is the least doc_id reachable by links."""
-    owners = settled(document_sets(docs, k), "owners")
-    shingles = owners.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sets = settled(shared_sets(docs, shingles, k, percent), "sets")
+    owners = settled(document_sets(docs, k, percent), "owners")
+    sets = settled(possible_sets(docs, owners, k, percent), "sets")
+    rows = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("set_id").alias("d")).first()
+    if rows["n"] != rows["d"]:  # several rows with the smallest doc_id of a set, or without doc_id
+        sets = settled(sets.dropDuplicates(["set_id"]), "sets")
     shared = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0] // 8
     meetings = settled(prefixes(sets, shared, percent), "meetings")
     roots = settled(link_components(sets, meetings, percent, tile_bytes), "roots").toDF("_node", "_root")
