@@ -36,8 +36,8 @@ def result(frame):
 def changed(rng, line, edits):
     out = list(line)
     for _ in range(edits):
-        kind, at = rng.randrange(3), rng.randrange(len(out))
-        if kind == 0:
+        kind, at = rng.randrange(3), rng.randrange(len(out) or 1)
+        if kind == 0 or not out:
             out.insert(at, rng.choice("xyzé"))
         elif kind == 1:
             out.pop(at)

@@ -19,8 +19,9 @@ layout keeps its fingerprint and has no turns; a text without assistant turns ha
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -89,15 +90,14 @@ def _role(column: Column) -> Column:
     return out
 
 
-def _turn_array(layout: Layout) -> Column:
-    """The turns of a record with the layout's columns, as an array of (role, text); parts that are NULL are left out."""
+def _turn_array(layout: Layout, value: Callable[[str], Column] = F.col) -> Column:
+    """The turns of a record with the layout's fields, as an array of (role, text); parts that are NULL are left out."""
     if layout.turns:
         path, role, text = layout.turns
         return F.transform(
-            F.col(path),
-            lambda m: F.struct(_role(m[role]).alias("role"), F.coalesce(m[text].cast("string"), F.lit("")).alias("text")),
+            value(path), lambda m: F.struct(_role(m[role]).alias("role"), F.coalesce(m[text].cast("string"), F.lit("")).alias("text"))
         )
-    parts = [F.struct(F.lit(role).alias("role"), F.col(path).cast("string").alias("text")) for role, path in layout.parts]
+    parts = [F.struct(F.lit(role).alias("role"), value(path).cast("string").alias("text")) for role, path in layout.parts]
     return F.filter(F.array(*parts), lambda p: p["text"].isNotNull())
 
 
@@ -158,20 +158,13 @@ def canonical_json_turns(df: DataFrame, column: str, layouts: tuple[Layout, ...]
         name = F.when(fits, x.name).otherwise(name)
         base = base.withColumn(f"_{x.name}", F.when(fits, F.from_json("_json", _ddl(x.fields))))
         record = F.col(f"_{x.name}")
-        if x.turns:
-            path, role, text = x.turns
-            own = F.transform(record[path], lambda m, r=role, t=text: F.struct(_role(m[r]).alias("role"), F.coalesce(m[t], F.lit("")).alias("text")))
-        else:
-            own = F.filter(F.array(*(F.struct(F.lit(r).alias("role"), record[p].alias("text")) for r, p in x.parts)), lambda p: p["text"].isNotNull())
-        turns = F.when(fits, own).otherwise(turns)
+        turns = F.when(fits, _turn_array(x, lambda path, record=record: record[path])).otherwise(turns)
         key = F.when(fits, record[x.key]).otherwise(key)
     rows = base.select(key.alias("conv_id"), name.alias("layout"), "fingerprint", F.posexplode_outer(turns).alias("turn", "_t"))
     return rows.select("conv_id", "layout", "fingerprint", F.col("turn").cast("long").alias("turn"), "_t.role", "_t.text")
 
 
 def _example(fields: tuple[str, ...]) -> str:
-    import json
-
     out: dict = {}
     for path in fields:
         if "[]." in path:
