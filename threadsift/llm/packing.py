@@ -19,6 +19,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -26,19 +27,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadsift.llm.hashing import groups
 from threadsift.llm.tables import settled
 
 MAX_TOKENS = 4096
 END_ID = 1
 #: Pieces that one task packs; some 30 bytes each.
 PIECES_PER_TASK = 100_000
-#: Words whose ids a worker remembers; some 200 bytes each.
-REMEMBERED_WORDS = 500_000
+#: Words whose ids a worker remembers from its latest texts, and as many from before; some 200 bytes each.
+REMEMBERED_WORDS = 350_000
+HOT_WORDS = 16_000
+#: Text that is tokenized at a time.
+_STEP_BYTES = 1 << 22
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _split_mark = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([.,])(?=[ \n]|$)").sub
 
 
+def _classes() -> bytes:
+    """What a byte of a lower-case text is: d full stop or comma, p other ASCII mark, blank, C the lead of Latin letters
+    of two bytes, h a byte that may follow it, H other bytes above ASCII, a the rest."""
+    out = bytearray(b"a" * 128 + b"h" * 64 + b"H" * 64)
+    for c in [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]:
+        out[c] = ord("p")
+    out[ord(".")] = out[ord(",")] = ord("d")
+    out[32] = out[10] = ord(" ")
+    out[0xC3], out[0x97], out[0xB7] = ord("C"), ord("H"), ord("H")
+    return bytes(out)
+
+
+_CLASSES = _classes()
+
+
+def _words(text: bytes) -> list[bytes]:
+    """White-space separated words in lower case, without a full stop or comma behind a letter, which become words. The
+    tokenizer takes marks and letters apart anyway, and like this there are fewer different words."""
+    text = text.translate(_LOWER)
+    kinds = text.translate(_CLASSES) + b" "
+    if any(odd in kinds for odd in (b"pd ", b"dd ", b"hhd ", b"Hhd ", b"Hd ")):  # a mark behind what may be a mark
+        return _split_mark(rb"\1 \2", text).split()
+    return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n").split()
+
+
+class _Known:
+    """Ids of words, one after the other."""
+
+    def __init__(self):
+        self.place: dict[bytes, int] = {}
+        self.begin, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def add(self, words: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.begin), len(self.begin) + len(words)), strict=True))
+        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(count) - count))
+        self.count, self.ids = np.concatenate((self.count, count)), np.concatenate((self.ids, ids))
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places, and how many each has."""
+        count = self.count[at]
+        ends = np.cumsum(count)
+        return self.ids[np.repeat(self.begin[at] - (ends - count), count) + np.arange(ends[-1] if len(at) else 0)], count
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that lower-cases and never joins across white space.
 
@@ -52,29 +101,56 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_str(definition)
         kinds = json.dumps(json.loads(definition).get("normalizer"))
         self._by_word = '"Lowercase"' in kinds and "\\\\s+" in kinds
-        self._known: dict[bytes, bytes] = {}
-
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not self._by_word or b"<|" in text:
-            whole = self._tokenizer.encode(text.decode(), add_special_tokens=False).ids
-            return np.asarray(whole, "<u4").tobytes()
-        words = _split_mark(rb"\1 \2", text.translate(_LOWER)).split()
-        known = self._known
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > REMEMBERED_WORDS:
-                known.clear()
-                missing = list(set(words))
+        self._known, self._older = _Known(), _Known()
+        self._hot: dict[bytes, int] = {}  # the most frequent words, few enough to stay in the processor's cache
+        self._seen, self._steps = np.zeros(0, np.int64), 0
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        whole = [not self._by_word or b"<|" in t for t in texts]
+        split = [[] if w else _words(t) for t, w in zip(texts, whole, strict=True)]
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self._hot.get, words, repeat(-1)), np.int64, len(words))
+        cold = np.flatnonzero(at < 0)
+        rare = [words[i] for i in cold.tolist()]
+        at[cold] = np.fromiter(map(self._known.place.get, rare, repeat(-1)), np.int64, len(rare))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            missing = {words[i] for i in unknown.tolist()}
+            if len(self._known.place) + len(missing) > REMEMBERED_WORDS:
+                self._known, self._older = _Known(), self._known
+                self._hot, self._seen, self._steps = {}, np.zeros(0, np.int64), 0
+                missing, unknown = set(words), np.arange(len(words))
             self._learn(missing)
-        return b"".join(map(known.__getitem__, words))
-
-    def _learn(self, words: list[bytes]) -> None:
-        got = self._tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-        ids, owner = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids, np.int64)
-        cuts = np.searchsorted(owner, np.arange(len(words) + 1))
-        for word, a, b in zip(words, cuts[:-1], cuts[1:], strict=True):
-            self._known[word] = ids[a:b].tobytes()
+            at[unknown] = np.fromiter(map(self._known.place.__getitem__, (words[i] for i in unknown.tolist())), np.int64, len(unknown))
+        self._warm(at)
+        ids, count = self._known.of(at)
+        ends = np.concatenate(([0], np.cumsum(count)))[np.cumsum([0, *map(len, split)])].tolist()
+        return [self._whole(t) if w else ids[a:b].tobytes() for t, w, a, b in zip(texts, whole, ends[:-1], ends[1:], strict=True)]
+
+    def _whole(self, text: bytes) -> bytes:
+        return np.asarray(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _warm(self, at: np.ndarray) -> None:
+        self._steps += 1
+        if self._steps > 16:
+            return
+        seen = np.bincount(at, minlength=len(self._known.begin))
+        seen[: len(self._seen)] += self._seen
+        self._seen = seen
+        if self._steps in (1, 4, 16):
+            hot = set(np.argsort(-seen, kind="stable")[:HOT_WORDS].tolist())
+            self._hot = {w: i for w, i in self._known.place.items() if i in hot}
+
+    def _learn(self, words: set[bytes]) -> None:
+        again = [w for w in words if w in self._older.place]
+        if again:
+            self._known.add(again, *self._older.of(np.array([self._older.place[w] for w in again])))
+        new = list(words.difference(again))
+        if new:
+            got = self._tokenizer.encode([w.decode() for w in new], is_pretokenized=True, add_special_tokens=False)
+            owner = np.asarray(got.word_ids, np.int64)
+            self._known.add(new, np.asarray(got.ids, "<u4"), np.bincount(owner, minlength=len(new)))
 
 
 _tokenizers: dict[int, WordTokenizer] = {}
@@ -99,19 +175,16 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOK
         tokenizer = _tokenizer(definition.value)
         end, width = array.array("I", [end_id]).tobytes(), 4 * max_tokens
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            held = 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                ids = tokenizer.ids(text.as_py() or b"") + end
-                for piece, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    for column, value in zip(out, (key, piece, at // 4, len(part) // 4, part), strict=True):
-                        column.append(value)
-                held += len(ids)
-                if held > 1 << 24:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
-                    out, held = ([], [], [], [], []), 0
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
+            for i, j in groups(np.concatenate(([0], np.cumsum([len(t or b"") for t in texts]))), _STEP_BYTES):
+                out: tuple[list, ...] = ([], [], [], [], [])
+                for key, ids in zip(keys[i:j], tokenizer.ids([t or b"" for t in texts[i:j]]), strict=True):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), width)):
+                        part = ids[at : at + width]
+                        for column, value in zip(out, (key, piece, at // 4, len(part) // 4, part), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     pieces = rows.mapInArrow(cut, "doc_id string, piece int, start long, length long, ids binary")
