@@ -14,6 +14,7 @@ from threadsift.operators import views as v
 from threadsift.operators.quality import QualityMetrics
 from threadsift.sources.readers import read_analytical, read_feed, read_view_csv
 from threadsift.sources.writers import write_feed_json
+from threadsift.spec import DEFAULT
 from workload.feed import comment_feed
 
 
@@ -189,3 +190,31 @@ def test_collector(spark):
     rows = quality.to_dataframe(spark)
     assert rows.dtypes == [("stage", "string"), ("metric", "string"), ("value", "double")]
     assert sorted(map(tuple, rows.collect())) == [("a", "x", 2.0), ("b", "y", 0.5)]
+
+
+@pytest.mark.parametrize("absent", ["score", "created_utc", "subreddit", "body"])
+def test_assumed_field_without_values_fails(spark, tmp_path, absent):
+    fields = tuple(x for x in DEFAULT.fields if x != absent)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_feed_json(comment_feed(spark, SMALL).select(*fields), source)
+    result = run_job(spark, source, out)
+    assert not result and absent in str(result.error) and "no row has a value" in str(result.error)
+    detected = run_job(spark, source, out, JobOptions(fields="detect"))
+    if absent in ("body", "subreddit"):
+        assert not detected and f"no column {absent}" in str(detected.error)
+    else:
+        named = run_job(spark, source, str(tmp_path / "named"), JobOptions(fields=fields))
+        assert detected.quality.metrics == named.quality.metrics
+        assert detected.quality.metrics["transformation"]["final_records"] > 150
+
+
+def test_field_without_values_that_was_named_is_taken_at_its_word(spark, feed, tmp_path):
+    write_feed_json(feed({"score": None}, {"score": None}), str(tmp_path / "in"))
+    result = run_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), JobOptions(fields=DEFAULT.fields))
+    assert result and result.quality.metrics["transformation"]["bad_score_records"] == 2
+
+
+def test_unknown_field_is_refused(spark, feed, tmp_path):
+    write_feed_json(feed({}), str(tmp_path / "in"))
+    result = run_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), JobOptions(fields=("body", "created_utcc")))
+    assert not result and "created_utcc" in str(result.error)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import LIMIT_ROWS
+from workload.queries import BROKEN_EVERY, LIMIT_ROWS
 
 _FEED = r"""
 feed AS (
@@ -111,11 +111,21 @@ _SUMMARY = f"""SELECT 'subreddit' AS grouped_by, subreddit AS key, {_MEASURES} F
 UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), {_MEASURES} FROM analytical GROUP BY hour
 UNION ALL SELECT 'sentiment_proxy', sentiment_proxy, {_MEASURES} FROM analytical GROUP BY sentiment_proxy"""
 
+# Groups by author, of which there are many more than fifty.
+_TOP_AUTHORS, _ENGAGED_AUTHORS = (x.replace("subreddit", "author") + " LIMIT 50" for x in (_TOP, _ENGAGEMENT))
+
+_NO_SCORE = _TYPED.replace("TRY_CAST(score AS DOUBLE) AS score_num", "CAST(0 AS DOUBLE) AS score_num")
+_NO_TIME = _TYPED.replace("TRY_CAST(created_utc AS BIGINT) AS created_utc_long", "CAST(NULL AS BIGINT) AS created_utc_long").replace(
+    "created_utc_long IS NOT NULL AND ", ""
+)
+_NO_FLAG = _ANALYTICAL.replace("controversiality = '1'", "false")
+
 # The job's cleaning stage reads what ingest has landed, so empty texts are gone there.
 _JOB_FULL = ",".join((_FEED, _INGESTED, _CLEANED.replace("FROM feed", "FROM ingested"), _TYPED, _ANALYTICAL))
 
-_QUALITY = """SELECT 'extraction' AS stage, 'total_records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM ingested
-UNION ALL SELECT 'extraction', 'corrupt_records', 0.0
+_QUALITY = f"""SELECT 'extraction' AS stage, 'total_records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM ingested
+UNION ALL SELECT 'extraction', 'corrupt_records', count(*) FROM feed
+  WHERE CAST(substr(id, 2) AS BIGINT) % {BROKEN_EVERY} = 0
 UNION ALL SELECT 'extraction', 'null_body_records', count(*) FROM feed WHERE body IS NULL OR body = ''
 UNION ALL SELECT 'extraction', 'deleted_removed_records', count(*) FROM feed
   WHERE lower(body) IN ('[deleted]', '[removed]')
@@ -165,6 +175,9 @@ FROM feed""",
   'neutral' AS sentiment_proxy, CAST(length(body) AS INTEGER) AS comment_length, 1 AS no_time, 1 AS no_year
 FROM cleaned""",
     ),
+    "json_without_score": _with(",".join((_FEED, _CLEANED, _NO_SCORE, _ANALYTICAL)), _TABLE),
+    "json_without_time": _with(",".join((_FEED, _CLEANED, _NO_TIME, _ANALYTICAL)), _TABLE),
+    "json_without_flag": _with(",".join((_FEED, _CLEANED, _TYPED, _NO_FLAG)), _TABLE),
     "clean_filters": _with(f"{_FEED},{_CLEANED}", "SELECT * FROM cleaned"),
     "typed_casts": _with(
         f"{_FEED},{_CLEANED},{_TYPED}", "SELECT id, created_utc_long, score_num FROM typed"
@@ -186,11 +199,11 @@ FROM cleaned""",
     "sentiment_class": _over_table("SELECT id, score_num, sentiment_proxy FROM analytical"),
     "analytical_table": _over_table(_TABLE),
     "top_groups": _over_table(_TOP),
-    "top_groups_50": _over_table(f"{_TOP} LIMIT 50"),
+    "top_groups_50": _over_table(_TOP_AUTHORS),
     "hourly_activity": _over_table(_HOURLY),
     "sentiment_distribution": _over_table(_SENTIMENT),
     "engagement": _over_table(_ENGAGEMENT),
-    "engagement_50": _over_table(f"{_ENGAGEMENT} LIMIT 50"),
+    "engagement_50": _over_table(_ENGAGED_AUTHORS),
     "view_summary": _over_table(_SUMMARY),
     "chart_top20": _over_table(f"SELECT subreddit, total_comments FROM ({_TOP} LIMIT 20)"),
     "chart_hourly": _over_table("SELECT hour, count(*) AS comments FROM analytical GROUP BY hour"),
@@ -207,7 +220,12 @@ GROUP BY month, sentiment_proxy"""
     "parquet_as_read": _over_table(_TABLE),
     "csv_hourly": _over_table(_HOURLY),
     "csv_roundtrip": _over_table(_TOP),
-    "dashboard_json_roundtrip": _over_table(f"{_ENGAGEMENT} LIMIT 50".replace(", 9)", ", 10)")),
+    "csv_engagement": _over_table(_ENGAGEMENT),
+    "csv_sentiment": _over_table(_SENTIMENT),
+    "dashboard_top": _over_table(_TOP_AUTHORS.replace(", 9)", ", 10)")),
+    "dashboard_hourly": _over_table(_HOURLY.replace(", 9)", ", 10)")),
+    "dashboard_sentiment": _over_table(_SENTIMENT),
+    "dashboard_json_roundtrip": _over_table(_ENGAGED_AUTHORS.replace(", 9)", ", 10)")),
     "quality_metrics": _with(_JOB_FULL, _QUALITY),
     "full_job_views": _with(_JOB_FULL, _TOP),
 }

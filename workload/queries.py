@@ -16,11 +16,14 @@ from threadsift.plans import job
 from threadsift.sources.readers import read_analytical, read_dashboard_json, read_feed, read_view_csv
 from threadsift.sources.scratch import scratch_folder
 from threadsift.sources.writers import write_dashboard_json, write_feed_json, write_view_csv
-from threadsift.spec import DEFAULT
+from threadsift.spec import DEFAULT, FeedSpec
 from threadsift.streaming import ingest as s
 from workload.feed import comment_feed
 
 LIMIT_ROWS = 700
+BROKEN_EVERY = 71
+# Many more groups than a dashboard shows, with ties at its end.
+BY_AUTHOR = FeedSpec(group="author", author="subreddit")
 # The addition order of doubles differs between engines.
 DIGITS = 9
 
@@ -45,6 +48,16 @@ def _landed_feed(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _landed_with_broken_lines(spark: SparkSession, sf: str) -> str:
+    """The landed feed, with a line that is cut off behind every 71st number."""
+    path = _landed_feed(spark, sf)
+    number = F.substring("id", 2, 20).cast("bigint")
+    broken = comment_feed(spark, sf).filter(number % BROKEN_EVERY == 0)
+    cut_off = F.format_string('{"id": "%s", "body": "cut', "id")
+    broken.select(cut_off.alias("value")).write.mode("append").format("text").save(f"{path}-broken")
+    return f"{path}*"
+
+
 def _rounded_top(df: DataFrame) -> DataFrame:
     return _rounded(df, "avg_score", "avg_comment_length", "avg_engagement")
 
@@ -123,6 +136,25 @@ def json_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _without(spark: SparkSession, sf: str, absent: str) -> DataFrame:
+    path = scratch_folder(spark, "partial")
+    fields = tuple(x for x in DEFAULT.fields if x != absent)
+    write_feed_json(comment_feed(spark, sf).select(*fields), path)
+    return _rounded(f.analytical_table(read_feed(spark, path, fields=fields)), "engagement_rate")
+
+
+def json_without_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _without(spark, sf, DEFAULT.score)
+
+
+def json_without_time(spark: SparkSession, sf: str) -> DataFrame:
+    return _without(spark, sf, DEFAULT.event_time)
+
+
+def json_without_flag(spark: SparkSession, sf: str) -> DataFrame:
+    return _without(spark, sf, DEFAULT.flag)
+
+
 def clean_filters(spark: SparkSession, sf: str) -> DataFrame:
     return comment_feed(spark, sf).transform(c.feed_columns).transform(c.drop_null_text).transform(c.drop_placeholders)
 
@@ -174,8 +206,12 @@ def top_groups(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_top(v.top_groups(_analytical(spark, sf)))
 
 
+def _by_author(spark: SparkSession, sf: str) -> DataFrame:
+    return f.analytical_table(comment_feed(spark, sf), BY_AUTHOR)
+
+
 def top_groups_50(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_top(v.dashboard_rows(v.top_groups(_analytical(spark, sf))))
+    return _rounded_top(v.dashboard_rows(v.top_groups(_by_author(spark, sf), BY_AUTHOR)))
 
 
 def hourly_activity(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,7 +227,7 @@ def engagement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def engagement_50(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_engagement(v.dashboard_rows(v.engagement(_analytical(spark, sf))))
+    return _rounded_engagement(v.dashboard_rows(v.engagement(_by_author(spark, sf), BY_AUTHOR)))
 
 
 def view_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,15 +292,44 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_top(read_view_csv(spark, path, view.schema))
 
 
-def dashboard_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+def csv_engagement(spark: SparkSession, sf: str) -> DataFrame:
     view = v.engagement(_analytical(spark, sf))
+    path = scratch_folder(spark, "csv")
+    write_view_csv(view, path)
+    return _rounded_engagement(read_view_csv(spark, path, view.schema))
+
+
+def csv_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    view = v.sentiment_distribution(_analytical(spark, sf))
+    path = scratch_folder(spark, "csv")
+    write_view_csv(view, path, files=1)
+    return read_view_csv(spark, path, view.schema)
+
+
+def _dashboard(spark: SparkSession, view: DataFrame, name: str, spec: FeedSpec = DEFAULT) -> DataFrame:
     path = scratch_folder(spark, "dashboard")
-    write_dashboard_json(view, v.view_order(v.ENGAGEMENT), path)
+    write_dashboard_json(view, v.view_order(name, spec), path)
     return read_dashboard_json(spark, path, view.schema)
 
 
+def dashboard_top(spark: SparkSession, sf: str) -> DataFrame:
+    return _dashboard(spark, v.top_groups(_by_author(spark, sf), BY_AUTHOR), v.TOP_GROUPS, BY_AUTHOR)
+
+
+def dashboard_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return _dashboard(spark, v.hourly_activity(_analytical(spark, sf)), v.HOURLY)
+
+
+def dashboard_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    return _dashboard(spark, v.sentiment_distribution(_analytical(spark, sf)), v.SENTIMENT)
+
+
+def dashboard_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    return _dashboard(spark, v.engagement(_by_author(spark, sf), BY_AUTHOR), v.ENGAGEMENT, BY_AUTHOR)
+
+
 def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    source = _landed_feed(spark, sf)
+    source = _landed_with_broken_lines(spark, sf)
     result = job.run_job(spark, source, scratch_folder(spark, "job"))
     if not result.ok:
         raise result.error
@@ -292,6 +357,9 @@ QUERIES: dict[str, Query] = {
         parquet_feed_ingest,
         jsonl_roundtrip,
         json_missing_columns,
+        json_without_score,
+        json_without_time,
+        json_without_flag,
         clean_filters,
         typed_casts,
         reject_reasons,
@@ -317,6 +385,11 @@ QUERIES: dict[str, Query] = {
         parquet_as_read,
         csv_roundtrip,
         csv_hourly,
+        csv_engagement,
+        csv_sentiment,
+        dashboard_top,
+        dashboard_hourly,
+        dashboard_sentiment,
         dashboard_json_roundtrip,
         quality_metrics,
         full_job_views,
