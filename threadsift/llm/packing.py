@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from threadsift.llm.hashing import groups
 from threadsift.llm.tables import settled
+from threadsift.llm.workers import kept
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -153,18 +154,6 @@ class WordTokenizer:
             self._known.add(new, np.asarray(got.ids, "<u4"), np.bincount(owner, minlength=len(new)))
 
 
-_tokenizers: dict[int, WordTokenizer] = {}
-
-
-def _tokenizer(definition: str) -> WordTokenizer:
-    """One per worker, kept between tasks."""
-    key = hash(definition)
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = WordTokenizer(definition)
-    return _tokenizers[key]
-
-
 def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids): ids are little-endian unsigned 32-bit numbers."""
     with open(tokenizer_file) as f:
@@ -172,7 +161,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOK
     schema = pa.schema([("doc_id", pa.string()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(definition.value)
+        tokenizer = kept(hash(definition.value), lambda: WordTokenizer(definition.value))
         end, width = array.array("I", [end_id]).tobytes(), 4 * max_tokens
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()

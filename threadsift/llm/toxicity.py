@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from threadsift.llm.hashing import flat
 from threadsift.llm.tables import settled
+from threadsift.llm.workers import release
 
 MAX_TRAINING_ROWS = 15_000
 REJECT_SCORE = 0.7
@@ -41,8 +42,8 @@ STRONG, WEAK = 12.0, 4.0
 #: Evidence for either: toxic documents with the word times the logarithm of that ratio. Among a million words chance
 #: alone reaches some 14.
 EVIDENCE = 18.0
-#: Words a worker remembers.
-REMEMBERED_WORDS = 500_000
+#: Words a task remembers.
+REMEMBERED_WORDS = 300_000
 _BEGINNINGS = (5, 7)
 _NEAR = 3
 
@@ -355,8 +356,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_LEXICON and the number of trees
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1)), pa.float64())], names=["doc_id", "score"])
+        shared.value.words.known.clear()
+        release()
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, score double")
@@ -368,8 +372,11 @@ def scored_rows(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(batch.column(at)), pa.float64())], names=names)
+        shared.value.words.known.clear()
+        release()
 
     schema = docs.schema
     names = [*docs.columns, "_score"]
