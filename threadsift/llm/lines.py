@@ -200,7 +200,7 @@ def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int =
     """``docs`` with what is left of each text, and _n_lines and _n_removed."""
     removed = settled(removed_lines(docs, edits, min_chars), "removed")
     removed = removed.select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    joined = docs.join(small_side(removed), docs["doc_id"].eqNullSafe(F.col("_id")), "left")
+    joined = docs.join(small_side(removed, F.size("_removed")), docs["doc_id"].eqNullSafe(F.col("_id")), "left")
     split = F.split(docs["text"], "\n")
     kept = F.filter(split, lambda line, i: ~F.array_contains("_removed", F.struct(i.alias("pos"), F.xxhash64(line).alias("h1"))))
     joined = joined.withColumn("_kept", F.when(F.col("_removed").isNotNull(), kept))

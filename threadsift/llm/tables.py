@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.sources.scratch import scratch_folder
@@ -44,11 +44,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-#: Rows that a side may have to be sent to every task; narrow rows, some 30 MB.
+#: Rows, and members of their arrays, that a side may have to be sent to every task: some 30 MB each.
 BROADCAST_ROWS = 400_000
+BROADCAST_ENTRIES = 1_000_000
 
 
-def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if it was counted to be small, else as it is, for a shuffled join."""
-    n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+def small_side(df: DataFrame, entries: Column | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it was counted to be small, else as it is, for a shuffled join. ``entries`` is the
+    number of members in the arrays of a row."""
+    n = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.lit(0) if entries is None else entries), F.lit(0)).alias("entries")).first()
+    return F.broadcast(df) if n["rows"] <= BROADCAST_ROWS and n["entries"] <= BROADCAST_ENTRIES else df

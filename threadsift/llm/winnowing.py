@@ -101,7 +101,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         common = ours.join(marks, "mark", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("mark").alias("_marks"))
         common = settled(common, "common")
         near = base.join(
-            small_side(common.toDF("_id", "_key", "_marks")),
+            small_side(common.toDF("_id", "_key", "_marks"), F.size("_marks")),
             F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")),
         ).select("doc_id", "text_key", "text", "_marks")
         near = near.dropDuplicates(["doc_id", "text_key"])
@@ -128,7 +128,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     results = merged.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), _union("_all").alias("spans"), "items")
     results = settled(results, "hits")
     joined = counts.join(
-        small_side(results), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left"
+        small_side(results, F.size("spans") + F.size("items")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left"
     )
     none = F.array().cast(results.schema["items"].dataType)
     return joined.select(
