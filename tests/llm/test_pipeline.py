@@ -9,7 +9,10 @@ import corpus_pipeline
 from threadsift.llm import toxicity
 from threadsift.llm.tables import settled, table
 
-from . import test_jaccard, test_lines, test_packing, test_winnowing
+from . import test_jaccard as jaccard_tests
+from . import test_lines as line_tests
+from . import test_packing as packing_tests
+from . import test_winnowing as winnowing_tests
 
 SF = "/root/testdata/sf0.01"
 
@@ -31,41 +34,41 @@ def test_columns_stay(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "decontamination", "packing"]
 
 
-def test_toxicity(spark, stages):
+def test_toxicity_stage(spark, stages):
     model = toxicity.train(stages[0], table(spark, SF, "labels"))
     clean = toxicity.score(stages[0], model).filter(F.col("score") < 0.7).select("doc_id")
     assert sorted(clean.collect()) == sorted(stages[1].select("doc_id").collect())
 
 
-def test_line_dedup(stages):
+def test_line_dedup_stage(stages):
     rows = texts(stages[1])
-    want = [(i, text) for (i, _, gone, text) in test_lines.brute_force(rows) if not gone or text.strip()]
+    want = [(i, text) for (i, _, gone, text) in line_tests.brute_force(rows) if not gone or text.strip()]
     assert sorted((str(i), t) for i, t in texts(stages[2])) == sorted(want)
     changed = stages[2].join(stages[1].select("doc_id", F.col("text").alias("before")), "doc_id").filter("text <> before")
     assert changed.count() and changed.filter("n_chars <> length(text)").count() == 0
 
 
-def test_near_duplicates(stages):
+def test_near_duplicates_stage(stages):
     rows = texts(stages[2])
-    want = {i for _, i, _, component in test_jaccard.brute_force(rows) if i == component}
+    want = {i for _, i, _, component in jaccard_tests.brute_force(rows) if i == component}
     assert sorted(i for i, _ in texts(stages[3])) == sorted(want)
 
 
-def test_decontamination(spark, stages):
+def test_decontamination_stage(spark, stages):
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
-    clean = [i for i, _, hit, _ in test_winnowing.brute_force(texts(stages[3]), items) if not hit]
+    clean = [i for i, _, hit, _ in winnowing_tests.brute_force(texts(stages[3]), items) if not hit]
     assert sorted(str(i) for i, _ in texts(stages[4])) == sorted(clean)
 
 
-def test_packing(stages):
+def test_packing_stage(stages):
     rows = stages[5].collect()
     length = {}
     for r in rows:
         length[r.doc_id] = length.get(r.doc_id, 0) + r.length
     some = dict(texts(stages[4]))
     assert length.keys() == some.keys()
-    assert all(length[i] == len(test_packing.plain_ids(t or "")) + 1 for i, t in list(some.items())[:100])
-    test_packing.check_places(rows, 4096)
+    assert all(length[i] == len(packing_tests.plain_ids(t or "")) + 1 for i, t in list(some.items())[:100])
+    packing_tests.check_places(rows, 4096)
 
 
 def test_run(spark, stages):

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 from threadsift.llm.hashing import U64
+from threadsift.llm.workers import release
 
 PACKED = "bucket int, kind int, payload binary"
 #: Kinds of rows: values for their bucket, shared values for the buckets of their owners, values of a crowd of entries.
@@ -124,6 +125,7 @@ def find_shared(buckets: int, crowd: int | None = None):
             sizes.append(np.concatenate((np.repeat(own, counts), none.astype("<u4"))))
         if values:
             value, name, size = np.concatenate(values), np.concatenate(sets), np.concatenate(sizes)
+            del values, sets, sizes, part
             order = np.argsort(value, kind="stable")
             value, name, size = value[order], name[order], size[order]
             starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
@@ -135,6 +137,8 @@ def find_shared(buckets: int, crowd: int | None = None):
             rows += to_owners(value[keep] | upper, name[keep], size[keep], buckets)
             if crowd is not None and (entries > crowd).any():
                 rows.append((bucket, CROWDED, (value[starts[entries > crowd]] | upper).astype("<u8").tobytes()))
+            del value, name, size, order, starts, entries, mixed, keep
+            release()
         return table_of(PACKED, rows)
 
     return run

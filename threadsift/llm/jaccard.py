@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,15 +39,16 @@ from threadsift.llm.exchange import MOST_BUCKETS, PACKED, SHARED, batch, canonic
 from threadsift.llm.hashing import U64, flat, groups, mix, shingle_hashes, word_hashes
 from threadsift.llm.sets import SignatureTree
 from threadsift.llm.tables import settled, small_side
+from threadsift.llm.workers import release
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 #: Text that one chunk covers, shingles that one bucket task sorts, and bytes of sets that one tree task joins.
-CHUNK_BYTES = 1 << 23
-BUCKET_SHINGLES = 2_000_000
+CHUNK_BYTES = 1 << 21
+BUCKET_SHINGLES = 1_000_000
 TILE_BYTES = 1 << 22
 
-_DOC_SETS = "doc_id {key}, n int, set_id long, need int"
+_DOC_SETS = "doc_id {key}, text_key long, n int, set_id long, need int"
 
 
 def _unique_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,23 +72,32 @@ def _tested(tokens: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray
     return half, np.maximum(0, np.bincount(own, half, len(n)).astype(np.int64) - spare)
 
 
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def document_sets(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n, set_id, need): number of distinct shingles, the set's name (NULL without shingles), and how many of
-    its tested shingles must be shared."""
+    """(doc_id, text_key, n, set_id, need): a hash of the text, the number of distinct shingles, the set's name (NULL
+    without shingles), and how many of its tested shingles must be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in batches:
-            tokens, n, names = _unique_shingles(*flat(part.column(1)), k)
-            _, need = _tested(tokens, n, percent)
-            ids = pa.array(names.astype(np.int64), pa.int64(), mask=n == 0)
-            columns = [part.column(0), pa.array(n, pa.int32()), ids, pa.array(need, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "set_id", "need"])
+            data, offsets = flat(part.column(2))
+            for i, j in groups(offsets, CHUNK_BYTES):
+                tokens, n, names = _unique_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
+                _, need = _tested(tokens, n, percent)
+                ids = pa.array(names.astype(np.int64), pa.int64(), mask=n == 0)
+                keys = [part.column(c).slice(i, j - i) for c in (0, 1)]
+                columns = [*keys, pa.array(n, pa.int32()), ids, pa.array(need, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "n", "set_id", "need"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _DOC_SETS.format(key=docs.schema["doc_id"].dataType.simpleString()))
+    return docs.select("doc_id", _text_key(docs).alias("text_key"), "text").mapInArrow(run, _DOC_SETS.format(key=docs.schema["doc_id"].dataType.simpleString()))
 
 
 def _send_shingles(buckets: int, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[int] = set()  # a set that a task meets again needs no second entry
         for part in batches:
             data, offsets = flat(part.column(0))
@@ -104,6 +114,8 @@ def _send_shingles(buckets: int, k: int, percent: int):
                 sent = half & fresh[own]  # the upper bit of these is zero
                 rows = send(canonical(tokens[sent] << U64(1), buckets), own[sent], names, need, buckets)
                 yield from table_of(PACKED, rows).to_batches()
+        del seen
+        release()
 
     return run
 
@@ -119,7 +131,10 @@ def _enough_shared(key, part):
     if SHARED not in part.column("kind").to_pylist():
         return table_of(_NAMES, [])
     name, need, _, starts, ends = gathered(part)
-    return table_of(_NAMES, [(v,) for v in name[starts[ends - starts >= need[starts]]].astype(np.int64).tolist()])
+    found = name[starts[ends - starts >= need[starts]]].astype(np.int64).tolist()
+    del name, need, starts, ends
+    release()
+    return table_of(_NAMES, [(v,) for v in found])
 
 
 def _whole_sets(k: int):
@@ -170,6 +185,8 @@ def _send_counts(buckets: int):
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             at = order[cuts[b] : cuts[b + 1]]
             rows.append((b, chunk, values[at].astype("<u8").tobytes() + counts[at].astype("<u8").tobytes()))
+        del values, counts, to, order
+        release()
         return table_of(_COUNTS, rows)
 
     return run
@@ -188,6 +205,8 @@ def _add_counts(key, part):
         some = total > 1
         if some.any():
             rows.append((key[0].as_py(), chunk, own[some].astype("<u8").tobytes() + total[some].astype("<u8").tobytes()))
+    del pairs, values, names, place, totals
+    release()
     return table_of(_COUNTS, rows)
 
 
@@ -210,6 +229,8 @@ def _prefixes(percent: int):
                 chosen = own[rarest[often[rarest] > 1]]
                 out_tokens.append(chosen.astype(np.int64))
                 out_sets.append(np.full(len(chosen), sid, np.int64))
+            del pairs, values, totals, order
+            release()
         none = [np.zeros(0, np.int64)]
         return pa.Table.from_batches([batch(_PREFIX, np.concatenate(out_tokens or none), np.concatenate(out_sets or none))])
 
@@ -245,6 +266,8 @@ def _join_units(percent: int):
                 members = tree.names[tree.label == label]
                 out_a.append(members)
                 out_b.append(np.full(len(members), members.min()))
+            del tree
+        release()
         return pa.Table.from_batches([batch(_EDGES, np.concatenate(out_a), np.concatenate(out_b))])
 
     return run
@@ -367,7 +390,8 @@ def link_components(sets: DataFrame, meetings: DataFrame, percent: int = PERCENT
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """(doc_id, n_shingles, set_id, component_id) for every row: component_id is the least doc_id reachable by links."""
+    """(doc_id, text_key, n_shingles, set_id, component_id) for every row: component_id is the least doc_id reachable by
+    links."""
     owners = settled(document_sets(docs, k, percent), "owners")
     sets = settled(possible_sets(docs, owners, k, percent), "sets")
     rows = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("set_id").alias("d")).first()
@@ -377,24 +401,25 @@ def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WO
     meetings = settled(prefixes(sets, shared, percent), "meetings")
     roots = settled(link_components(sets, meetings, percent, tile_bytes), "roots").toDF("_node", "_root")
     known = owners.join(roots, F.col("set_id") == F.col("_node"), "left")
-    known = known.select("doc_id", "n", "set_id", F.coalesce("_root", "set_id").alias("_root"))
+    known = known.select("doc_id", "text_key", "n", "set_id", F.coalesce("_root", "set_id").alias("_root"))
     least = known.filter("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("_least")).withColumnRenamed("_root", "_own")
     named = known.join(least, F.col("_root") == F.col("_own"), "left")
     component = F.when(F.col("_root").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
-    return named.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_id", component.alias("component_id"))
+    return named.select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), "set_id", component.alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are linked to one of a smaller doc_id. Of repeated rows one stays; rows
     without doc_id stay unless they are linked to a row that has one."""
-    found = near_components(docs, percent)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.lit(True).alias("_gone"))
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id", "set_id").count().filter("count > 1")
-    gone = settled(gone.distinct(), "gone")
-    repeated = settled(kept.filter("set_id is not null").select(F.col("doc_id").alias("_again")).distinct(), "repeated")
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    found = settled(near_components(docs, percent), "components")
+    loses = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = found.filter(loses).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_key(docs) == F.col("_key"))
+    left = docs.join(small_side(settled(gone, "gone")), same, "left_anti")
+    stays = found.filter((F.col("doc_id") == F.col("component_id")) & F.col("set_id").isNotNull())
+    repeated = settled(stays.groupBy("doc_id", "text_key").count().filter("count > 1").drop("count"), "repeated")
     if repeated.isEmpty():
         return left
-    same = left["doc_id"] == F.col("_again")
-    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
+    repeated = repeated.toDF("_id", "_key")
+    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(repeated, same, "left_anti").unionByName(once)

@@ -27,19 +27,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.hashing import groups
+from threadsift.llm.hashing import flat, groups
 from threadsift.llm.tables import settled
-from threadsift.llm.workers import kept
+from threadsift.llm.workers import kept, trim
 
 MAX_TOKENS = 4096
 END_ID = 1
 #: Pieces that one task packs; some 30 bytes each.
 PIECES_PER_TASK = 100_000
 #: Words whose ids a worker remembers from its latest texts, and as many from before; some 200 bytes each.
-REMEMBERED_WORDS = 350_000
+REMEMBERED_WORDS = 200_000
 HOT_WORDS = 16_000
 #: Text that is tokenized at a time.
-_STEP_BYTES = 1 << 22
+_STEP_BYTES = 1 << 20
+#: Words that are encoded at a time.
+_WORDS_AT_ONCE = 4096
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _split_mark = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([.,])(?=[ \n]|$)").sub
@@ -148,10 +150,14 @@ class WordTokenizer:
         if again:
             self._known.add(again, *self._older.of(np.array([self._older.place[w] for w in again])))
         new = list(words.difference(again))
+        ids, counts = [], []
+        for i in range(0, len(new), _WORDS_AT_ONCE):
+            some = [w.decode() for w in new[i : i + _WORDS_AT_ONCE]]
+            got = self._tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.asarray(got.ids, "<u4"))
+            counts.append(np.bincount(np.asarray(got.word_ids, np.int64), minlength=len(some)))
         if new:
-            got = self._tokenizer.encode([w.decode() for w in new], is_pretokenized=True, add_special_tokens=False)
-            owner = np.asarray(got.word_ids, np.int64)
-            self._known.add(new, np.asarray(got.ids, "<u4"), np.bincount(owner, minlength=len(new)))
+            self._known.add(new, np.concatenate(ids), np.concatenate(counts))
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
@@ -164,16 +170,18 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOK
         tokenizer = kept(hash(definition.value), lambda: WordTokenizer(definition.value))
         end, width = array.array("I", [end_id]).tobytes(), 4 * max_tokens
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-            for i, j in groups(np.concatenate(([0], np.cumsum([len(t or b"") for t in texts]))), _STEP_BYTES):
+            _, offsets = flat(batch.column(1))
+            for i, j in groups(offsets, _STEP_BYTES):
+                keys, texts = batch.column(0).slice(i, j - i).to_pylist(), batch.column(1).slice(i, j - i).cast(pa.binary()).to_pylist()
                 out: tuple[list, ...] = ([], [], [], [], [])
-                for key, ids in zip(keys[i:j], tokenizer.ids([t or b"" for t in texts[i:j]]), strict=True):
+                for key, ids in zip(keys, tokenizer.ids([t or b"" for t in texts]), strict=True):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), width)):
                         part = ids[at : at + width]
                         for column, value in zip(out, (key, piece, at // 4, len(part) // 4, part), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     pieces = rows.mapInArrow(cut, "doc_id string, piece int, start long, length long, ids binary")

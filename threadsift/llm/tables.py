@@ -27,11 +27,16 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes in an Arrow batch.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's code to the Python workers, which may not have it installed."""
+    """Sends this package's code to the Python workers, which may not have it installed, and bounds what passes to them
+    at a time: ten thousand long texts, the default, take some hundred MB in the executor and as much in its worker."""
+    for key, value in ARROW_BATCH.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

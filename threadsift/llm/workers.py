@@ -24,6 +24,11 @@ def release() -> None:
     """Drops what is kept and hands freed memory back to the system, for a task that needs much of it: workers outlive
     tasks, and an executor's memory holds all of its workers."""
     _kept.clear()
+    trim()
+
+
+def trim() -> None:
+    """Hands freed memory back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library has it
