@@ -98,9 +98,10 @@ class WordTokenizer:
     word is encoded once and remembered. Texts with a special token's opening go through the tokenizer whole.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, remembered: int | None = None):
         from tokenizers import Tokenizer
 
+        self._most = remembered or REMEMBERED_WORDS
         self._tokenizer = Tokenizer.from_str(definition)
         kinds = json.dumps(json.loads(definition).get("normalizer"))
         self._by_word = '"Lowercase"' in kinds and "\\\\s+" in kinds
@@ -120,7 +121,7 @@ class WordTokenizer:
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
             missing = {words[i] for i in unknown.tolist()}
-            if len(self._known.place) + len(missing) > REMEMBERED_WORDS:
+            if len(self._known.place) + len(missing) > self._most:
                 self._known, self._older = _Known(), self._known
                 self._hot, self._seen, self._steps = {}, np.zeros(0, np.int64), 0
                 missing, unknown = set(words), np.arange(len(words))
@@ -160,14 +161,15 @@ class WordTokenizer:
             self._known.add(new, np.concatenate(ids), np.concatenate(counts))
 
 
-def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, piece, start, length, ids): ids are little-endian unsigned 32-bit numbers."""
+def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, remembered: int = REMEMBERED_WORDS) -> DataFrame:
+    """(doc_id, piece, start, length, ids): ids are little-endian unsigned 32-bit numbers. ``remembered`` words take
+    memory and save time."""
     with open(tokenizer_file) as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = pa.schema([("doc_id", pa.string()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = kept(hash(definition.value), lambda: WordTokenizer(definition.value))
+        tokenizer = kept((hash(definition.value), remembered), lambda: WordTokenizer(definition.value, remembered))
         end, width = array.array("I", [end_id]).tobytes(), 4 * max_tokens
         for batch in batches:
             _, offsets = flat(batch.column(1))
