@@ -17,8 +17,9 @@ from threadsift.llm.hashing import U64
 from threadsift.llm.workers import release
 
 PACKED = "bucket int, kind int, payload binary"
-#: Kinds of rows: values for their bucket, shared values for the buckets of their owners, values of a crowd of entries.
-VALUES, SHARED, CROWDED = 0, 1, 2
+#: Kinds of rows: values for their bucket, shared values for the buckets of their owners, crowded values with their
+#: weights, values that weigh more than one in a chunk.
+VALUES, SHARED, CROWDED, WEIGHTS = 0, 1, 2, 3
 MOST_BUCKETS = 1 << 15
 
 
@@ -87,6 +88,18 @@ def send(values: np.ndarray, own: np.ndarray, names: np.ndarray, sizes: np.ndarr
     return rows + to_owners(values[several], names[o], sizes[o], buckets)
 
 
+def send_weights(values: np.ndarray, weights: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
+    """What values of a chunk weigh, for their buckets; a value that is not named weighs one."""
+    order = np.argsort(values, kind="stable")
+    values, weights = values[order], weights[order]
+    cuts = np.searchsorted((values >> U64(48)).astype(np.int64), np.arange(buckets + 1))
+    rows = []
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        x = slice(*cuts[b : b + 2])
+        rows.append((b, WEIGHTS, values[x].astype("<u8").tobytes() + weights[x].astype("<u4").tobytes()))
+    return rows
+
+
 def to_owners(tokens: np.ndarray, sids: np.ndarray, sizes: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
     """Shared values, packed for the buckets of their owners."""
     if not len(tokens):
@@ -104,13 +117,19 @@ def to_owners(tokens: np.ndarray, sids: np.ndarray, sizes: np.ndarray, buckets:
 
 
 def find_shared(buckets: int, crowd: int | None = None):
-    """For each bucket of values those of several owners, to the buckets of the owners; also the values that have more
-    than ``crowd`` entries."""
+    """For each bucket of values those of several owners, to the buckets of the owners; also the values that weigh more
+    than ``crowd`` in all chunks together, and their weights."""
 
     def run(key, part):
         bucket = key[0].as_py()
         rows, values, sets, sizes = [], [], [], []
+        heavy, weights = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
         for kind, payload in zip(part.column("kind").to_pylist(), part.column("payload").to_pylist(), strict=True):
+            if kind == WEIGHTS:
+                n = len(payload) // 12
+                heavy.append(np.frombuffer(payload, "<u8", n) & U64((1 << 48) - 1))
+                weights.append(np.frombuffer(payload, "<u4", n, 8 * n).astype(np.int64))
+                continue
             if kind != VALUES:
                 rows.append((bucket, kind, payload))
                 continue
@@ -135,8 +154,12 @@ def find_shared(buckets: int, crowd: int | None = None):
             keep = np.repeat(mixed, entries) & (name != 0)
             upper = U64(bucket) << U64(48)
             rows += to_owners(value[keep] | upper, name[keep], size[keep], buckets)
-            if crowd is not None and (entries > crowd).any():
-                rows.append((bucket, CROWDED, (value[starts[entries > crowd]] | upper).astype("<u8").tobytes()))
+            weight = entries.copy()
+            np.add.at(weight, np.searchsorted(value[starts], np.concatenate(heavy)), np.concatenate(weights) - 1)
+            if crowd is not None and (weight > crowd).any():
+                many = weight > crowd
+                crowded = np.stack((value[starts[many]] | upper, weight[many].astype(U64)))
+                rows.append((bucket, CROWDED, crowded.astype("<u8").tobytes()))
             del value, name, size, order, starts, entries, mixed, keep
             release()
         return table_of(PACKED, rows)
