@@ -83,3 +83,24 @@ def test_near_duplicates(docs):
     for i, r in root.items():
         groups.setdefault(r, set()).add(i)
     assert sorted(map(sorted, (g for g in groups.values() if len(g) > 1))) == [list(range(20)), [25, 40, 41]]
+
+
+@pytest.mark.parametrize("block", [None, 16])
+def test_near_duplicates_behind_other_heads(docs, monkeypatch, block):
+    """A passage and its near copy are linked though longer documents that quote it come first in all of their bands."""
+    if block:
+        monkeypatch.setattr(fingerprints, "BLOCK", block)
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(200)
+    rows = [(i, " ".join(passage + words(80))) for i in range(400)]
+    rows += [(1000, " ".join(passage)), (1001, " ".join([*passage[:190], *words(10)]))]
+    links = [(r.a, r.b, r.jaccard) for r in fingerprints.near_duplicates(docs(*rows)).collect()]
+    sets = {i: shingles(t) for i, t in rows}
+    assert all(a < b and j >= 0.75 and abs(j - jaccard(sets[a], sets[b])) < 1e-9 for a, b, j in links)
+    root = {i: i for i in sets}
+    for a, b, _ in links:
+        old, new = root[b], root[a]
+        root = {k: (new if v == old else v) for k, v in root.items()}
+    assert root[1000] == root[1001]
+    assert len(set(root.values())) == 401
