@@ -90,3 +90,13 @@ def test_without_broadcast(docs, small_documents, monkeypatch):
 
 def test_no_documents(docs):
     assert lines.without_repeated_lines(docs()).collect() == []
+
+
+def test_short_lines_that_repeat(docs):
+    """With a limit in words equal short lines go, near ones and trivial ones stay."""
+    frame = docs((1, "All rights reserved.\n\nx\ntwo words"), (2, "All rights reserved.\n\nx\ntwo words"), (3, "All rights reserved!"), (4, "  All   rights "))
+    left = lines.without_repeated_lines(frame, exact_words=3)
+    got = {r.doc_id: (r.text, r._n_removed) for r in left.collect()}
+    assert got[1] == ("All rights reserved.\n\nx\ntwo words", 0) and got[2] == ("\nx\ntwo words", 1)
+    assert got[3] == ("All rights reserved!", 0) and got[4] == ("  All   rights ", 0)
+    assert lines.without_repeated_lines(frame).filter("_n_removed > 0").count() == 0

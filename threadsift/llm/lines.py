@@ -2,7 +2,7 @@
 
 A line that equals an earlier one, or is within ``EDITS`` edits of one, is removed. Lines come in the order of doc_id
 and place; every line is judged against the input, not against what is left. Lines of fewer than ``MIN_CHARS``
-characters stay.
+characters stay; a caller may have those of at least ``exact_words`` words removed where they equal an earlier line.
 
 Equal lines are found by an aggregate over 128-bit hashes. For near lines each distinct line is cut into edits + 1
 segments, of which at most ``edits`` can be touched, so a line within reach has one of them unchanged, at a place that
@@ -38,11 +38,15 @@ _GRAM = 3  # characters
 _GRAM_WORDS = 16  # 64-bit words of the set of character grams
 
 
-def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, pos, line) of the lines that take part; pos counts all lines from 0."""
+def lines_of(docs: DataFrame, min_chars: int, exact_words: int | None = None) -> DataFrame:
+    """(doc_id, pos, line) of the lines that take part: those of ``min_chars`` characters or, if given, of
+    ``exact_words`` words; pos counts all lines from 0."""
     # the outer form: for an inner one the optimizer splits twice, to leave out empty arrays first
     split = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
-    return split.filter(F.length("line") >= min_chars)
+    takes_part = F.length("line") >= min_chars
+    if exact_words is not None:
+        takes_part = takes_part | (F.size(F.array_remove(F.split("line", r"\s+"), "")) >= exact_words)
+    return split.filter(takes_part)
 
 
 def _place(doc_id: str = "doc_id") -> Column:
@@ -182,9 +186,9 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     return found.filter("line is not null").select(*_hashes()).distinct()
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = None) -> DataFrame:
     """(doc_id, removed): the lines that go, as (pos, h1) members, for documents that lose any."""
-    places = lines_of(docs, min_chars).select("doc_id", "pos", *_hashes())
+    places = lines_of(docs, min_chars, exact_words).select("doc_id", "pos", *_hashes())
     distinct = places.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
     distinct = settled(distinct, "lines")
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -196,9 +200,9 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = None) -> DataFrame:
     """``docs`` with what is left of each text, and _n_lines and _n_removed."""
-    removed = settled(removed_lines(docs, edits, min_chars), "removed")
+    removed = settled(removed_lines(docs, edits, min_chars, exact_words), "removed")
     removed = removed.select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
     joined = docs.join(small_side(removed, F.size("_removed")), docs["doc_id"].eqNullSafe(F.col("_id")), "left")
     split = F.split(docs["text"], "\n")
