@@ -75,3 +75,10 @@ def test_empty_tables(spark, docs):
     assert winnowing.contamination(docs(), benchmark(spark, [(1, "a b c")])).collect() == []
     assert result(winnowing.contamination(docs((1, "a b")), benchmark(spark, []))) == [("1", 2, 0, [])]
     assert winnowing.clean_documents(docs((1, "a b")), benchmark(spark, [(1, None)])).count() == 1
+
+
+def test_item_without_id(spark, docs):
+    item = " ".join(f"w{i}" for i in range(12))
+    frame, items = docs((1, f"x {item} y"), (2, "clean")), benchmark(spark, [(None, item), (5, "not in any of them")])
+    assert result(winnowing.contamination(frame, items)) == [("1", 14, 12, []), ("2", 1, 0, [])]
+    assert [r.doc_id for r in winnowing.clean_documents(frame, items).collect()] == [2]

@@ -9,8 +9,9 @@ An item of at least ``window`` words is looked for by its windows of that many w
 of all its words, found with smaller k and w.
 
 Defined results: a NULL text or one without words has no words and no hit, an item without words occurs nowhere;
-repeated rows get equal results each; several items with the same window all count; an empty table gives no rows, an
-empty benchmark no hits; rows with NULL doc_id are treated like others.
+repeated rows get equal results each; several items with the same window all count; an item with NULL item_id is looked
+for like others, so its hits are in the spans and contaminate, but it has no id to be listed by; an empty table gives no
+rows, an empty benchmark no hits; rows with NULL doc_id are treated like others.
 """
 
 from __future__ import annotations
@@ -158,7 +159,7 @@ def _union(spans: str) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no item's window occurs."""
-    found = contamination(docs, benchmark, window).filter(F.size("items") > 0)
+    found = contamination(docs, benchmark, window).filter(F.size("spans") > 0)
     hit = settled(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "contaminated")
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key"))
     return docs.join(small_side(hit), same, "left_anti")
