@@ -100,3 +100,16 @@ def test_short_lines_that_repeat(docs):
     assert got[1] == ("All rights reserved.\n\nx\ntwo words", 0) and got[2] == ("\nx\ntwo words", 1)
     assert got[3] == ("All rights reserved!", 0) and got[4] == ("  All   rights ", 0)
     assert lines.without_repeated_lines(frame).filter("_n_removed > 0").count() == 0
+
+
+def test_different_texts_without_own_id(docs):
+    """Of lines at the same place of different texts that have no doc_id, or the same one, the first stays."""
+    line, other = "a line that is long enough to take part in this", "and another one that is just as long as it should be"
+    texts = [f"{x}\n{i}" for x in (line, other) for i in range(5)]
+    frame = docs(*((None if t.startswith(line) else 7, t) for t in texts), (None, f"{line}\n3"))
+    left = [(r.doc_id, r.text, r._n_removed) for r in lines.without_repeated_lines(frame).collect()]
+    for i, x in ((None, line), (7, other)):
+        own = [(t, n) for d, t, n in left if d == i]
+        stays = {t for t, n in own if n == 0}
+        assert len(own) == (6 if i is None else 5) and len(stays) == 1 and all(t.startswith(x) for t in stays)
+        assert all(n == 1 and "\n" not in t for t, n in own if t not in stays)

@@ -15,9 +15,9 @@ functions.
 Lines that are at least a ten-thousandth of all lines (so at most ten thousand of them) enter the index once,
 by a broadcast of that list; this keeps repeated lines from gathering at a key.
 
-Defined results: rows with NULL doc_id come last; NULL and empty texts have no lines to remove and stay as they are;
-rows that agree in doc_id and text are the same document, so their lines do not remove each other; an empty table
-gives no rows. Line breaks are ``\\n`` only.
+Defined results: rows with NULL doc_id come last, rows with equal or no doc_id in the order of a hash of the text; NULL
+and empty texts have no lines to remove and stay as they are; rows that agree in doc_id and text are the same document,
+so their lines do not remove each other; an empty table gives no rows. Line breaks are ``\\n`` only.
 """
 
 from __future__ import annotations
@@ -39,18 +39,22 @@ _GRAM_WORDS = 16  # 64-bit words of the set of character grams
 
 
 def lines_of(docs: DataFrame, min_chars: int, exact_words: int | None = None) -> DataFrame:
-    """(doc_id, pos, line) of the lines that take part: those of ``min_chars`` characters or, if given, of
+    """(doc_id, text_key, pos, line) of the lines that take part: those of ``min_chars`` characters or, if given, of
     ``exact_words`` words; pos counts all lines from 0."""
     # the outer form: for an inner one the optimizer splits twice, to leave out empty arrays first
-    split = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
+    split = docs.select("doc_id", _text_key(docs).alias("text_key"), F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
     takes_part = F.length("line") >= min_chars
     if exact_words is not None:
         takes_part = takes_part | (F.size(F.array_remove(F.split("line", r"\s+"), "")) >= exact_words)
     return split.filter(takes_part)
 
 
-def _place(doc_id: str = "doc_id") -> Column:
-    return F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("doc_id"), F.col("pos").alias("pos"))
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["text"])
+
+
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "pos")
 
 
 def _hashes(line: str = "line") -> list[Column]:
@@ -137,7 +141,7 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min_chars: int) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within reach."""
-    lines = lines_of(docs, min_chars).select("doc_id", "pos", "line", *_hashes())
+    lines = lines_of(docs, min_chars).select("doc_id", "text_key", "pos", "line", *_hashes())
     frequent = distinct.filter(F.col("n") * FREQUENT > total).select(F.col("h1").alias("_f1"), F.col("h2").alias("_f2"), F.col("first").alias("_first"))
     # at most FREQUENT rows
     kept = lines.join(F.broadcast(frequent), (F.col("h1") == F.col("_f1")) & (F.col("h2") == F.col("_f2")), "left")
@@ -187,8 +191,8 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = None) -> DataFrame:
-    """(doc_id, removed): the lines that go, as (pos, h1) members, for documents that lose any."""
-    places = lines_of(docs, min_chars, exact_words).select("doc_id", "pos", *_hashes())
+    """(doc_id, text_key, removed): the lines that go, as (pos, h1) members, for documents that lose any."""
+    places = lines_of(docs, min_chars, exact_words).select("doc_id", "text_key", "pos", *_hashes())
     distinct = places.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
     distinct = settled(distinct, "lines")
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -197,14 +201,15 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     marked = settled(marked.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), "first", F.coalesce("near", F.lit(False)).alias("near")), "marked")
     gone = places.join(small_side(marked), (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
     gone = gone.filter(F.col("near") | ~F.col("first").eqNullSafe(_place()))
-    return gone.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
+    return gone.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
 
 
 def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = None) -> DataFrame:
     """``docs`` with what is left of each text, and _n_lines and _n_removed."""
     removed = settled(removed_lines(docs, edits, min_chars, exact_words), "removed")
-    removed = removed.select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    joined = docs.join(small_side(removed, F.size("_removed")), docs["doc_id"].eqNullSafe(F.col("_id")), "left")
+    removed = removed.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_key(docs) == F.col("_key"))
+    joined = docs.join(small_side(removed, F.size("_removed")), same, "left")
     split = F.split(docs["text"], "\n")
     kept = F.filter(split, lambda line, i: ~F.array_contains("_removed", F.struct(i.alias("pos"), F.xxhash64(line).alias("h1"))))
     joined = joined.withColumn("_kept", F.when(F.col("_removed").isNotNull(), kept))
