@@ -121,3 +121,12 @@ def test_components(spark):
     touched = {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: want[x] for x in touched}
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_of_each_without_own_id(docs):
+    """One row of a group stays though none has a doc_id, or several texts have the same one."""
+    text, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(None, text + end) for end in ("", " more", " most", "")] + [(4, other), (4, other + " too"), (None, other), (None, None), (None, "alone")]
+    left = sorted((str(r.doc_id), r.text or "") for r in jaccard.one_of_each(docs(*rows)).collect())
+    assert [i for i, _ in left] == ["4", "None", "None", "None"]
+    assert sorted(t[:3] for _, t in left) == ["", "a0 ", "alo", "b0 "]

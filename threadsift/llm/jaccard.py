@@ -389,9 +389,9 @@ def link_components(sets: DataFrame, meetings: DataFrame, percent: int = PERCENT
     return components(edges.unionByName(across))
 
 
-def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """(doc_id, text_key, n_shingles, set_id, component_id) for every row: component_id is the least doc_id reachable by
-    links."""
+def _rooted(docs: DataFrame, percent: int, k: int, tile_bytes: int) -> DataFrame:
+    """(doc_id, text_key, n, set_id, _root) for every row: rows that links connect have the same root (NULL without
+    shingles)."""
     owners = settled(document_sets(docs, k, percent), "owners")
     sets = settled(possible_sets(docs, owners, k, percent), "sets")
     rows = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("set_id").alias("d")).first()
@@ -401,7 +401,13 @@ def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WO
     meetings = settled(prefixes(sets, shared, percent), "meetings")
     roots = settled(link_components(sets, meetings, percent, tile_bytes), "roots").toDF("_node", "_root")
     known = owners.join(roots, F.col("set_id") == F.col("_node"), "left")
-    known = known.select("doc_id", "text_key", "n", "set_id", F.coalesce("_root", "set_id").alias("_root"))
+    return known.select("doc_id", "text_key", "n", "set_id", F.coalesce("_root", "set_id").alias("_root"))
+
+
+def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS, tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """(doc_id, text_key, n_shingles, set_id, component_id) for every row: component_id is the least doc_id reachable by
+    links."""
+    known = _rooted(docs, percent, k, tile_bytes)
     least = known.filter("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("_least")).withColumnRenamed("_root", "_own")
     named = known.join(least, F.col("_root") == F.col("_own"), "left")
     component = F.when(F.col("_root").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
@@ -409,14 +415,17 @@ def near_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WO
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that are linked to one of a smaller doc_id. Of repeated rows one stays; rows
-    without doc_id stay unless they are linked to a row that has one."""
-    found = settled(near_components(docs, percent), "components")
-    loses = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = found.filter(loses).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    """``docs`` with one document of each group of linked ones: that of the smallest doc_id, rows without doc_id last,
+    then of the smallest hash of the text. Of repeated rows one stays; rows without shingles stay."""
+    known = _rooted(docs, percent, SHINGLE_WORDS, TILE_BYTES)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = known.filter("_root is not null").groupBy("_root").agg(F.min(place).alias("_first")).withColumnRenamed("_root", "_own")
+    found = known.join(first, F.col("_root") == F.col("_own"), "left")
+    found = settled(found.select("doc_id", "text_key", place.eqNullSafe(F.col("_first")).alias("stays"), F.col("_root").isNotNull().alias("linked")), "components")
+    gone = found.filter("linked and not stays").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_key(docs) == F.col("_key"))
     left = docs.join(small_side(settled(gone, "gone")), same, "left_anti")
-    stays = found.filter((F.col("doc_id") == F.col("component_id")) & F.col("set_id").isNotNull())
+    stays = found.filter("linked and stays")
     repeated = settled(stays.groupBy("doc_id", "text_key").count().filter("count > 1").drop("count"), "repeated")
     if repeated.isEmpty():
         return left
