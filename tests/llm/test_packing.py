@@ -106,3 +106,10 @@ def test_rounds_of_exchange(spark, kind):
 def test_no_documents(spark, docs):
     packed = packing.pack(packing.token_pieces(docs(), FILE).drop("ids"))
     assert packed.pieces.count() == 0 and packed.sequences == packed.bound == 0
+
+
+def test_control_characters_and_combining_marks():
+    """What the shortcut by words would take apart or compose goes through the tokenizer whole."""
+    words = packing.WordTokenizer(open(FILE).read())
+    for text in ("x\u0001. a", "x\u007f, a", "x\u0085. a", "x\u0080. a", "H̱ b", "á. İ̇, b"):
+        assert np.frombuffer(words.ids([text.encode()])[0], "<u4").tolist() == plain_ids(text)

@@ -72,6 +72,17 @@ def _words(text: bytes) -> list[bytes]:
     return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n").split()
 
 
+#: Control characters that are not white space, and the first bytes of the combining marks from U+0300 to U+036F.
+_ODD = bytes([*range(9), *range(0x0E, 0x20), 0x7F, 0xCC, 0xCD])
+_C1 = re.compile(rb"\xc2[\x80-\x9f]")
+
+
+def _odd(text: bytes) -> bool:
+    """Whether a text has what may differ between words and the whole: control characters, behind which marks would be
+    taken off, and combining marks, which may compose with a lower-case letter only."""
+    return len(text.translate(None, _ODD)) != len(text) or (b"\xc2" in text and _C1.search(text) is not None)
+
+
 class _Known:
     """Ids of words, one after the other."""
 
@@ -95,7 +106,8 @@ class WordTokenizer:
     """Ids of whole texts by a tokenizer that lower-cases and never joins across white space.
 
     Such a tokenizer gives a text the ids of its white-space separated words, one after the other, so each
-    word is encoded once and remembered. Texts with a special token's opening go through the tokenizer whole.
+    word is encoded once and remembered. Texts with a special token's opening, control characters or combining marks go
+    through the tokenizer whole.
     """
 
     def __init__(self, definition: str, remembered: int | None = None):
@@ -111,7 +123,7 @@ class WordTokenizer:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        whole = [not self._by_word or b"<|" in t for t in texts]
+        whole = [not self._by_word or b"<|" in t or _odd(t) for t in texts]
         split = [[] if w else _words(t) for t, w in zip(texts, whole, strict=True)]
         words = list(chain.from_iterable(split))
         at = np.fromiter(map(self._hot.get, words, repeat(-1)), np.int64, len(words))
