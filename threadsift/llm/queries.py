@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, suffixes, toxicity, warc, winnowing
+from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, resharding, suffixes, toxicity, warc, winnowing
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -168,6 +168,22 @@ from documents d left join judged j on j.doc_id = d.doc_id group by d.doc_id
 """
 
 
+#: Folders of the layout that op13 starts from: documents by a hash of their source, so one of them holds a third or more.
+OLD_SHARDS, SHARDS = 6, 8
+
+
+def op13_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    root = scratch_folder(spark, "layout")
+    by_source = F.pmod(F.xxhash64("source"), F.lit(OLD_SHARDS))
+    schema = resharding.store(table(spark, sf_dir, "documents"), by_source, root)
+    found = resharding.read_layout(spark, resharding.reshard(spark, root, schema, SHARDS))
+    return found.select(
+        "doc.doc_id", "size", F.crc32(F.coalesce("doc.text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit(resharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -179,5 +195,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_fingerprints": op9_fingerprints,
     "op10_lines": op10_lines,
+    "op13_resharding": op13_resharding,
 }
 ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op7_winnowing": OP7_SQL, "op10_lines": OP10_SQL}
