@@ -21,4 +21,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert len(QUERIES) == 11
+    assert len(QUERIES) == 12

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, resharding, suffixes, toxicity, warc, winnowing
+from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, resharding, suffixes, toxicity, trie, warc, winnowing
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -168,6 +168,38 @@ from documents d left join judged j on j.doc_id = d.doc_id group by d.doc_id
 """
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: CRC-32 byte by byte and bit by bit; subtrees through the first members of the nodes below.
+OP11_SQL = r"""
+with turns as (select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (select *, row_number() over (partition by c order by turn nulls first, role, text) - 1 as j from turns),
+convs as (select distinct c, c - c % 20 as r, xor(list_reduce(list_prepend(4294967295::ubigint,
+  list_transform(string_split(cast(c as varchar), ''), lambda x: ord(x)::ubigint)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda x, y: xor(x >> 1, 3988292384::ubigint * (x & 1)))), 4294967295::ubigint) % 4 as h from turns),
+seq as (select convs.c, 0 as half, j, role, text from convs join own on own.c = convs.r and own.j < convs.h
+  union all select convs.c, 1, j, role, text from convs join own on own.c = convs.c and own.j >= convs.h),
+rebuilt as (select c, row_number() over (partition by c order by half, j) as d, role, text from seq),
+named as (select c, d, text, md5(string_agg(md5(role) || md5(text), '') over (partition by c order by d)) as k from rebuilt),
+rooted as (select * from named union all select c, 0, '', '' from convs),
+lengths as (select c, max(d) as n from rooted group by c),
+nodes as (select d, k, min(c) as conv_id, count(*) as n_convs,
+  len(list_filter(string_split_regex(min(text), '[\x20\x09-\x0D]+'), lambda x: x <> '')) as words from rooted group by d, k),
+up as (select x.d, x.k, y.k as pk from nodes x left join rooted y on y.c = x.conv_id and y.d = x.d - 1),
+children as (select pk, d - 1 as d, count(*) as n_children from up where d > 0 group by pk, d),
+full_nodes as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children on children.pk = nodes.k and children.d = nodes.d),
+totals as (select r.d, r.k, sum((n_children = 0)::int) as n_leaves, sum((n_convs - 1) * words) as saved
+  from full_nodes f join rooted r on r.c = f.conv_id and r.d <= f.d group by r.d, r.k),
+ends as (select r.d, r.k, sha256(string_agg(cast(r.c as varchar), ',' order by r.c)) as e from rooted r join lengths on r.c = lengths.c and r.d = n group by r.d, r.k)
+select f.conv_id, f.d as depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, cast(n_leaves as bigint) as n_leaves,
+  cast(saved as bigint) as saved_tokens, coalesce(e, sha256('')) as ends_sha256
+from full_nodes f join up using (d, k) join totals t using (d, k) left join nodes p on p.k = up.pk and p.d = f.d - 1 left join ends using (d, k)
+"""
+
+
 #: Folders of the layout that op13 starts from: documents by a hash of their source, so one of them holds a third or more.
 OLD_SHARDS, SHARDS = 6, 8
 
@@ -195,6 +227,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_fingerprints": op9_fingerprints,
     "op10_lines": op10_lines,
+    "op11_trie": op11_trie,
     "op13_resharding": op13_resharding,
 }
-ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op7_winnowing": OP7_SQL, "op10_lines": OP10_SQL}
+ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op7_winnowing": OP7_SQL, "op10_lines": OP10_SQL, "op11_trie": OP11_SQL}
