@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", ORACLE)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(ORACLE[name])
     columns = sorted(want.columns)
@@ -21,4 +21,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert len(QUERIES) == 12
+    assert len(QUERIES) == 13

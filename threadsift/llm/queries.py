@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.llm import chat, fingerprints, jaccard, language, lines, packing, resharding, suffixes, toxicity, trie, warc, winnowing
+from threadsift.llm import chat, fingerprints, jaccard, language, lines, negatives, packing, resharding, suffixes, toxicity, trie, warc, winnowing
 from threadsift.llm.tables import ship, table
 from threadsift.sources.scratch import scratch_folder
 
@@ -200,6 +200,28 @@ from full_nodes f join up using (d, k) join totals t using (d, k) left join node
 """
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).cast("long").alias("label")
+    rows = table(spark, sf_dir, "embeddings").filter(negatives.usable(F.col("label"), F.col("embedding")))
+    return negatives.hard_negatives(rows.select("vec_id", label, negatives.whole_numbers(F.col("embedding")).alias("q")))
+
+
+OP12_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings where label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select a.vec_id as anchor, b.vec_id as other, a.label = b.label as same, list_inner_product(a.q, b.q)::bigint as s
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+pos as (select * from (select *, row_number() over (partition by anchor order by s desc, other) as k from scores where same) where k <= 5),
+neg as (select p.anchor, p.other as positive, p.s as ps, n.other as negative, n.s as ns,
+  row_number() over (partition by p.anchor, p.other order by n.s desc, n.other) as rank
+  from pos p join scores n on n.anchor = p.anchor and not n.same and 50 * p.s <= 100 * n.s and 100 * n.s <= 95 * p.s)
+select anchor as anchor_id, positive as positive_id, cast(rank as int) as rank, negative as negative_id, ps as positive_score, ns as negative_score
+from neg where rank <= 3
+"""
+
+
 #: Folders of the layout that op13 starts from: documents by a hash of their source, so one of them holds a third or more.
 OLD_SHARDS, SHARDS = 6, 8
 
@@ -228,6 +250,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_lines": op10_lines,
     "op11_trie": op11_trie,
+    "op12_negatives": op12_negatives,
     "op13_resharding": op13_resharding,
 }
-ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op7_winnowing": OP7_SQL, "op10_lines": OP10_SQL, "op11_trie": OP11_SQL}
+ORACLE = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op7_winnowing": OP7_SQL, "op10_lines": OP10_SQL, "op11_trie": OP11_SQL, "op12_negatives": OP12_SQL}
