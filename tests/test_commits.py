@@ -1,0 +1,205 @@
+"""Runs become part of the table when they are committed, and not before."""
+
+import glob
+import os
+import shutil
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMALL
+from threadsift import JobOptions, run_job
+from threadsift.operators import features as f
+from threadsift.operators import views as v
+from threadsift.plans import job
+from threadsift.sources import commits as log
+from threadsift.sources.readers import read_analytical, read_feed, read_view_csv
+from threadsift.sources.writers import write_feed_json
+from threadsift.streaming import ingest as s
+from workload.feed import comment_feed
+
+
+def bag(df):
+    return sorted(map(repr, df.collect()))
+
+
+def views_bag(views):
+    rounded = lambda x: round(x, 9) if isinstance(x, float) else x
+    return {name: sorted(repr([rounded(x) for x in r]) for r in view.collect()) for name, view in views.items()}
+
+
+def land(feed, path):
+    write_feed_json(feed, str(path))
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def source(spark, tmp_path_factory):
+    return land(comment_feed(spark, SMALL).repartition(4), tmp_path_factory.mktemp("commits") / "feed")
+
+
+def files(folder):
+    found = [p for p in glob.glob(f"{folder}/**", recursive=True) if os.path.isfile(p)]
+    return {p: (os.path.getsize(p), os.path.getmtime(p)) for p in found if "quality_failed" not in p and "/." not in p}
+
+
+@pytest.mark.parametrize("broken", ["no score", "no path", "in the way"])
+def test_failed_run_changes_nothing(spark, source, tmp_path, broken):
+    out = str(tmp_path / "out")
+    first = run_job(spark, source, out)
+    table, views = bag(job.read_table(spark, out)), views_bag(job.read_views(spark, out))
+    top = bag(read_view_csv(spark, first.paths.summary(v.TOP_GROUPS), job.read_views(spark, out)[v.TOP_GROUPS].schema))
+    before = files(out)
+    if broken == "in the way":
+        shutil.move(f"{out}/summaries", f"{out}/kept")
+        (tmp_path / "out" / "summaries").write_text("in the way")
+        bad = run_job(spark, source, out)
+        os.remove(f"{out}/summaries")
+        shutil.move(f"{out}/kept", f"{out}/summaries")
+    else:
+        path = str(tmp_path / "nothing")
+        bad = run_job(spark, path if broken == "no path" else land(comment_feed(spark, SMALL).drop("score"), path), out)
+    assert not bad and bad.error
+    assert files(out) == before
+    assert bag(job.read_table(spark, out)) == table and views_bag(job.read_views(spark, out)) == views
+    assert bag(read_view_csv(spark, first.paths.summary(v.TOP_GROUPS), job.read_views(spark, out)[v.TOP_GROUPS].schema)) == top
+    assert len(log.read_log(spark, out)) == 1
+
+
+def test_missing_field_is_named_before_anything_is_overwritten(spark, source, tmp_path):
+    path = str(tmp_path / "t")
+    job.transform(read_feed(spark, source), path)
+    before = files(path)
+    empty = land(comment_feed(spark, SMALL).drop("created_utc"), tmp_path / "bad")
+    with pytest.raises(ValueError, match="created_utc"):
+        job.transform(read_feed(spark, empty), path)
+    assert files(path) == before
+
+
+def test_runs_follow_each_other(spark, feed, tmp_path):
+    out = str(tmp_path / "out")
+
+    def run(mode, *rows):
+        result = run_job(spark, land(feed(*rows), tmp_path / f"in{time.time_ns()}"), out, JobOptions(mode=mode))
+        assert result, result.error
+        counts = {(r["year"], r["month"]): r["records"] for r in job.stored_months(job.read_table(spark, out)).collect()}
+        persisted = result.quality.metrics["persistence"]
+        assert persisted["parquet_months"] == len(counts) and persisted["parquet_partitions"] == len({y for y, _ in counts})
+        assert views_bag(job.read_views(spark, out)) == views_bag(v.all_views(job.read_table(spark, out)))
+        return counts
+
+    february, undated = {"created_utc": "1328054400"}, {"created_utc": str(2**62)}
+    assert run("overwrite", {}, {}, undated) == {(2012, 1): 2, (None, None): 1}
+    assert run("append", february, {}) == {(2012, 1): 3, (2012, 2): 1, (None, None): 1}
+    assert run("overwrite_months", {}, undated, undated) == {(2012, 1): 1, (2012, 2): 1, (None, None): 2}
+    assert run("overwrite_months", february, february) == {(2012, 1): 1, (2012, 2): 2, (None, None): 2}
+    assert run("append", {"body": "[deleted]"}) == {(2012, 1): 1, (2012, 2): 2, (None, None): 2}
+    assert run("overwrite", february) == {(2012, 2): 1}
+    assert run("overwrite", {"body": "[deleted]"}) == {}
+    assert run("append", {}) == {(2012, 1): 1}
+
+
+def test_unknown_mode_is_refused(spark, source, tmp_path):
+    result = run_job(spark, source, str(tmp_path / "out"), JobOptions(mode="merge"))
+    assert not result and "merge" in str(result.error)
+
+
+def test_views_of_increments_read_only_the_new_months(spark, tmp_path):
+    feed = comment_feed(spark, SMALL)
+    parts = [feed.filter(F.crc32("id") % 3 == k) for k in range(3)]
+    out = str(tmp_path / "out")
+    for k, part in enumerate(parts):
+        result = run_job(spark, land(part, tmp_path / f"in{k}"), out, JobOptions(mode="append"))
+        assert result, result.error
+        for p in glob.glob(f"{result.paths.analytical}/**/*.parquet", recursive=True):
+            os.remove(p)  # whoever reads this run's table again fails or misses rows
+    whole = f.analytical_table(feed.filter("body <> ''"))
+    assert views_bag(job.read_views(spark, out)) == views_bag(v.all_views(whole))
+    top = read_view_csv(spark, result.paths.summary(v.TOP_GROUPS), v.top_groups(whole).schema)
+    assert sum(r["total_comments"] for r in top.collect()) == whole.count()
+
+
+def test_old_runs_go_but_for_the_last(spark, feed, tmp_path):
+    out = str(tmp_path / "out")
+    paths = [run_job(spark, land(feed({}), tmp_path / f"in{k}"), out).paths for k in range(4)]
+    assert [os.path.isdir(p.analytical) for p in paths] == [False, False, True, True]
+    assert read_analytical(spark, paths[2].analytical).count() == 1
+    assert log.drop_old_runs(spark, out, keep=0) == [paths[2].run]
+    assert job.read_table(spark, out).count() == 1
+
+
+def test_stored_results_are_counted_where_they_are(spark, source, tmp_path):
+    result = run_job(spark, source, str(tmp_path / "out"))
+    assert job.stored_results(spark, result.paths) == {"csv_files": 4, "visualizations": 3}
+    shutil.rmtree(result.paths.summary(v.HOURLY))
+    for p in glob.glob(f"{result.paths.chart('hourly_activity')}/part-*"):
+        os.remove(p)
+    assert job.stored_results(spark, result.paths) == {"csv_files": 3, "visualizations": 2}
+
+
+# --- streams ----------------------------------------------------------------------------
+
+
+def start(spark, source, out, checkpoint):
+    return s.start_committed(s.stream_feed(spark, source, files_per_batch=1), out, checkpoint)
+
+
+def totals(spark, out, checkpoint):
+    return {r["counter"]: r["value"] for r in s.stream_totals(spark, out, checkpoint).collect()}
+
+
+def test_counters_of_a_stopped_stream_are_whole(spark, source, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    stopped = 0
+    while True:
+        query = start(spark, source, out, checkpoint)
+        while query.isActive and not query.recentProgress:
+            time.sleep(0.02)
+        query.stop()
+        stopped += 1
+        if len(log.read_log(spark, out)) == 4:
+            break
+        assert stopped < 20
+    batch = run_job(spark, source, str(tmp_path / "batch"))
+    want = {k: n for k, n in job.counters_of(batch.quality.metrics).items() if not k.startswith("persistence") and "feature_columns" not in k}
+    assert totals(spark, out, checkpoint) == want
+    assert bag(job.read_table(spark, out)) == bag(job.read_table(spark, str(tmp_path / "batch")))
+    assert views_bag(job.read_views(spark, out)) == views_bag(job.read_views(spark, str(tmp_path / "batch")))
+
+
+def test_repeated_batch_counts_once(spark, source, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    s.finish(start(spark, source, out, checkpoint))
+    table, counted = bag(job.read_table(spark, out)), totals(spark, out, checkpoint)
+    last = max(int(n) for n in os.listdir(f"{checkpoint}/commits") if n.isdigit())
+    for name in (f"{last}", f".{last}.crc"):  # the driver was lost before the stream knew that the batch was done
+        os.remove(f"{checkpoint}/commits/{name}")
+    s.finish(start(spark, source, out, checkpoint))
+    assert os.path.exists(f"{checkpoint}/commits/{last}") and len(log.read_log(spark, out)) == 4
+    assert bag(job.read_table(spark, out)) == table and totals(spark, out, checkpoint) == counted
+
+
+def test_batch_lost_before_its_commit_is_written_anew(spark, source, tmp_path, monkeypatch):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    with monkeypatch.context() as patch:
+        def lost(*_):
+            raise RuntimeError("lost")
+
+        patch.setattr(log, "commit", lost)
+        query = start(spark, source, out, checkpoint)
+        with pytest.raises(Exception, match="lost"):
+            query.awaitTermination()
+    assert job.read_table(spark, out).count() == 0
+    s.finish(start(spark, source, out, checkpoint))
+    assert totals(spark, out, checkpoint)["extraction.total_records"] == comment_feed(spark, SMALL).filter("body <> '' and lower(body) not in ('[deleted]', '[removed]')").count()
+
+
+def test_compaction_keeps_rows_views_and_counters(spark, source, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    s.finish(start(spark, source, out, checkpoint))
+    before = bag(job.read_table(spark, out)), views_bag(job.read_views(spark, out)), totals(spark, out, checkpoint)
+    run = job.compact(spark, out)
+    assert list(log.live(log.read_log(spark, out))) == [run]
+    assert (bag(job.read_table(spark, out)), views_bag(job.read_views(spark, out)), totals(spark, out, checkpoint)) == before
+    assert len(log.drop_old_runs(spark, out, keep=0)) == 4 and bag(job.read_table(spark, out)) == before[0]

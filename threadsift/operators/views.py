@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadsift.spec import DEFAULT, FeedSpec
 
@@ -131,6 +132,59 @@ def view_summary(df: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
     return grouped.select(name[F.col("_set")].alias(GROUPED_BY), *keys, *_measures())
 
 
+# --- sums by month that add up over runs ------------------------------------------------
+
+_AVERAGED = {"avg_score": "score_num", "avg_comment_length": "comment_length", "avg_engagement": "engagement_rate", "avg_words": "word_count"}
+
+
+def month_state(df: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
+    """Counts and sums by month and group, hour or class, from one scan and one shuffle.
+
+    They add up: the states of the months of a table, from whichever runs, make its views
+    (``summary_of_state``), so a run that changes some months reads only those.
+    """
+    keys = [spec.group, "hour", "sentiment_proxy"]
+    ids = {0b011: spec.group, 0b101: "hour", 0b110: "sentiment_proxy"}
+    name = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    sums = {"row_count": F.count(F.lit(1)), "total_score": F.sum("score_num"), "controversial_count": F.sum("is_controversial")}
+    for average, column in _AVERAGED.items():
+        sums |= {f"sum_{average}": F.sum(F.col(column).cast("double")), f"n_{average}": F.count(column)}
+    columns = ["year", "month", *keys]
+    grouped = df.groupingSets([[F.col("year"), F.col("month"), F.col(k)] for k in keys], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().cast("int").alias("_set"), *[c.alias(n) for n, c in sums.items()]
+    )
+    return grouped.select(name[F.col("_set")].alias(GROUPED_BY), *columns, *sums)
+
+
+def state_schema(spec: FeedSpec = DEFAULT) -> T.StructType:
+    s, i, n, d = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+    kinds = {GROUPED_BY: s, "year": i, "month": i, spec.group: s, "hour": i, "sentiment_proxy": s}
+    kinds |= {"row_count": n, "total_score": d, "controversial_count": n}
+    for average in _AVERAGED:
+        kinds |= {f"sum_{average}": d, f"n_{average}": n}
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+def added_states(state: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
+    """States of several runs as one with the same months."""
+    kinds = state_schema(spec)
+    keys = [GROUPED_BY, "year", "month", spec.group, "hour", "sentiment_proxy"]
+    return state.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in kinds.names if c not in keys])
+
+
+def summary_of_state(state: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
+    """The same rows as ``view_summary`` of the table that the state was taken from."""
+    keys = [spec.group, "hour", "sentiment_proxy"]
+    added = {n: F.sum(n) for n in ("row_count", "total_score", "controversial_count")}
+    added |= {n: F.try_divide(F.sum(f"sum_{n}"), F.sum(f"n_{n}")) for n in _AVERAGED}
+    return state.groupBy(GROUPED_BY, *keys).agg(*[added[n].alias(n) for n in _measures()])
+
+
+def months_of_state(state: DataFrame) -> DataFrame:
+    """Rows per month, from the sums by class."""
+    return state.filter(F.col(GROUPED_BY) == "sentiment_proxy").groupBy("year", "month").agg(F.sum("row_count").alias("records"))
+
+
 def views_of_summary(summary: DataFrame, spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:
     return {
         v: summary.filter(F.col(GROUPED_BY) == _key(v, spec))

@@ -2,6 +2,10 @@
 
 Each stage reads the table the stage before it has written, so a lost executor costs at most
 the running stage. The feed is parsed once, or twice when a copy is landed first.
+
+A run writes its table, its sums by month and its results into folders of its own and commits them with one line in
+the log (``sources/commits.py``); only then are the results moved to their stated names. So a run that fails
+leaves the table, the views and the reports of the run before as they were.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 
 from threadsift.operators import views as v
 from threadsift.operators.clean import INGEST_RULES, all_feed_columns, feed_columns, keep_tagged, tag
-from threadsift.operators.layout import REBALANCE
+from threadsift.operators.layout import REBALANCE, by_month
 from threadsift.operators.quality import (
     QualityMetrics,
     after_ingest,
@@ -26,6 +30,8 @@ from threadsift.operators.quality import (
     transformation_metrics,
 )
 from threadsift.operators.table import counted_table
+from threadsift.sources import commits as log
+from threadsift.sources.files import exists, has_data, make_folder, replace as move
 from threadsift.sources.limit import find_cut, read_to_cut
 from threadsift.sources.readers import DETECT, detect_fields, read_analytical, read_feed, stored_bytes, stored_files
 from threadsift.sources.writers import (
@@ -54,45 +60,69 @@ class JobOptions:
     land: bool = False
     layout: str = REBALANCE
     partitions: int | None = None
+    # What a run does to the table of the runs before: overwrite, append or overwrite_months.
     mode: str = "overwrite"
+    # Committed runs that no longer count but stay, for those who still read them; None keeps all.
+    keep_runs: int | None = 1
     # Files per summary of the views that grow with the number of groups; None leaves it
     # to the sort. The bounded views always get one.
     group_view_files: int | None = None
 
 
+CHARTS = ("top20_groups", "hourly_activity", "sentiment_distribution")
+
+
 @dataclass(frozen=True)
 class Paths:
-    """Everything a run writes, below one output folder."""
+    """Everything a run writes below one output folder. The table and its sums are the run's own; results have
+    stated names, below ``staged`` until the run is committed."""
 
     root: str
+    run: str
+    out: str = ""
 
-    @property
-    def landed(self) -> str:
-        return f"{self.root}/raw"
+    def staged(self) -> Paths:
+        return replace(self, out=log.run_folder(self.root, "staged", self.run))
 
     @property
     def analytical(self) -> str:
-        return f"{self.root}/analytical"
+        return log.run_folder(self.root, "analytical", self.run)
+
+    @property
+    def state(self) -> str:
+        return log.run_folder(self.root, "state", self.run)
+
+    def _result(self, name: str) -> str:
+        return f"{self.out or self.root}/{name}"
+
+    @property
+    def landed(self) -> str:
+        return self._result("raw")
 
     @property
     def view_summary(self) -> str:
-        return f"{self.root}/view_summary"
+        return self._result("view_summary")
 
     def summary(self, view: str) -> str:
-        return f"{self.root}/summaries/{view}"
+        return self._result(f"summaries/{view}")
 
     def dashboard(self, view: str) -> str:
-        return f"{self.root}/dashboard_data/{view}.json"
+        return self._result(f"dashboard_data/{view}.json")
 
     def chart(self, name: str) -> str:
-        return f"{self.root}/chart_data/{name}"
+        return self._result(f"chart_data/{name}")
 
     @property
     def quality_table(self) -> str:
-        return f"{self.root}/quality_reports/metrics"
+        return self._result("quality_reports/metrics")
 
     def report(self, failed: bool = False) -> str:
-        return f"{self.root}/quality_reports/pipeline_quality{'_failed' if failed else ''}.json"
+        return self._result(f"quality_reports/pipeline_quality{'_failed' if failed else ''}.json")
+
+    def results(self) -> list[str]:
+        """All results but the landed copy."""
+        per_view = [place(x) for x in v.VIEWS for place in (self.summary, self.dashboard)]
+        return [self.view_summary, *per_view, *[self.chart(c) for c in CHARTS], self.quality_table, self.report()]
 
 
 @dataclass
@@ -180,6 +210,22 @@ def ingest(
         quality.add_metric("extraction", "file_size_mb", _megabytes(spark, landed))
 
 
+def _needed(spec: FeedSpec) -> tuple[str, ...]:
+    return (spec.text, spec.score, spec.event_time, spec.group)
+
+
+def _refuse(empty: list[str]) -> None:
+    if empty:
+        raise ValueError(f"no row has a value in {', '.join(empty)}: name the fields that the feed carries")
+
+
+def _check_values(raw: DataFrame, spec: FeedSpec) -> None:
+    """Looks for a value of each needed field, up to the first; where something would be overwritten."""
+    empty = [f for f in _needed(spec) if f in raw.columns and raw.filter(F.col(f).isNotNull()).isEmpty()]
+    if empty and not raw.isEmpty():
+        _refuse(empty)
+
+
 def transform(
     raw: DataFrame,
     analytical: str,
@@ -195,15 +241,14 @@ def transform(
     every row would be dropped, or go to no group, without a word.
     """
     spec = options.spec
+    if options.fields is None and exists(raw.sparkSession, analytical):
+        _check_values(raw, spec)
     observation = Observation("transformation")
     table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes)
     write_analytical(table, analytical, options.mode)
     counts = observation.get
     if options.fields is None:
-        needed = (spec.text, spec.score, spec.event_time, spec.group)
-        empty = [f for f in fields_without_values(counts) if f in needed]
-        if empty:
-            raise ValueError(f"no row has a value in {', '.join(empty)}: name the fields that the feed carries")
+        _refuse([f for f in fields_without_values(counts) if f in _needed(spec)])
     if quality is not None:
         if unlanded:
             quality.add_metrics("extraction", extraction_metrics(counts))
@@ -215,27 +260,63 @@ def transform(
     return tuple(table.columns)
 
 
-def summarise(
-    spark: SparkSession, analytical: DataFrame, summary_path: str, spec: FeedSpec = DEFAULT
-) -> dict[str, DataFrame]:
-    """The four views from one scan of the stored table, by way of a small written summary."""
-    summary = v.view_summary(analytical, spec)
+def store_state(spark: SparkSession, analytical: DataFrame, path: str, spec: FeedSpec = DEFAULT) -> DataFrame:
+    """The sums by month of a run's table, from one scan of it; stored, so that views never need the table again."""
+    v.month_state(analytical, spec).write.mode("overwrite").parquet(path)
+    return spark.read.schema(v.state_schema(spec)).parquet(path)
+
+
+def months_of(state: DataFrame) -> set[log.Month]:
+    """The months of a state, at most a few hundred."""
+    return {(r["year"], r["month"]) for r in v.months_of_state(state).select("year", "month").collect()}
+
+
+def summarise(spark: SparkSession, state: DataFrame, summary_path: str, spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:
+    """The four views from the sums by month, by way of a small written summary."""
+    summary = v.summary_of_state(state, spec)
     write_view_summary(summary, summary_path)
     return v.views_of_summary(spark.read.schema(summary.schema).parquet(summary_path), spec)
 
 
+def read_table(spark: SparkSession, output: str, spec: FeedSpec = DEFAULT) -> DataFrame:
+    """The analytical table that the committed runs below ``output`` make up."""
+    done = log.read_log(spark, output)
+    counted = log.live(done)
+    columns = {c for commit in done if commit.run in counted for c in commit.columns}
+    return log.read_runs(spark, output, "analytical", spec.analytical_schema(tuple(columns) or None), done)
+
+
+def read_views(spark: SparkSession, output: str, spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:
+    """The four views of that table, from the sums by month that its runs have stored."""
+    state = log.read_runs(spark, output, "state", v.state_schema(spec), log.read_log(spark, output))
+    return v.views_of_summary(v.summary_of_state(state, spec), spec)
+
+
+def compact(spark: SparkSession, output: str, options: JobOptions = JobOptions()) -> str:
+    """Writes the table of many runs, such as micro-batches, as one run with few files for a month."""
+    spec, run, done = options.spec, log.new_run(), log.read_log(spark, output)
+    counted, schema = log.live(done), v.state_schema(spec)
+    table = read_table(spark, output, spec)
+    paths = Paths(output, run)
+    write_analytical(by_month(table, options.layout, options.partitions, (spec.id,) if spec.id in table.columns else ()), paths.analytical)
+    v.added_states(log.read_runs(spark, output, "state", schema, done), spec).write.parquet(paths.state)
+    log.commit(spark, output, run, log.OVERWRITE, set().union(*counted.values()), tuple(table.columns), {})
+    return run
+
+
 def chart_tables(views: dict[str, DataFrame], spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:
+    top, hourly, sentiment = CHARTS
     return {
-        "top20_groups": v.chart_top_groups(views[v.TOP_GROUPS], spec),
-        "hourly_activity": v.chart_hourly(views[v.HOURLY]),
-        "sentiment_distribution": v.chart_sentiment_share(views[v.SENTIMENT]),
+        top: v.chart_top_groups(views[v.TOP_GROUPS], spec),
+        hourly: v.chart_hourly(views[v.HOURLY]),
+        sentiment: v.chart_sentiment_share(views[v.SENTIMENT]),
     }
 
 
 def persist_views(
     views: dict[str, DataFrame], paths: Paths, options: JobOptions = JobOptions()
 ) -> dict[str, int]:
-    """CSV summaries, dashboard JSON and chart tables; returns how many of each.
+    """CSV summaries, dashboard JSON and chart tables; returns how many summaries and charts are stored with data files.
 
     The writes are small and independent, so a few run side by side.
     """
@@ -249,12 +330,21 @@ def persist_views(
     for name, chart in charts.items():
         writes.append(partial(write_chart_table, chart, paths.chart(name)))
     # job group, tags and other local properties of the caller hold for the writes too
-    inherit = inheritable_thread_target(views[v.HOURLY].sparkSession)
+    spark = views[v.HOURLY].sparkSession
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(_WRITES_AT_ONCE) as pool:
         running = [pool.submit(inherit(write)) for write in writes]
     for write in running:
         write.result()
-    return {"csv_files": len(views), "visualizations": len(charts)}
+    return stored_results(spark, paths)
+
+
+def stored_results(spark: SparkSession, paths: Paths) -> dict[str, int]:
+    """Summaries and charts that are there, by their data files."""
+    return {
+        "csv_files": sum(has_data(spark, paths.summary(x)) for x in v.VIEWS),
+        "visualizations": sum(has_data(spark, paths.chart(x)) for x in CHARTS),
+    }
 
 
 def stored_months(analytical: DataFrame) -> DataFrame:
@@ -270,6 +360,33 @@ def month_metrics(analytical: DataFrame) -> dict[str, int]:
     return {"parquet_partitions": row["years"], "parquet_months": row["months"]}
 
 
+def counters_of(metrics: dict[str, dict[str, float]]) -> dict[str, int]:
+    """The whole numbers that a run has counted, for its line in the log."""
+    return {
+        f"{stage}.{name}": value
+        for stage, values in metrics.items()
+        for name, value in values.items()
+        if isinstance(value, int)
+    }
+
+
+def commit_run(
+    spark: SparkSession, paths: Paths, mode: str, columns: tuple[str, ...], counters: dict[str, int], spec: FeedSpec = DEFAULT
+) -> None:
+    """Takes the sums by month of a written run and commits it; for runs that publish no results of their own."""
+    state = store_state(spark, read_analytical(spark, paths.analytical, spec, columns), paths.state, spec)
+    log.commit(spark, paths.root, paths.run, mode, months_of(state), columns, counters)
+
+
+def publish(spark: SparkSession, paths: Paths) -> None:
+    """Moves the results of a committed run from where they were staged to their stated names."""
+    staged = paths.staged()
+    for source, target in zip([staged.landed, *staged.results()], [paths.landed, *paths.results()], strict=True):
+        if exists(spark, source):
+            move(spark, source, target)
+    log.remove(spark, staged.out)
+
+
 def run_job(
     spark: SparkSession, source: str, output: str, options: JobOptions = JobOptions()
 ) -> JobResult:
@@ -277,34 +394,52 @@ def run_job(
 
     The caller owns the session.
     """
-    paths, quality = Paths(output.rstrip("/")), QualityMetrics()
+    paths, quality = Paths(output.rstrip("/"), log.new_run()), QualityMetrics()
+    staged, committed = paths.staged(), False
     feed = _Source(spark, source, options)
     try:
+        if options.mode not in log.MODES:
+            raise ValueError(f"mode is one of {', '.join(log.MODES)}, not {options.mode!r}")
         feed = feed.with_known_fields()
         options = feed.options
         feed.check_columns()
+        own = replace(options, mode="overwrite")  # the run's folder is its own
         if options.land:
-            ingest(spark, source, paths.landed, options, quality)
-            raw = read_feed(spark, paths.landed, "json", options.spec, options.fields)
-            size = stored_bytes(spark, paths.landed)
-            columns = transform(raw, paths.analytical, options, quality, source_bytes=size)
+            ingest(spark, source, staged.landed, options, quality)
+            raw = read_feed(spark, staged.landed, "json", options.spec, options.fields)
+            size = stored_bytes(spark, staged.landed)
+            columns = transform(raw, paths.analytical, own, quality, source_bytes=size)
         elif options.limit is not None:
             rows, metrics = feed.first_rows(options.limit)
             quality.add_metrics("extraction", metrics)
-            columns = transform(rows, paths.analytical, options, quality)
+            columns = transform(rows, paths.analytical, own, quality)
         else:
             size = stored_bytes(spark, source)
-            columns = transform(feed.raw(), paths.analytical, options, quality, unlanded=True, source_bytes=size)
+            columns = transform(feed.raw(), paths.analytical, own, quality, unlanded=True, source_bytes=size)
             quality.add_metric("extraction", "file_size_mb", round(size / 1024 / 1024, 2))
+        for result in paths.results():  # what stands in their way is an error before anything is replaced
+            make_folder(spark, result.rpartition("/")[0])
         table = read_analytical(spark, paths.analytical, options.spec, columns)
-        views = summarise(spark, table, paths.view_summary, options.spec)
-        written = persist_views(views, paths, options)
-        quality.add_metrics("persistence", {**month_metrics(table), **written})
-        quality.save_table(spark, paths.quality_table)
-        quality.save_report(spark, paths.report())
+        state = store_state(spark, table, paths.state, options.spec)
+        done = log.read_log(spark, paths.root)
+        this = log.Commit(len(done) + 1, paths.run, options.mode, frozenset(months_of(state)), columns, counters_of(quality.metrics))
+        if options.mode != log.OVERWRITE:
+            state = log.read_runs(spark, paths.root, "state", v.state_schema(options.spec), [*done, this])
+        written = persist_views(summarise(spark, state, staged.view_summary, options.spec), staged, options)
+        months = set().union(*log.live([*done, this]).values())
+        quality.add_metrics("persistence", {"parquet_partitions": len({y for y, _ in months}), "parquet_months": len(months), **written})
+        quality.save_table(spark, staged.quality_table)
+        quality.save_report(spark, staged.report())
+        log.commit(spark, paths.root, this.run, this.mode, set(this.months), columns, this.counters)
+        committed = True
+        publish(spark, paths)
+        if options.keep_runs is not None:
+            log.drop_old_runs(spark, paths.root, options.keep_runs)
         return JobResult(True, paths, quality)
     except Exception as error:
         try:
+            if not committed:
+                log.drop_run(spark, paths.root, paths.run)
             quality.save_report(spark, paths.report(failed=True))
         except Exception:  # the first error is the one to return
             pass

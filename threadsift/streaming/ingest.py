@@ -1,21 +1,28 @@
 """Incremental ingest: new landed files in, cleaned rows out, each file once.
 
 Stateless filters and projections in append mode, so there is no state to keep and no
-watermark. The grouped views stay batch work over the landed table.
+watermark. ``start_analytical`` writes through Spark's file sink and knows its counters while it runs.
+``start_committed`` makes each micro-batch a committed run of the job's table: its counters are stored with it and
+count once however often the stream stops or a batch is repeated, and its sums by month keep the views up to date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from threadsift.operators.clean import INGEST_RULES, all_feed_columns, keep_tagged, tag
 from threadsift.operators.layout import MONTH_KEY, REBALANCE
-from threadsift.operators.quality import reject_counts
+from threadsift.operators.quality import after_ingest, extraction_metrics, reject_counts, transformation_metrics
 from threadsift.operators.table import counted_table
+from threadsift.plans.job import Paths, commit_run, counters_of
+from threadsift.sources import commits as log
 from threadsift.sources.readers import stored_files
+from threadsift.sources.writers import write_analytical
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 COUNTERS = "stream_counters"
@@ -96,6 +103,41 @@ def start_analytical(stream: DataFrame, path: str, checkpoint: str) -> Streaming
     )
 
 
+def stream_name(checkpoint: str) -> str:
+    """How the runs of a stream begin: a name of its checkpoint, which stays the same over restarts."""
+    return f"stream-{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def start_committed(
+    raw: DataFrame, root: str, checkpoint: str, spec: FeedSpec = DEFAULT, drop_empty: bool = True, layout: str = REBALANCE
+) -> StreamingQuery:
+    """Adds a raw stream to the table below ``root``, a run for each micro-batch, one pass over what has arrived.
+
+    The checkpoint fixes which files a batch has before it is worked on, so a batch that is repeated after a loss is
+    the same; if it was already committed nothing is done. Cleaning and counting are those of the batch job.
+    """
+    name = stream_name(checkpoint)
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark, paths = batch.sparkSession, Paths(root.rstrip("/"), f"{name}-{number:012}")
+        if log.log_table(spark, paths.root).filter(F.col("run") == paths.run).count():
+            return
+        observation = Observation(COUNTERS)
+        table = counted_table(batch, observation, spec, drop_empty, layout)
+        write_analytical(table, paths.analytical)
+        counts = observation.get
+        metrics = {"extraction": extraction_metrics(counts), "transformation": transformation_metrics(after_ingest(counts))}
+        commit_run(spark, paths, log.APPEND, tuple(table.columns), counters_of(metrics), spec)
+
+    return raw.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_totals(spark: SparkSession, root: str, checkpoint: str) -> DataFrame:
+    """(counter, value) over all micro-batches that a stream has ever committed."""
+    own = log.ledger(spark, root.rstrip("/")).filter(F.col("run").startswith(f"{stream_name(checkpoint)}-"))
+    return own.groupBy("counter").agg(F.sum("value").alias("value"))
+
+
 def finish(query: StreamingQuery, poll_seconds: int = 1) -> dict[str, int]:
     """Waits for the run and sums its counters over all micro-batches.
 

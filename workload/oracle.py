@@ -148,6 +148,14 @@ UNION ALL SELECT 'persistence', 'parquet_months', count(DISTINCT year * 100 + mo
 UNION ALL SELECT 'persistence', 'csv_files', 4.0
 UNION ALL SELECT 'persistence', 'visualizations', 3.0"""
 
+_TOP_AND_ENGAGEMENT = _TOP.replace(
+    "AS avg_engagement\n", """AS avg_engagement,
+  CAST(sum(is_controversial) AS BIGINT) AS controversial_count, round(avg(word_count), 9) AS avg_words\n""")
+
+# Of the report only what counts rows, under the names of the ledger.
+_LEDGER = f"""SELECT stage || '.' || metric AS counter, CAST(CASE WHEN metric = 'corrupt_records' THEN 0 ELSE value END AS BIGINT) AS value
+FROM ({_QUALITY}) WHERE stage <> 'persistence' AND metric <> 'feature_columns'"""
+
 ORACLE: dict[str, str] = {
     "ingest_clean": _with(f"{_FEED},{_INGESTED}", "SELECT * FROM ingested"),
     "ingest_counters": _with(
@@ -228,4 +236,9 @@ GROUP BY month, sentiment_proxy"""
     "dashboard_json_roundtrip": _over_table(_ENGAGED_AUTHORS.replace(", 9)", ", 10)")),
     "quality_metrics": _with(_JOB_FULL, _QUALITY),
     "full_job_views": _with(_JOB_FULL, _TOP),
+    "failed_run_keeps_table": _with(_JOB_FULL, _TABLE),
+    "incremental_views": _with(_JOB_FULL, _TOP_AND_ENGAGEMENT),
+    "incremental_table": _with(_JOB_FULL, _TABLE),
+    "stream_counters": _with(_JOB_FULL, _LEDGER),
+    "stream_views": _with(_JOB_FULL, _TOP),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -337,6 +338,68 @@ def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.filter(F.col("metric") != "file_size_mb")
 
 
+def failed_run_keeps_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over a feed without scores fails behind a good one; what is read is the good run's table."""
+    output, source, bad = scratch_folder(spark, "job"), _landed_feed(spark, sf), scratch_folder(spark, "feed")
+    first = job.run_job(spark, source, output)
+    if not first.ok:
+        raise first.error
+    write_feed_json(comment_feed(spark, sf).drop(DEFAULT.score), bad)
+    if job.run_job(spark, bad, output).ok:
+        raise RuntimeError("a feed without scores went through")
+    return _rounded(job.read_table(spark, output), "engagement_rate")
+
+
+def _in_increments(spark: SparkSession, sf: str) -> str:
+    """The table in three runs: odd years, even years with wrong scores, and the months of the even years once more."""
+    output = scratch_folder(spark, "job")
+    feed = comment_feed(spark, sf)
+    year = F.year(F.timestamp_add("SECOND", F.col(DEFAULT.event_time).try_cast("bigint"), F.lit("1970-01-01").cast("timestamp_ntz")))
+    even = F.coalesce(year % 2 == 0, F.lit(True))
+    wrong = feed.filter(even).withColumn(DEFAULT.score, F.lit("99"))
+    for part, mode in ((feed.filter(~even), "overwrite"), (wrong, "append"), (feed.filter(even), "overwrite_months")):
+        source = scratch_folder(spark, "feed")
+        write_feed_json(part, source)
+        result = job.run_job(spark, source, output, job.JobOptions(mode=mode))
+        if not result.ok:
+            raise result.error
+    return output
+
+
+def incremental_views(spark: SparkSession, sf: str) -> DataFrame:
+    views = job.read_views(spark, _in_increments(spark, sf))
+    top = _rounded_top(views[v.TOP_GROUPS])
+    engaged = _rounded_engagement(views[v.ENGAGEMENT]).withColumnRenamed("subreddit", "_group")
+    return top.join(engaged.drop("avg_engagement"), top["subreddit"].eqNullSafe(engaged["_group"])).drop("_group")
+
+
+def incremental_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(job.read_table(spark, _in_increments(spark, sf)), "engagement_rate")
+
+
+def _stopped_and_restarted(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A committed stream that is stopped behind its first micro-batch and started again."""
+    source, output, checkpoint = (scratch_folder(spark, x) for x in ("feed", "job", "checkpoint"))
+    write_feed_json(comment_feed(spark, sf).repartition(6), source)
+    start = lambda: s.start_committed(s.stream_feed(spark, source, files_per_batch=2), output, checkpoint)
+    first = start()
+    while first.isActive and not first.recentProgress:
+        time.sleep(0.05)
+    first.stop()
+    s.finish(start())
+    return output, checkpoint
+
+
+def stream_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return s.stream_totals(spark, *_stopped_and_restarted(spark, sf))
+
+
+def stream_views(spark: SparkSession, sf: str) -> DataFrame:
+    output, _ = _stopped_and_restarted(spark, sf)
+    job.compact(spark, output)
+    return _rounded_top(job.read_views(spark, output)[v.TOP_GROUPS])
+
+
 def full_job_views(spark: SparkSession, sf: str) -> DataFrame:
     options = job.JobOptions(land=True)
     result = job.run_job(spark, _landed_feed(spark, sf), scratch_folder(spark, "job"), options)
@@ -393,5 +456,10 @@ QUERIES: dict[str, Query] = {
         dashboard_json_roundtrip,
         quality_metrics,
         full_job_views,
+        failed_run_keeps_table,
+        incremental_views,
+        incremental_table,
+        stream_counters,
+        stream_views,
     )
 }
