@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTH_KEY = ("year", "month")
@@ -15,6 +16,8 @@ _FEWEST_PIECES = 8
 # A month is cut so that one with all rows has pieces of so many advisory partition sizes.
 _SIZES_PER_PIECE = 32
 _PIECE = "_piece"
+# Where sizes are known: advisory partition sizes in a piece of a month. Up to so many the whole feed needs no pieces.
+_SIZES_PER_FILE = 2
 
 REBALANCE = "rebalance"
 AS_READ = "as_read"
@@ -31,8 +34,56 @@ def pieces_of_month(spark: SparkSession, source_bytes: int | None) -> int:
     """Into how many pieces to cut a month of a feed of that size."""
     if not source_bytes:
         return _FEWEST_PIECES
-    size = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    return max(_FEWEST_PIECES, -(-source_bytes // (_SIZES_PER_PIECE * size)))
+    return max(_FEWEST_PIECES, -(-source_bytes // (_SIZES_PER_PIECE * advisory_bytes(spark))))
+
+
+def advisory_bytes(spark: SparkSession) -> int:
+    """The size of file that the session asks for."""
+    return _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+
+
+def needs_no_pieces(spark: SparkSession, source_bytes: int | None) -> bool:
+    """Whether a month with the whole feed would still be a file of usual size."""
+    return source_bytes is not None and source_bytes <= _SIZES_PER_FILE * advisory_bytes(spark)
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """Into how many pieces to cut each month, the same for all that are not named."""
+
+    default: int = 1
+    by_month: dict[tuple[int | None, int | None], int] = field(default_factory=dict)
+
+    def column(self) -> Column:
+        """Looked up by the number of the month, in an array that travels with the plan; a NULL month has an entry of its own."""
+        known = {12 * y + m: n for (y, m), n in self.by_month.items() if y is not None and m is not None}
+        undated = F.lit(self.by_month.get((None, None), self.default))
+        if not known:
+            return F.when(F.col("year").isNull(), undated).otherwise(self.default)
+        first, last = min(known), max(known)
+        if last - first > _MOST_MONTHS:  # odd times far from the others
+            known = dict(sorted(known.items(), key=lambda x: -x[1])[:_MOST_MONTHS])
+            table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+            return F.when(F.col("year").isNull(), undated).otherwise(F.coalesce(table[F.col("year") * 12 + F.col("month")], F.lit(self.default)))
+        counts = F.array(*[F.lit(known.get(k, self.default)) for k in range(first, last + 1)])
+        at = F.col("year") * 12 + F.col("month") - F.lit(first)
+        inside = at.between(0, last - first)
+        return F.when(F.col("year").isNull(), undated).when(inside, F.get(counts, at)).otherwise(self.default)
+
+
+# Months in the array; 2,000 years have 24,000.
+_MOST_MONTHS = 2400
+
+
+def measured_pieces(spark: SparkSession, month_bytes: dict[tuple[int | None, int | None], float], whole: bool = False) -> Pieces:
+    """Pieces of one or two files each, from the bytes of every month.
+
+    Months that a sample has missed are cut like the largest known one, which costs them some small files at worst; with
+    ``whole`` there are no others.
+    """
+    size = _SIZES_PER_FILE * advisory_bytes(spark)
+    found = {month: max(1, -(-int(n) // size)) for month, n in month_bytes.items()}
+    return Pieces(1 if whole else max(found.values(), default=_FEWEST_PIECES), found)
 
 
 def _bytes(setting: str) -> int:
@@ -45,13 +96,13 @@ def by_month(
     layout: str = REBALANCE,
     partitions: int | None = None,
     salt_columns: tuple[str, ...] = (),
-    pieces: int = _FEWEST_PIECES,
+    pieces: int | Pieces = _FEWEST_PIECES,
 ) -> DataFrame:
     """Brings the rows of a month together so that a month gets few, full files.
 
     ``rebalance`` shuffles once by month and a piece of it, a hash of ``salt_columns`` below
     ``pieces``; so a month that holds all rows is still that many tasks, whatever the number of
-    partitions. Adaptive execution merges small pieces and splits what is larger than
+    partitions, and one that is known to be small is one file. Adaptive execution merges small pieces and splits what is larger than
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` where it can see that. With adaptive execution
     off every task gets its share of every month, at the price of more files.
 
@@ -63,7 +114,8 @@ def by_month(
         raise ValueError(f"layout is {REBALANCE!r} or {AS_READ!r}, not {layout!r}")
     salt = F.xxhash64(*(salt_columns or df.columns))
     if _adaptive(df):
-        cut = df.withColumn(_PIECE, F.pmod(salt, F.lit(pieces)))
+        number_of = pieces.column() if isinstance(pieces, Pieces) else F.lit(pieces)
+        cut = df.withColumn(_PIECE, F.pmod(salt, number_of))
         number = () if partitions is None else (partitions,)
         return cut.hint("rebalance", *number, *MONTH_KEY, _PIECE).drop(_PIECE)
     tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, REJECT, keep_tagged, tag, typed_columns
 from threadsift.operators.features import all_features, analytical_columns, month_columns
-from threadsift.operators.layout import REBALANCE, by_month, pieces_of_month
+from threadsift.operators.layout import REBALANCE, Pieces, by_month, pieces_of_month
 from threadsift.operators.quality import present_fields, reject_counts
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
@@ -22,6 +22,7 @@ def counted_table(
     layout: str = REBALANCE,
     partitions: int | None = None,
     source_bytes: int | None = None,
+    pieces: Pieces | None = None,
 ) -> DataFrame:
     """The analytical table laid out by month, its rejects counted on the way.
 
@@ -42,6 +43,7 @@ def counted_table(
         .drop(spec.event_time, spec.score, CORRUPT)
     )
     salt = next(((c,) for c in (spec.id, spec.text) if c in tagged.columns), ())
-    placed = by_month(tagged, layout, partitions, salt, pieces_of_month(raw.sparkSession, source_bytes))
+    cut = pieces or pieces_of_month(raw.sparkSession, source_bytes)
+    placed = by_month(tagged, layout, partitions, salt, cut)
     counted = placed.observe(observation, *reject_counts(RULES), *has_values)
     return keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)

@@ -181,8 +181,9 @@ def summary_of_state(state: DataFrame, spec: FeedSpec = DEFAULT) -> DataFrame:
 
 
 def months_of_state(state: DataFrame) -> DataFrame:
-    """Rows per month, from the sums by class."""
-    return state.filter(F.col(GROUPED_BY) == "sentiment_proxy").groupBy("year", "month").agg(F.sum("row_count").alias("records"))
+    """Rows and characters of text per month, from the sums by class."""
+    by_class = state.filter(F.col(GROUPED_BY) == "sentiment_proxy").groupBy("year", "month")
+    return by_class.agg(F.sum("row_count").alias("records"), F.sum("sum_avg_comment_length").alias("characters"))
 
 
 def views_of_summary(summary: DataFrame, spec: FeedSpec = DEFAULT) -> dict[str, DataFrame]:

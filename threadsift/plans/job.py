@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators import views as v
-from threadsift.operators.clean import INGEST_RULES, all_feed_columns, feed_columns, keep_tagged, tag
-from threadsift.operators.layout import REBALANCE, by_month
+from threadsift.operators.clean import INGEST_RULES, all_feed_columns, feed_columns, keep_tagged, tag, typed_columns
+from threadsift.operators.features import month_columns
+from threadsift.operators.layout import REBALANCE, Pieces, by_month, measured_pieces, needs_no_pieces
 from threadsift.operators.quality import (
     QualityMetrics,
     after_ingest,
@@ -33,7 +34,16 @@ from threadsift.operators.table import counted_table
 from threadsift.sources import commits as log
 from threadsift.sources.files import exists, has_data, make_folder, replace as move
 from threadsift.sources.limit import find_cut, read_to_cut
-from threadsift.sources.readers import DETECT, detect_fields, read_analytical, read_feed, stored_bytes, stored_files
+from threadsift.sources.readers import (
+    DETECT,
+    as_path,
+    detect_fields,
+    input_bytes,
+    read_analytical,
+    read_feed,
+    stored_bytes,
+    stored_files,
+)
 from threadsift.sources.writers import (
     write_analytical,
     write_chart_table,
@@ -45,6 +55,8 @@ from threadsift.sources.writers import (
 from threadsift.spec import DEFAULT, FeedSpec
 
 _WRITES_AT_ONCE = 4
+# Files that month sizes are taken from, and bytes of a row besides its text.
+_FEWEST_SAMPLED, _MOST_SAMPLED, _ROW_BYTES = 8, 256, 100
 
 
 @dataclass(frozen=True)
@@ -171,6 +183,26 @@ class _Source:
         kept = keep_tagged(tag(raw.select(block, "*") if with_block else raw, INGEST_RULES, self.options.spec, drop_empty=True))
         return kept.select("_block") if with_block else kept.transform(feed_columns, self.options.spec)
 
+    def pieces(self, source_bytes: int) -> Pieces | None:
+        """How to cut the months of the feed, from their shares of some of its files; None for a layout that does not ask.
+
+        The files are chosen by a hash of their names, so that order in time does not matter, and make up at most an
+        eighth of a feed of many files. Of them only the time and the length of the text are parsed.
+        """
+        spec, spark = self.options.spec, self.spark
+        if self.options.layout != REBALANCE or spec.event_time not in self.raw().columns:
+            return None
+        if needs_no_pieces(spark, source_bytes):
+            return Pieces()
+        files = stored_files(spark, self.path)
+        number = min(_MOST_SAMPLED, max(_FEWEST_SAMPLED, files.count() // 1000))
+        some = files.orderBy(F.xxhash64("file"), "file").limit(number).collect()
+        rows = typed_columns(self.raw([as_path(f["file"]) for f in some]), spec).transform(month_columns)
+        size = F.coalesce(F.octet_length(spec.text), F.lit(0)) + _ROW_BYTES
+        found = {(r["year"], r["month"]): r["n"] for r in rows.groupBy("year", "month").agg(F.sum(size).alias("n")).collect()}
+        total = sum(found.values())
+        return measured_pieces(spark, {m: n / total * source_bytes for m, n in found.items()}) if total else None
+
     def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, float]]:
         """The first kept rows and the metrics of the files they came from."""
         cut = find_cut(self.tagged, stored_files(self.spark, self.path), limit)
@@ -233,6 +265,7 @@ def transform(
     quality: QualityMetrics | None = None,
     unlanded: bool = False,
     source_bytes: int | None = None,
+    pieces: Pieces | None = None,
 ) -> tuple[str, ...]:
     """Raw feed to the stored analytical table, in one pass; returns its columns.
 
@@ -243,8 +276,11 @@ def transform(
     spec = options.spec
     if options.fields is None and exists(raw.sparkSession, analytical):
         _check_values(raw, spec)
+    if pieces is None and source_bytes is None:
+        source_bytes = input_bytes(raw)
+        pieces = Pieces() if needs_no_pieces(raw.sparkSession, source_bytes) else None
     observation = Observation("transformation")
-    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes)
+    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes, pieces)
     write_analytical(table, analytical, options.mode)
     counts = observation.get
     if options.fields is None:
@@ -296,10 +332,12 @@ def compact(spark: SparkSession, output: str, options: JobOptions = JobOptions()
     """Writes the table of many runs, such as micro-batches, as one run with few files for a month."""
     spec, run, done = options.spec, log.new_run(), log.read_log(spark, output)
     counted, schema = log.live(done), v.state_schema(spec)
-    table = read_table(spark, output, spec)
-    paths = Paths(output, run)
-    write_analytical(by_month(table, options.layout, options.partitions, (spec.id,) if spec.id in table.columns else ()), paths.analytical)
+    table, paths = read_table(spark, output, spec), Paths(output, run)
     v.added_states(log.read_runs(spark, output, "state", schema, done), spec).write.parquet(paths.state)
+    sizes = v.months_of_state(spark.read.schema(schema).parquet(paths.state)).collect()
+    pieces = measured_pieces(spark, {(r["year"], r["month"]): r["characters"] + _ROW_BYTES * r["records"] for r in sizes}, whole=True)
+    salt = (spec.id,) if spec.id in table.columns else ()
+    write_analytical(by_month(table, options.layout, options.partitions, salt, pieces), paths.analytical)
     log.commit(spark, output, run, log.OVERWRITE, set().union(*counted.values()), tuple(table.columns), {})
     return run
 
@@ -408,14 +446,15 @@ def run_job(
             ingest(spark, source, staged.landed, options, quality)
             raw = read_feed(spark, staged.landed, "json", options.spec, options.fields)
             size = stored_bytes(spark, staged.landed)
-            columns = transform(raw, paths.analytical, own, quality, source_bytes=size)
+            landed = replace(feed, path=staged.landed, options=replace(options, source_format="json"))
+            columns = transform(raw, paths.analytical, own, quality, source_bytes=size, pieces=landed.pieces(size))
         elif options.limit is not None:
             rows, metrics = feed.first_rows(options.limit)
             quality.add_metrics("extraction", metrics)
             columns = transform(rows, paths.analytical, own, quality)
         else:
             size = stored_bytes(spark, source)
-            columns = transform(feed.raw(), paths.analytical, own, quality, unlanded=True, source_bytes=size)
+            columns = transform(feed.raw(), paths.analytical, own, quality, True, size, feed.pieces(size))
             quality.add_metric("extraction", "file_size_mb", round(size / 1024 / 1024, 2))
         for result in paths.results():  # what stands in their way is an error before anything is replaced
             make_folder(spark, result.rpartition("/")[0])

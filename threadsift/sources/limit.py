@@ -10,17 +10,16 @@ taken whole, and only rows of the one block at the cut pass through a limit.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import accumulate
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators.clean import INGEST_RULES, REJECT
 from threadsift.operators.quality import ROWS_READ, reject_counts
+from threadsift.sources.readers import as_path
 from threadsift.sources.scratch import scratch_folder
 
 # Files counted per step: 1, 4, 16, ... up to this many, which bounds each result fetched.
@@ -42,11 +41,6 @@ class Cut:
     bytes: int
 
 
-def _as_path(uri: str) -> str:
-    # A name to read back: not URL-encoded, and its pattern characters taken literally.
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
-
-
 def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: DataFrame, rows: int) -> Cut:
     """Where the first ``rows`` kept rows end, over ``files`` (file, length) in name order."""
     if rows <= 0:
@@ -60,7 +54,7 @@ def find_cut(read_tagged: Callable[[list[str]], DataFrame], files: DataFrame, ro
         if not batch:
             return Cut(last, None, 0, counts, size)
         per_file = (
-            read_tagged([_as_path(f["file"]) for f in batch])
+            read_tagged([as_path(f["file"]) for f in batch])
             .groupBy(F.col(_FILE).alias("file"))
             .agg(F.count_if(F.col(REJECT).isNull()).alias("kept"), *reject_counts(INGEST_RULES))
         )
@@ -91,7 +85,7 @@ def read_to_cut(
     ``read_kept`` reads the feed, or only some paths of it, under a condition.
     """
     whole = read_kept(None, F.col(_FILE) <= cut.last_whole) if cut.last_whole is not None else None
-    rest = None if cut.cut is None else _first_of_file(spark, read_kept, [_as_path(cut.cut)], cut.rows_of_cut)
+    rest = None if cut.cut is None else _first_of_file(spark, read_kept, [as_path(cut.cut)], cut.rows_of_cut)
     if whole is None or rest is None:
         return rest if whole is None else whole
     return whole.unionByName(rest)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,3 +88,14 @@ def stored_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:
     """Bytes of the files that a feed reader reads at ``path``."""
     return stored_files(spark, path).groupBy().sum("length").first()[0] or 0
+
+
+def as_path(uri: str) -> str:
+    """A name to read back: not URL-encoded, and its pattern characters taken literally."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files below a DataFrame, None where it reads none."""
+    files = df.inputFiles()
+    return stored_bytes(df.sparkSession, list(map(as_path, files))) if files else None
