@@ -96,7 +96,7 @@ def by_month(
     layout: str = REBALANCE,
     partitions: int | None = None,
     salt_columns: tuple[str, ...] = (),
-    pieces: int | Pieces = _FEWEST_PIECES,
+    pieces: int | Pieces | Column = _FEWEST_PIECES,
 ) -> DataFrame:
     """Brings the rows of a month together so that a month gets few, full files.
 
@@ -114,7 +114,7 @@ def by_month(
         raise ValueError(f"layout is {REBALANCE!r} or {AS_READ!r}, not {layout!r}")
     salt = F.xxhash64(*(salt_columns or df.columns))
     if _adaptive(df):
-        number_of = pieces.column() if isinstance(pieces, Pieces) else F.lit(pieces)
+        number_of = pieces.column() if isinstance(pieces, Pieces) else pieces if isinstance(pieces, Column) else F.lit(pieces)
         cut = df.withColumn(_PIECE, F.pmod(salt, number_of))
         number = () if partitions is None else (partitions,)
         return cut.hint("rebalance", *number, *MONTH_KEY, _PIECE).drop(_PIECE)

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, REJECT, keep_tagged, tag, typed_columns
 from threadsift.operators.features import all_features, analytical_columns, month_columns
-from threadsift.operators.layout import REBALANCE, Pieces, by_month, pieces_of_month
+from threadsift.operators.layout import MONTH_KEY, REBALANCE, Pieces, by_month, pieces_of_month
 from threadsift.operators.quality import present_fields, reject_counts
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 RULES = CLEANING_RULES + CAST_RULES
+STATUS, RECORD = "reject", "record"
+KEPT = "kept"
 
 
 def counted_table(
@@ -23,9 +25,13 @@ def counted_table(
     partitions: int | None = None,
     source_bytes: int | None = None,
     pieces: Pieces | None = None,
+    quarantine: bool = False,
 ) -> DataFrame:
     """The analytical table laid out by month, its rejects counted on the way.
 
+    With ``quarantine`` rejected rows stay, with the first rule that they break in ``reject`` and the record as it was read in ``record``:
+    the line itself if it was broken, else its fields as JSON. Kept rows have ``kept`` and NULL there.
+
     Only typed values, the month and the reject reason are computed before the shuffle by
     month; counters and features come after it. Rows to drop travel along for that, without
     their text. The counters have to sit there: when an executor is lost Spark runs its map
@@ -34,16 +40,30 @@ def counted_table(
     """
     carried = [c for c in (*spec.fields, CORRUPT) if c in raw.columns]
     has_values, bits = present_fields([c for c in spec.fields if c in raw.columns])
+    record = F.to_json(F.struct(*[c for c in spec.fields if c in raw.columns]), {"ignoreNullFields": "false"})
+    record = F.coalesce(F.col(CORRUPT), record) if CORRUPT in raw.columns else record
     tagged = (
-        raw.select(*carried, bits)
+        raw.select(*carried, bits, *[record.alias(RECORD)] * quarantine)
         .transform(typed_columns, spec)
         .transform(month_columns)
         .transform(tag, RULES, spec, drop_empty=drop_empty)
         .withColumn(spec.text, F.when(F.col(REJECT).isNull(), F.col(spec.text)))
         .drop(spec.event_time, spec.score, CORRUPT)
     )
+    rejected = F.col(REJECT).isNotNull()
+    if quarantine:
+        undated = {c: F.when(~rejected, F.col(c)) for c in MONTH_KEY}
+        tagged = tagged.withColumns({RECORD: F.when(rejected, F.col(RECORD)), **undated})
     salt = next(((c,) for c in (spec.id, spec.text) if c in tagged.columns), ())
-    cut = pieces or pieces_of_month(raw.sparkSession, source_bytes)
+    by_size = pieces_of_month(raw.sparkSession, source_bytes)
+    cut = pieces or by_size
+    if quarantine:  # rejected rows have no month and may be many
+        cut = F.when(rejected, by_size).otherwise(cut.column() if isinstance(cut, Pieces) else cut)
     placed = by_month(tagged, layout, partitions, salt, cut)
     counted = placed.observe(observation, *reject_counts(RULES), *has_values)
-    return keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)
+    if not quarantine:
+        return keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)
+    full = counted.transform(all_features, spec)
+    dates = {c: F.when(~rejected, F.col(c)) for c in MONTH_KEY}
+    full = full.withColumns(dates).withColumn(STATUS, F.coalesce(F.col(REJECT), F.lit(KEPT)))
+    return full.select(*[c for c in spec.analytical_types if c in full.columns], STATUS, RECORD)

@@ -30,7 +30,7 @@ from threadsift.operators.quality import (
     reject_counts,
     transformation_metrics,
 )
-from threadsift.operators.table import counted_table
+from threadsift.operators.table import RECORD, STATUS, counted_table
 from threadsift.sources import commits as log
 from threadsift.sources.files import exists, has_data, make_folder, replace as move
 from threadsift.sources.limit import find_cut, read_to_cut
@@ -51,6 +51,7 @@ from threadsift.sources.writers import (
     write_feed_json,
     write_view_csv,
     write_view_summary,
+    write_with_rejects,
 )
 from threadsift.spec import DEFAULT, FeedSpec
 
@@ -76,6 +77,9 @@ class JobOptions:
     mode: str = "overwrite"
     # Committed runs that no longer count but stay, for those who still read them; None keeps all.
     keep_runs: int | None = 1
+    # Keep rejected rows, with their reason and the record as it was read, beside the table; needs the feed itself, so
+    # neither a landed copy nor a limit.
+    quarantine: bool = False
     # Files per summary of the views that grow with the number of groups; None leaves it
     # to the sort. The bounded views always get one.
     group_view_files: int | None = None
@@ -97,9 +101,13 @@ class Paths:
         return replace(self, out=log.run_folder(self.root, "staged", self.run))
 
     @property
-    def analytical(self) -> str:
+    def run_table(self) -> str:
         return log.run_folder(self.root, "analytical", self.run)
 
+    @property
+    def analytical(self) -> str:
+        return f"{self.run_table}/{log.KEPT_FOLDER}"
+
     @property
     def state(self) -> str:
         return log.run_folder(self.root, "state", self.run)
@@ -280,8 +288,12 @@ def transform(
         source_bytes = input_bytes(raw)
         pieces = Pieces() if needs_no_pieces(raw.sparkSession, source_bytes) else None
     observation = Observation("transformation")
-    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes, pieces)
-    write_analytical(table, analytical, options.mode)
+    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes, pieces, options.quarantine)
+    if options.quarantine:
+        write_with_rejects(table, analytical.removesuffix(f"/{log.KEPT_FOLDER}"))
+        table = table.drop(STATUS, RECORD)
+    else:
+        write_analytical(table, analytical, options.mode)
     counts = observation.get
     if options.fields is None:
         _refuse([f for f in fields_without_values(counts) if f in _needed(spec)])
@@ -438,6 +450,8 @@ def run_job(
     try:
         if options.mode not in log.MODES:
             raise ValueError(f"mode is one of {', '.join(log.MODES)}, not {options.mode!r}")
+        if options.quarantine and (options.land or options.limit is not None):
+            raise ValueError("rejected rows can be kept only from the feed itself: leave out land and limit")
         feed = feed.with_known_fields()
         options = feed.options
         feed.check_columns()

@@ -1,6 +1,7 @@
 """Which runs make up a table: a log to which every finished run adds one line, as the last thing it does.
 
-A run writes folders of its own, ``analytical/run=<run>`` and ``state/run=<run>``, and becomes part of the table with its
+A run writes folders of its own, ``analytical/run=<run>/reject=kept`` (and beside it what it has rejected, if that is
+to stay) and ``state/run=<run>``, and becomes part of the table with its
 line in ``manifest``. Until then readers, who go through the log, see the runs before it; what a failed run has
 written is never read. A line says whether the run replaces everything, adds to it, or replaces the months that it has, and
 holds the run's counters, so these survive the driver. A line is one file that appears at once, by the rename at
@@ -24,6 +25,7 @@ OVERWRITE, APPEND, OVERWRITE_MONTHS = "overwrite", "append", "overwrite_months"
 MODES = (OVERWRITE, APPEND, OVERWRITE_MONTHS)
 RUN = "run"
 PARTS = ("analytical", "state")
+KEPT_FOLDER = "reject=kept"
 _LINE = "version long, run string, mode string, months array<struct<year int, month int>>, columns array<string>, counters map<string, long>"
 
 Month = tuple[int | None, int | None]
@@ -99,7 +101,8 @@ def read_runs(spark: SparkSession, root: str, part: str, schema: T.StructType, l
     if not counted:
         return spark.createDataFrame([], schema)
     with_run = T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])
-    rows = spark.read.schema(with_run).option("basePath", f"{root}/{part}").parquet(*[run_folder(root, part, r) for r in counted])
+    folders = [run_folder(root, part, r) + (f"/{KEPT_FOLDER}" if part == "analytical" else "") for r in counted]
+    rows = spark.read.schema(with_run).option("basePath", f"{root}/{part}").parquet(*folders)
     dead = [(c.run, y, m) for c in log if c.run in counted for y, m in c.months - counted[c.run]]
     if dead:
         text = ["/".join((r, "-" if y is None else str(y), "-" if m is None else str(m))) for r, y, m in sorted(dead, key=repr)]
@@ -107,6 +110,16 @@ def read_runs(spark: SparkSession, root: str, part: str, schema: T.StructType, l
     return rows.select(*schema.names)
 
 
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """(run, reject, record): what the live runs have rejected and kept aside. Folders of kept rows are not read."""
+    kind = T.StructType([T.StructField(c, T.StringType()) for c in ("record", RUN, "reject")])
+    folders = [run_folder(root, "analytical", r) for r in live(read_log(spark, root))]
+    if not folders:
+        return spark.createDataFrame([], kind).select(RUN, "reject", "record")
+    rows = spark.read.schema(kind).option("basePath", f"{root}/analytical").parquet(*folders)
+    return rows.filter(F.col("reject") != "kept").select(RUN, "reject", "record")
+
+
 def drop_run(spark: SparkSession, root: str, run: str) -> None:
     """Removes what a run has written, other than its line in the log."""
     for part in (*PARTS, "staged"):

@@ -35,6 +35,15 @@ def write_analytical(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer.parquet(path)
 
 
+def write_with_rejects(df: DataFrame, path: str) -> None:
+    """Kept rows and rejected ones in one write, apart by the reason in the folder name: ``reject=kept/year=/month=`` and the others.
+
+    Replaces what is there, whatever the session's overwrite mode.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("reject", *MONTH_KEY).parquet(path)
+
+
 def write_view_summary(summary: DataFrame, path: str) -> None:
     """The summary behind all views; a view reads only the folder of its own key.
 

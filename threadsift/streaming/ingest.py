@@ -18,11 +18,11 @@ from pyspark.sql.types import StructType
 from threadsift.operators.clean import INGEST_RULES, all_feed_columns, keep_tagged, tag
 from threadsift.operators.layout import MONTH_KEY, REBALANCE
 from threadsift.operators.quality import after_ingest, extraction_metrics, reject_counts, transformation_metrics
-from threadsift.operators.table import counted_table
+from threadsift.operators.table import RECORD, STATUS, counted_table
 from threadsift.plans.job import Paths, commit_run, counters_of
 from threadsift.sources import commits as log
 from threadsift.sources.readers import stored_files
-from threadsift.sources.writers import write_analytical
+from threadsift.sources.writers import write_analytical, write_with_rejects
 from threadsift.spec import CORRUPT, DEFAULT, FeedSpec
 
 COUNTERS = "stream_counters"
@@ -109,7 +109,13 @@ def stream_name(checkpoint: str) -> str:
 
 
 def start_committed(
-    raw: DataFrame, root: str, checkpoint: str, spec: FeedSpec = DEFAULT, drop_empty: bool = True, layout: str = REBALANCE
+    raw: DataFrame,
+    root: str,
+    checkpoint: str,
+    spec: FeedSpec = DEFAULT,
+    drop_empty: bool = True,
+    layout: str = REBALANCE,
+    quarantine: bool = False,
 ) -> StreamingQuery:
     """Adds a raw stream to the table below ``root``, a run for each micro-batch, one pass over what has arrived.
 
@@ -123,8 +129,12 @@ def start_committed(
         if log.log_table(spark, paths.root).filter(F.col("run") == paths.run).count():
             return
         observation = Observation(COUNTERS)
-        table = counted_table(batch, observation, spec, drop_empty, layout)
-        write_analytical(table, paths.analytical)
+        table = counted_table(batch, observation, spec, drop_empty, layout, quarantine=quarantine)
+        if quarantine:
+            write_with_rejects(table, paths.run_table)
+            table = table.drop(STATUS, RECORD)
+        else:
+            write_analytical(table, paths.analytical)
         counts = observation.get
         metrics = {"extraction": extraction_metrics(counts), "transformation": transformation_metrics(after_ingest(counts))}
         commit_run(spark, paths, log.APPEND, tuple(table.columns), counters_of(metrics), spec)

@@ -152,6 +152,19 @@ _TOP_AND_ENGAGEMENT = _TOP.replace(
     "AS avg_engagement\n", """AS avg_engagement,
   CAST(sum(is_controversial) AS BIGINT) AS controversial_count, round(avg(word_count), 9) AS avg_words\n""")
 
+_REASON = """CASE WHEN body IS NULL OR body = '' THEN 'null_body_records'
+  WHEN lower(body) IN ('[deleted]', '[removed]') THEN 'deleted_removed_records'
+  WHEN TRY_CAST(created_utc AS BIGINT) IS NULL THEN 'bad_time_records'
+  WHEN TRY_CAST(score AS DOUBLE) IS NULL THEN 'bad_score_records'
+  ELSE 'kept' END"""
+
+_REJECTED = f"""SELECT {_REASON} AS reason, *, CAST(NULL AS VARCHAR) AS line FROM feed WHERE {_REASON} <> 'kept'
+UNION ALL SELECT 'corrupt_records', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{{"id": "' || id || '", "body": "cut'
+  FROM feed WHERE CAST(substr(id, 2) AS BIGINT) % {BROKEN_EVERY} = 0"""
+
+_REASON_COUNTS = f"""SELECT {_REASON} AS reason, count(*) AS records FROM feed GROUP BY 1
+UNION ALL SELECT 'corrupt_records', count(*) FROM feed WHERE CAST(substr(id, 2) AS BIGINT) % {BROKEN_EVERY} = 0 HAVING count(*) > 0"""
+
 # Of the report only what counts rows, under the names of the ledger.
 _LEDGER = f"""SELECT stage || '.' || metric AS counter, CAST(CASE WHEN metric = 'corrupt_records' THEN 0 ELSE value END AS BIGINT) AS value
 FROM ({_QUALITY}) WHERE stage <> 'persistence' AND metric <> 'feature_columns'"""
@@ -237,6 +250,8 @@ GROUP BY month, sentiment_proxy"""
     "quality_metrics": _with(_JOB_FULL, _QUALITY),
     "full_job_views": _with(_JOB_FULL, _TOP),
     "failed_run_keeps_table": _with(_JOB_FULL, _TABLE),
+    "quarantined_rows": _with(_FEED, _REJECTED),
+    "quarantine_counts": _with(_FEED, _REASON_COUNTS),
     "incremental_views": _with(_JOB_FULL, _TOP_AND_ENGAGEMENT),
     "incremental_table": _with(_JOB_FULL, _TABLE),
     "stream_counters": _with(_JOB_FULL, _LEDGER),

@@ -14,6 +14,7 @@ from threadsift.operators import views as v
 from threadsift.operators.layout import AS_READ
 from threadsift.operators.quality import reject_counts
 from threadsift.plans import job
+from threadsift.sources import commits as log
 from threadsift.sources.readers import read_analytical, read_dashboard_json, read_feed, read_view_csv
 from threadsift.sources.scratch import scratch_folder
 from threadsift.sources.writers import write_dashboard_json, write_feed_json, write_view_csv
@@ -350,6 +351,32 @@ def failed_run_keeps_table(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(job.read_table(spark, output), "engagement_rate")
 
 
+def _kept_aside(spark: SparkSession, sf: str) -> str:
+    output = scratch_folder(spark, "job")
+    result = job.run_job(spark, _landed_with_broken_lines(spark, sf), output, job.JobOptions(quarantine=True))
+    if not result.ok:
+        raise result.error
+    return output
+
+
+def quarantined_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected rows from storage, with their fields read back from the stored record; of broken lines the line."""
+    rejected = log.read_rejects(spark, _kept_aside(spark, sf))
+    fields = F.from_json("record", DEFAULT.raw_schema(corrupt=False))
+    broken = F.col("reject") == c.CORRUPT_RECORD
+    # the start of a broken line would be read as a record with what there is of it
+    value = lambda name: F.when(~broken, fields[name]).alias(name)
+    return rejected.select(F.col("reject").alias("reason"), *map(value, DEFAULT.fields), F.when(broken, F.col("record")).alias("line"))
+
+
+def quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters once more, from what is stored: rows of the table and rejected rows by reason."""
+    output = _kept_aside(spark, sf)
+    reasons = log.read_rejects(spark, output).groupBy(F.col("reject").alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+    kept = job.read_table(spark, output).groupBy(F.lit("kept").alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+    return reasons.unionByName(kept)
+
+
 def _in_increments(spark: SparkSession, sf: str) -> str:
     """The table in three runs: odd years, even years with wrong scores, and the months of the even years once more."""
     output = scratch_folder(spark, "job")
@@ -457,6 +484,8 @@ QUERIES: dict[str, Query] = {
         quality_metrics,
         full_job_views,
         failed_run_keeps_table,
+        quarantined_rows,
+        quarantine_counts,
         incremental_views,
         incremental_table,
         stream_counters,
