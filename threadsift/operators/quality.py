@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.operators.clean import CAST_RULES, CLEANING_RULES, INGEST_RULES, REJECT
+from threadsift.sources.single_file import write_single_file
 
 ROWS_READ = "rows_read"
 PRESENT = "_present_"
@@ -110,6 +111,10 @@ class QualityMetrics:
             "schemas": self.schemas,
         }
 
-    def save_report(self, spark: SparkSession, path: str) -> None:
-        text = json.dumps(self.report(), indent=2)
-        one_row(spark).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
+    def save_report(self, spark: SparkSession, path: str, single_file: bool = False) -> None:
+        """The report as JSON, in a folder or as one file of that name."""
+        text = one_row(spark).select(F.lit(json.dumps(self.report(), indent=2)).alias("value"))
+        if single_file:
+            write_single_file(spark, text, path)
+        else:
+            text.write.mode("overwrite").text(path)

@@ -26,12 +26,15 @@ def counted_table(
     source_bytes: int | None = None,
     pieces: Pieces | None = None,
     quarantine: bool = False,
+    cluster: bool = False,
 ) -> DataFrame:
     """The analytical table laid out by month, its rejects counted on the way.
 
     With ``quarantine`` rejected rows stay, with the first rule that they break in ``reject`` and the record as it was read in ``record``:
     the line itself if it was broken, else its fields as JSON. Kept rows have ``kept`` and NULL there.
 
+    With ``cluster`` a group's rows of a month lie together, in the order of time.
+
     Only typed values, the month and the reject reason are computed before the shuffle by
     month; counters and features come after it. Rows to drop travel along for that, without
     their text. The counters have to sit there: when an executor is lost Spark runs its map
@@ -59,11 +62,15 @@ def counted_table(
     cut = pieces or by_size
     if quarantine:  # rejected rows have no month and may be many
         cut = F.when(rejected, by_size).otherwise(cut.column() if isinstance(cut, Pieces) else cut)
-    placed = by_month(tagged, layout, partitions, salt, cut)
+    cluster = cluster and spec.group in tagged.columns
+    placed = by_month(tagged, layout, partitions, salt, cut, spec.group if cluster else None)
     counted = placed.observe(observation, *reject_counts(RULES), *has_values)
+    order = [*MONTH_KEY, spec.group, "created_utc_long"]
     if not quarantine:
-        return keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)
+        kept = keep_tagged(counted).transform(all_features, spec).transform(analytical_columns, spec)
+        return kept.sortWithinPartitions(*order) if cluster else kept
     full = counted.transform(all_features, spec)
     dates = {c: F.when(~rejected, F.col(c)) for c in MONTH_KEY}
     full = full.withColumns(dates).withColumn(STATUS, F.coalesce(F.col(REJECT), F.lit(KEPT)))
-    return full.select(*[c for c in spec.analytical_types if c in full.columns], STATUS, RECORD)
+    full = full.select(*[c for c in spec.analytical_types if c in full.columns], STATUS, RECORD)
+    return full.sortWithinPartitions(STATUS, *order) if cluster else full

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from threadsift.operators import views as v
 from threadsift.operators.clean import INGEST_RULES, all_feed_columns, feed_columns, keep_tagged, tag, typed_columns
 from threadsift.operators.features import month_columns
-from threadsift.operators.layout import REBALANCE, Pieces, by_month, measured_pieces, needs_no_pieces
+from threadsift.operators.layout import MONTH_KEY, REBALANCE, Pieces, by_month, measured_pieces, needs_no_pieces
 from threadsift.operators.quality import (
     QualityMetrics,
     after_ingest,
@@ -45,6 +45,8 @@ from threadsift.sources.readers import (
     stored_files,
 )
 from threadsift.sources.writers import (
+    ROW_GROUP_BYTES,
+    clustered,
     write_analytical,
     write_chart_table,
     write_dashboard_json,
@@ -80,10 +82,19 @@ class JobOptions:
     # Keep rejected rows, with their reason and the record as it was read, beside the table; needs the feed itself, so
     # neither a landed copy nor a limit.
     quarantine: bool = False
+    # Dashboards and reports as files of the stated names; else a name is a folder that holds the file.
+    single_files: bool = False
+    # Order each file by group and time, with Bloom filters on group and id, for tables that are asked for single groups.
+    cluster: bool = False
+    row_group_bytes: int = ROW_GROUP_BYTES
     # Files per summary of the views that grow with the number of groups; None leaves it
     # to the sort. The bounded views always get one.
     group_view_files: int | None = None
 
+    def write_settings(self, columns: list[str]) -> dict[str, str]:
+        looked_up = tuple(c for c in (self.spec.group, self.spec.id) if c in columns)
+        return clustered(looked_up, self.row_group_bytes) if self.cluster else {}
+
 
 CHARTS = ("top20_groups", "hourly_activity", "sentiment_distribution")
 
@@ -288,12 +299,15 @@ def transform(
         source_bytes = input_bytes(raw)
         pieces = Pieces() if needs_no_pieces(raw.sparkSession, source_bytes) else None
     observation = Observation("transformation")
-    table = counted_table(raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes, pieces, options.quarantine)
+    table = counted_table(
+        raw, observation, spec, unlanded, options.layout, options.partitions, source_bytes, pieces, options.quarantine, options.cluster
+    )
+    settings = options.write_settings(table.columns)
     if options.quarantine:
-        write_with_rejects(table, analytical.removesuffix(f"/{log.KEPT_FOLDER}"))
+        write_with_rejects(table, analytical.removesuffix(f"/{log.KEPT_FOLDER}"), settings)
         table = table.drop(STATUS, RECORD)
     else:
-        write_analytical(table, analytical, options.mode)
+        write_analytical(table, analytical, options.mode, settings)
     counts = observation.get
     if options.fields is None:
         _refuse([f for f in fields_without_values(counts) if f in _needed(spec)])
@@ -348,8 +362,11 @@ def compact(spark: SparkSession, output: str, options: JobOptions = JobOptions()
     v.added_states(log.read_runs(spark, output, "state", schema, done), spec).write.parquet(paths.state)
     sizes = v.months_of_state(spark.read.schema(schema).parquet(paths.state)).collect()
     pieces = measured_pieces(spark, {(r["year"], r["month"]): r["characters"] + _ROW_BYTES * r["records"] for r in sizes}, whole=True)
-    salt = (spec.id,) if spec.id in table.columns else ()
-    write_analytical(by_month(table, options.layout, options.partitions, salt, pieces), paths.analytical)
+    salt, cluster = (spec.id,) if spec.id in table.columns else (), options.cluster and spec.group in table.columns
+    placed = by_month(table, options.layout, options.partitions, salt, pieces, spec.group if cluster else None)
+    if cluster:
+        placed = placed.sortWithinPartitions(*MONTH_KEY, spec.group, "created_utc_long")
+    write_analytical(placed, paths.analytical, options=options.write_settings(table.columns))
     log.commit(spark, output, run, log.OVERWRITE, set().union(*counted.values()), tuple(table.columns), {})
     return run
 
@@ -375,7 +392,8 @@ def persist_views(
     for name, view in views.items():
         files = 1 if name in v.BOUNDED_VIEWS else options.group_view_files
         writes.append(partial(write_view_csv, view, paths.summary(name), files))
-        writes.append(partial(write_dashboard_json, view, v.view_order(name, spec), paths.dashboard(name)))
+        order = v.view_order(name, spec)
+        writes.append(partial(write_dashboard_json, view, order, paths.dashboard(name), single_file=options.single_files))
     charts = chart_tables(views, spec)
     for name, chart in charts.items():
         writes.append(partial(write_chart_table, chart, paths.chart(name)))
@@ -482,7 +500,7 @@ def run_job(
         months = set().union(*log.live([*done, this]).values())
         quality.add_metrics("persistence", {"parquet_partitions": len({y for y, _ in months}), "parquet_months": len(months), **written})
         quality.save_table(spark, staged.quality_table)
-        quality.save_report(spark, staged.report())
+        quality.save_report(spark, staged.report(), options.single_files)
         log.commit(spark, paths.root, this.run, this.mode, set(this.months), columns, this.counters)
         committed = True
         publish(spark, paths)
@@ -493,7 +511,7 @@ def run_job(
         try:
             if not committed:
                 log.drop_run(spark, paths.root, paths.run)
-            quality.save_report(spark, paths.report(failed=True))
+            quality.save_report(spark, paths.report(failed=True), options.single_files)
         except Exception:  # the first error is the one to return
             pass
         return JobResult(False, paths, quality, error)

@@ -10,8 +10,18 @@ from pyspark.sql import types as T
 from threadsift.functions import json_double
 from threadsift.operators.layout import MONTH_KEY
 from threadsift.operators.views import DASHBOARD_ROWS, GROUPED_BY
+from threadsift.sources.single_file import write_single_file
 
 OVERWRITE_MONTHS = "overwrite_months"
+# Of a clustered table: bytes of text and all in a row group, the unit that a reader skips, before encoding.
+ROW_GROUP_BYTES = 8 << 20
+
+
+def clustered(columns: tuple[str, ...], row_group_bytes: int = ROW_GROUP_BYTES) -> dict[str, str]:
+    """Write options for a table whose files are in order: small row groups, and Bloom filters on columns that are looked up
+    by value. The filters take the size that their values need."""
+    options = {"parquet.block.size": str(row_group_bytes), "parquet.bloom.filter.adaptive.enabled": "true"}
+    return options | {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
 
 
 def write_feed_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -19,13 +29,13 @@ def write_feed_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path, ignoreNullFields=False)
 
 
-def write_analytical(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_analytical(df: DataFrame, path: str, mode: str = "overwrite", options: dict[str, str] | None = None) -> None:
     """Parquet in directories ``year=/month=``.
 
     ``overwrite`` replaces the table, ``append`` adds files, ``overwrite_months`` replaces
     the months that occur in ``df`` and leaves the rest.
     """
-    writer = df.write.partitionBy(*MONTH_KEY)
+    writer = df.write.partitionBy(*MONTH_KEY).options(**(options or {}))
     if mode == OVERWRITE_MONTHS:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "overwrite":
@@ -35,12 +45,12 @@ def write_analytical(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer.parquet(path)
 
 
-def write_with_rejects(df: DataFrame, path: str) -> None:
+def write_with_rejects(df: DataFrame, path: str, options: dict[str, str] | None = None) -> None:
     """Kept rows and rejected ones in one write, apart by the reason in the folder name: ``reject=kept/year=/month=`` and the others.
 
     Replaces what is there, whatever the session's overwrite mode.
     """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**(options or {}))
     writer.partitionBy("reject", *MONTH_KEY).parquet(path)
 
 
@@ -65,8 +75,10 @@ def write_view_csv(view: DataFrame, path: str, files: int | None = None) -> None
     )
 
 
-def write_dashboard_json(view: DataFrame, order: list[Column], path: str, rows: int = DASHBOARD_ROWS) -> None:
-    """The first rows of a view as one indented JSON array.
+def write_dashboard_json(
+    view: DataFrame, order: list[Column], path: str, rows: int = DASHBOARD_ROWS, single_file: bool = False
+) -> None:
+    """The first rows of a view as one indented JSON array, in a folder or as one file of that name.
 
     Doubles are rounded to ten decimals and NULL fields keep their key. The limit bounds what
     the array and the numbering see.
@@ -78,7 +90,10 @@ def write_dashboard_json(view: DataFrame, order: list[Column], path: str, rows:
     placed = head.select(place.alias("place"), record.alias("record"))
     array = F.transform(F.sort_array(F.collect_list(F.struct("place", "record"))), lambda x: x["record"])
     document = placed.agg(F.to_json(array, {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
-    document.coalesce(1).write.mode("overwrite").text(path)
+    if single_file:
+        write_single_file(view.sparkSession, document, path)
+    else:
+        document.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_chart_table(chart: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import BROKEN_EVERY, LIMIT_ROWS
+from workload.queries import BROKEN_EVERY, LIMIT_ROWS, LOOKED_UP
 
 _FEED = r"""
 feed AS (
@@ -165,6 +165,21 @@ UNION ALL SELECT 'corrupt_records', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NU
 _REASON_COUNTS = f"""SELECT {_REASON} AS reason, count(*) AS records FROM feed GROUP BY 1
 UNION ALL SELECT 'corrupt_records', count(*) FROM feed WHERE CAST(substr(id, 2) AS BIGINT) % {BROKEN_EVERY} = 0 HAVING count(*) > 0"""
 
+def _as_json(view: str, select: str, fields: dict[str, str]) -> str:
+    """Rows of a view as JSON text: NULL stays null, the rest is text."""
+    row = " || ',' || ".join(f"""'"{n}":' || coalesce('"' || CAST({x} AS VARCHAR) || '"', 'null')""" for n, x in fields.items())
+    return f"SELECT '{view}' AS view, '{{' || {row} || '}}' AS row FROM ({select})"
+
+
+_DASHBOARDS = " UNION ALL ".join(
+    (
+        _as_json("top_subreddits", _TOP, {"subreddit": "subreddit", "total_comments": "total_comments", "total_score": "total_score"}),
+        _as_json("hourly_activity", _HOURLY, {"hour": "hour", "comments": "comments"}),
+        _as_json("sentiment_distribution", _SENTIMENT, {"sentiment_proxy": "sentiment_proxy", "count": "count"}),
+        _as_json("engagement", _ENGAGEMENT, {"subreddit": "subreddit", "controversial_count": "controversial_count"}),
+    )
+)
+
 # Of the report only what counts rows, under the names of the ledger.
 _LEDGER = f"""SELECT stage || '.' || metric AS counter, CAST(CASE WHEN metric = 'corrupt_records' THEN 0 ELSE value END AS BIGINT) AS value
 FROM ({_QUALITY}) WHERE stage <> 'persistence' AND metric <> 'feature_columns'"""
@@ -250,6 +265,8 @@ GROUP BY month, sentiment_proxy"""
     "quality_metrics": _with(_JOB_FULL, _QUALITY),
     "full_job_views": _with(_JOB_FULL, _TOP),
     "failed_run_keeps_table": _with(_JOB_FULL, _TABLE),
+    "dashboard_single_files": _with(_JOB_FULL, _DASHBOARDS),
+    "clustered_groups": _with(_JOB_FULL, f"SELECT id, subreddit, score_num, comment_length FROM analytical WHERE subreddit IN {LOOKED_UP}"),
     "quarantined_rows": _with(_FEED, _REJECTED),
     "quarantine_counts": _with(_FEED, _REASON_COUNTS),
     "incremental_views": _with(_JOB_FULL, _TOP_AND_ENGAGEMENT),

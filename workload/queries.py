@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from workload.feed import comment_feed
 
 LIMIT_ROWS = 700
 BROKEN_EVERY = 71
+LOOKED_UP = ("src3", "src11", "no such group")
 # Many more groups than a dashboard shows, with ties at its end.
 BY_AUTHOR = FeedSpec(group="author", author="subreddit")
 # The addition order of doubles differs between engines.
@@ -330,6 +332,22 @@ def dashboard_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _dashboard(spark, v.engagement(_by_author(spark, sf), BY_AUTHOR), v.ENGAGEMENT, BY_AUTHOR)
 
 
+def dashboard_single_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All four dashboards of a job as the files that bear their names."""
+    result = job.run_job(spark, _landed_feed(spark, sf), scratch_folder(spark, "job"), job.JobOptions(single_files=True))
+    if not result.ok:
+        raise result.error
+    kinds = {name: view.schema for name, view in job.read_views(spark, result.paths.root).items()}
+    parts = []
+    for name, kind in kinds.items():
+        # the file's own name, not that of a part in a folder
+        path = result.paths.dashboard(name)
+        rows = read_dashboard_json(spark, path, kind).filter(F.col("_metadata.file_name") == path.rpartition("/")[2])
+        fields = F.to_json(F.struct(*[F.col(x).cast("string").alias(x) for x in kind.names if not x.startswith("avg")]), {"ignoreNullFields": "false"})
+        parts.append(rows.select(F.lit(name).alias("view"), fields.alias("row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
     source = _landed_with_broken_lines(spark, sf)
     result = job.run_job(spark, source, scratch_folder(spark, "job"))
@@ -377,6 +395,22 @@ def quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     return reasons.unionByName(kept)
 
 
+HOT_MONTH = "1325376000"
+
+
+def clustered_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Single groups of one month, looked up in a clustered table whose rows all lie in that month."""
+    source, output = scratch_folder(spark, "feed"), scratch_folder(spark, "job")
+    feed = comment_feed(spark, sf).withColumn(DEFAULT.event_time, F.when(F.col(DEFAULT.event_time).rlike(r"^\d+$"), HOT_MONTH).otherwise("bad"))
+    write_feed_json(feed, source)
+    result = job.run_job(spark, source, output, job.JobOptions(cluster=True, row_group_bytes=1 << 16))
+    if not result.ok:
+        raise result.error
+    table = job.read_table(spark, output).filter("year = 2012 and month = 1")
+    wanted = table.filter(F.col(DEFAULT.group).isin(*LOOKED_UP))
+    return wanted.select("id", "subreddit", "score_num", "comment_length")
+
+
 def _in_increments(spark: SparkSession, sf: str) -> str:
     """The table in three runs: odd years, even years with wrong scores, and the months of the even years once more."""
     output = scratch_folder(spark, "job")
@@ -484,6 +518,8 @@ QUERIES: dict[str, Query] = {
         quality_metrics,
         full_job_views,
         failed_run_keeps_table,
+        dashboard_single_files,
+        clustered_groups,
         quarantined_rows,
         quarantine_counts,
         incremental_views,
