@@ -46,16 +46,19 @@ class ShuffleLoss:
     the shuffle is still to be read."""
 
     def __init__(self, spark, table):
-        self.shuffles = f"{spark.conf.get('spark.local.dir')}/**/shuffle_*.data"
+        # where the blocks really are: the environment may override spark.local.dir
+        self.folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
         self.table, self.lost, self.done = table, [], threading.Event()
-        self.older = set(glob.glob(self.shuffles, recursive=True))
+        self.older = self.shuffles()
         self.thread = threading.Thread(target=self.watch)
 
+    def shuffles(self):
+        return {p for folder in self.folders for p in glob.glob(f"{folder}/**/shuffle_*.data", recursive=True)}
+
     def watch(self):
         while not self.done.is_set():
             if glob.glob(f"{self.table}/**/part-*.parquet", recursive=True):
-                new = set(glob.glob(self.shuffles, recursive=True)) - self.older
-                for path in sorted(new)[:2]:
+                for path in sorted(self.shuffles() - self.older)[:2]:
                     os.remove(path)
                     self.lost.append(path)
                 return
