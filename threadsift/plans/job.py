@@ -33,7 +33,7 @@ from threadsift.operators.quality import (
 from threadsift.operators.table import RECORD, STATUS, counted_table
 from threadsift.sources import commits as log
 from threadsift.sources.files import exists, has_data, make_folder, replace as move
-from threadsift.sources.limit import find_cut, read_to_cut
+from threadsift.sources.limit import KeptIndex, find_cut, read_to_cut
 from threadsift.sources.readers import (
     DETECT,
     as_path,
@@ -70,6 +70,8 @@ class JobOptions:
     # has no value anywhere; "detect" looks for them in a pass of its own.
     fields: tuple[str, ...] | str | None = None
     limit: int | None = None
+    # Where counts of kept rows by file are stored for later runs with a limit; of the same feed and rules.
+    limit_index: str | None = None
     # Land a slim copy of the feed first. Worth its two extra passes for a source that is slow
     # or will not stay; files already on shared storage go straight into the transform.
     land: bool = False
@@ -224,8 +226,9 @@ class _Source:
 
     def first_rows(self, limit: int) -> tuple[DataFrame, dict[str, float]]:
         """The first kept rows and the metrics of the files they came from."""
-        cut = find_cut(self.tagged, stored_files(self.spark, self.path), limit)
-        rows = read_to_cut(self.spark, self.kept, cut)
+        index = KeptIndex(self.spark, self.options.limit_index) if self.options.limit_index else None
+        cut = find_cut(self.tagged, stored_files(self.spark, self.path), limit, index)
+        rows = read_to_cut(self.spark, self.kept, cut, index)
         metrics = extraction_metrics(cut.counts)
         metrics["total_records"] = min(metrics["total_records"], limit)
         metrics["file_size_mb"] = round(cut.bytes / 1024 / 1024, 2)

@@ -76,13 +76,13 @@ def read_dashboard_json(spark: SparkSession, path: str, schema: T.StructType) ->
 
 
 def stored_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, length) of the files that a feed reader reads at ``path``, from the file listing alone.
+    """(file, length, modified) of the files that a feed reader reads at ``path``, from the file listing alone.
 
     Nested folders count only where they are partitions, as for the readers. The binary source
     opens a file only when its content is asked for.
     """
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"), "length")
+    return files.select(F.col("_metadata.file_path").alias("file"), "length", F.col("modificationTime").alias("modified"))
 
 
 def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:

@@ -184,15 +184,15 @@ _DASHBOARDS = " UNION ALL ".join(
 _LEDGER = f"""SELECT stage || '.' || metric AS counter, CAST(CASE WHEN metric = 'corrupt_records' THEN 0 ELSE value END AS BIGINT) AS value
 FROM ({_QUALITY}) WHERE stage <> 'persistence' AND metric <> 'feature_columns'"""
 
-ORACLE: dict[str, str] = {
-    "ingest_clean": _with(f"{_FEED},{_INGESTED}", "SELECT * FROM ingested"),
-    "ingest_counters": _with(
-        f"{_FEED},{_INGESTED}",
-        """SELECT (SELECT count(*) FROM ingested) AS total_records,
+_COUNTERS = """SELECT (SELECT count(*) FROM ingested) AS total_records,
   count(*) FILTER (WHERE body IS NULL OR body = '') AS null_body_records,
   count(*) FILTER (WHERE lower(body) IN ('[deleted]', '[removed]')) AS deleted_removed_records
-FROM feed""",
-    ),
+FROM feed"""
+
+ORACLE: dict[str, str] = {
+    "ingest_clean": _with(f"{_FEED},{_INGESTED}", "SELECT * FROM ingested"),
+    "ingest_counters": _with(f"{_FEED},{_INGESTED}", _COUNTERS),
+    "limit_index": _with(f"{_FEED},{_INGESTED}", _COUNTERS),
     "ingest_limit": _with(
         f"{_FEED},{_INGESTED}",
         f"""SELECT least({LIMIT_ROWS}, count(*)) AS kept_rows, least({LIMIT_ROWS}, count(DISTINCT id)) AS distinct_ids,

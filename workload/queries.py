@@ -16,6 +16,7 @@ from threadsift.operators.layout import AS_READ
 from threadsift.operators.quality import reject_counts
 from threadsift.plans import job
 from threadsift.sources import commits as log
+from threadsift.sources.limit import KeptIndex
 from threadsift.sources.readers import read_analytical, read_dashboard_json, read_feed, read_view_csv
 from threadsift.sources.scratch import scratch_folder
 from threadsift.sources.writers import write_dashboard_json, write_feed_json, write_view_csv
@@ -95,6 +96,16 @@ def ingest_limit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def limit_index(spark: SparkSession, sf: str) -> DataFrame:
+    """What an index of kept rows holds behind two limited runs: the counters of all files, once."""
+    path, index = scratch_folder(spark, "feed"), scratch_folder(spark, "index")
+    write_feed_json(comment_feed(spark, sf).repartition(5), path)
+    for limit in (LIMIT_ROWS, 1 << 40):
+        job.ingest(spark, path, scratch_folder(spark, "landed"), job.JobOptions(limit=limit, limit_index=index))
+    files = KeptIndex(spark, index).files()
+    return files.agg(F.sum("kept").alias("total_records"), F.sum(c.NULL_BODY).alias(c.NULL_BODY), F.sum(c.PLACEHOLDER).alias(c.PLACEHOLDER))
+
+
 def stream_ingest_clean(spark: SparkSession, sf: str) -> DataFrame:
     source, landed = _landed_feed(spark, sf), scratch_folder(spark, "landed")
     stream = s.stream_ingest_clean(s.stream_feed(spark, source, files_per_batch=100))
@@ -476,6 +487,7 @@ QUERIES: dict[str, Query] = {
         ingest_clean,
         ingest_counters,
         ingest_limit,
+        limit_index,
         stream_ingest_clean,
         stream_analytical,
         parquet_feed_ingest,
