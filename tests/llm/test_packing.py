@@ -27,6 +27,27 @@ def test_ids_by_word_equal_whole_texts(texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain_ids(t) for t in texts]
 
 
+def test_letters_that_lower_case_takes_apart():
+    texts = ["İstanbul abc", "ǅ ﬁ ß ẞ", "각 한글 abc", "ａｂｃ ᾳ ŉ", "İ"]
+    for some in (texts, ["abc def", *texts, "ghi"]):
+        got = packing.WordTokenizer(open(FILE).read()).ids([t.encode() for t in some])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain_ids(t) for t in some]
+
+
+def test_ids_of_all_documents(spark):
+    from threadsift.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for r in docs:
+        ids = [*plain_ids(r.text or ""), 1]
+        for piece, at in enumerate(range(0, len(ids), 4096)):
+            part = np.array(ids[at : at + 4096], "<u4")
+            want[r.doc_id, piece] = (at, len(part), zlib.crc32(part.tobytes()))
+    rows = QUERIES["op2_packing"](spark, "/root/testdata/sf0.001").collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want
+
+
 def test_special_tokens_and_forgetting(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
     words = packing.WordTokenizer(open(FILE).read())

@@ -36,7 +36,7 @@ END_ID = 1
 #: Pieces that one task packs; some 30 bytes each.
 PIECES_PER_TASK = 100_000
 #: Words whose ids a worker remembers from its latest texts, and as many from before; some 200 bytes each.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 600_000
 HOT_WORDS = 16_000
 #: Text that is tokenized at a time.
 _STEP_BYTES = 1 << 20
@@ -117,6 +117,10 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_str(definition)
         kinds = json.dumps(json.loads(definition).get("normalizer"))
         self._by_word = '"Lowercase"' in kinds and "\\\\s+" in kinds
+        suffix = json.loads(definition).get("model", {}).get("end_of_word_suffix")
+        vocabulary = self._tokenizer.get_vocab() if suffix else {}
+        self._ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)  # tokens that end a run of letters
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known, self._older = _Known(), _Known()
         self._hot: dict[bytes, int] = {}  # the most frequent words, few enough to stay in the processor's cache
         self._seen, self._steps = np.zeros(0, np.int64), 0
@@ -162,15 +166,27 @@ class WordTokenizer:
         again = [w for w in words if w in self._older.place]
         if again:
             self._known.add(again, *self._older.of(np.array([self._older.place[w] for w in again])))
-        new = list(words.difference(again))
-        ids, counts = [], []
-        for i in range(0, len(new), _WORDS_AT_ONCE):
-            some = [w.decode() for w in new[i : i + _WORDS_AT_ONCE]]
-            got = self._tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.asarray(got.ids, "<u4"))
-            counts.append(np.bincount(np.asarray(got.word_ids, np.int64), minlength=len(some)))
-        if new:
-            self._known.add(new, np.concatenate(ids), np.concatenate(counts))
+        new = [w.decode() for w in words.difference(again)]
+        letters, others = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+        parts = [
+            encode(kind[i : i + _WORDS_AT_ONCE])
+            for kind, encode in ((letters, self._encode_letters), (others, self._encode_words))
+            for i in range(0, len(kind), _WORDS_AT_ONCE)
+        ]
+        if parts:
+            self._known.add([w.encode() for w in chain(letters, others)], *map(np.concatenate, zip(*parts, strict=True)))
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = self._tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.asarray(got.ids, "<u4"), np.bincount(np.asarray(got.word_ids, np.int64), minlength=len(words))
+
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters as one text: each is one run, so the tokens that end runs tell the words apart."""
+        ids = np.asarray(self._tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self._ends[ids]) if len(self._ends) else np.zeros(0, np.int64)
+        if len(ends) != len(words) or ends[-1] != len(ids) - 1:  # a letter that lower case or composition takes apart
+            return self._encode_words(words)
+        return ids, np.diff(ends, prepend=-1)
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, remembered: int = REMEMBERED_WORDS) -> DataFrame:
