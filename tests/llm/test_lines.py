@@ -1,5 +1,7 @@
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,16 +17,33 @@ def distance(a, b):
     return row[-1]
 
 
-def brute_force(rows, edits=2, least=32):
-    places = [(i is None, i or 0, p, line) for i, t in rows if t is not None for p, line in enumerate(t.split("\n")) if len(line) >= least]
+def close_pairs(texts, edits):
+    """All pairs of texts within reach, one way round. Only pairs whose lengths and counts of characters allow it are measured:
+    an edit changes the length by one at most and the counts by two."""
+    texts = sorted(texts, key=len)
+    counts = np.zeros((len(texts), 64), np.int16)
+    for k, t in enumerate(texts):
+        np.add.at(counts[k], [ord(c) % 64 for c in t], 1)
+    lengths = np.array([len(t) for t in texts])
+    for k, t in enumerate(texts):
+        end = np.searchsorted(lengths, len(t) + edits, "right")
+        apart = np.abs(counts[k + 1 : end] - counts[k]).sum(axis=1)
+        for j in np.flatnonzero(apart <= 2 * edits):
+            if distance(t, texts[k + 1 + j]) <= edits:
+                yield t, texts[k + 1 + j]
+
+
+def brute_force(rows, edits=2, least=32, words=lines.EXACT_WORDS):
+    takes_part = lambda x: len(x) >= least or (words is not None and len(re.findall(r"[^ \t\n\x0b\f\r]+", x)) >= words)
+    places = [(i is None, i or 0, p, line) for i, t in rows if t is not None for p, line in enumerate(t.split("\n")) if takes_part(line)]
     first = {}
     for *place, line in places:
         first[line] = min(first.get(line, place), place)
-    near = {a for a in first for b in first if a != b and first[b] < first[a] and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits}
+    near = {a if first[b] < first[a] else b for a, b in close_pairs([x for x in first if len(x) >= least], edits)}
     out = []
     for i, t in rows:
         split = t.split("\n") if t is not None else []
-        gone = [len(x) >= least and (x in near or [i is None, i or 0, p] > first[x]) for p, x in enumerate(split)]
+        gone = [takes_part(x) and (x in near or [i is None, i or 0, p] > first[x]) for p, x in enumerate(split)]
         out.append((str(i), len(split), sum(gone), t if not any(gone) else "\n".join(x for x, g in zip(split, gone, strict=True) if not g)))
     return sorted(out, key=str)
 
@@ -74,6 +93,35 @@ def test_near_lines(docs, monkeypatch, edits, block, frequent):
     assert got == brute_force(rows, edits)
 
 
+@pytest.mark.parametrize(("hot", "levels", "block"), [(4, 4, 64), (4, 2, 3), (2, 5, 64), (1000, 4, 3)])
+def test_lines_of_a_template(docs, monkeypatch, hot, levels, block):
+    """Very many lines share a segment; they meet under finer keys, and at the last level in blocks."""
+    for name, value in (("HOT", hot), ("LEVELS", levels), ("BLOCK", block)):
+        monkeypatch.setattr(lines, name, value)
+    rng = random.Random(hot)
+    start, end = "Copyright notice, ", " by the authors."
+    names = ["".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(25)]
+    rows = []
+    for i in range(60):
+        some = [start + rng.choice(names) + end, start + "".join(rng.choice("xyz") for _ in range(rng.randint(3, 14))) + end]
+        rows.append((i, "\n".join(changed(rng, x, rng.choice([0, 0, 1, 2, 3])) for x in some)))
+    assert result(lines.without_repeated_lines(docs(*rows))) == brute_force(rows)
+
+
+def test_pairs_of_a_template_grow_with_the_lines(spark, monkeypatch):
+    """Lines with the same first 17 of 44 characters: what meets grows in proportion, not with the square."""
+    import hashlib
+
+    monkeypatch.setattr(lines, "HOT", 64)
+    sizes = []
+    for n in (400, 1600):
+        texts = [("the same beginning" + hashlib.sha256(str(i).encode()).hexdigest())[:44] for i in range(n)]
+        named = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "name long, line string").select("name", lines.wide("line").alias("_wide"))
+        met = lines.meetings(named, 2, 32)
+        sizes.append(met.agg(F.max("n"), F.sum(F.col("n") * F.col("n"))).first())
+    assert all((s[0] or 0) <= 64 for s in sizes) and (sizes[1][1] or 0) <= 20 * max(400, sizes[0][1] or 0)
+
+
 def test_repeated_rows_and_columns(docs):
     line = "a line that is long enough to take part in this"
     frame = docs((1, f"{line}\nx"), (1, f"{line}\nx"), (2, f"{line}\nx"))
@@ -99,7 +147,7 @@ def test_short_lines_that_repeat(docs):
     got = {r.doc_id: (r.text, r._n_removed) for r in left.collect()}
     assert got[1] == ("All rights reserved.\n\nx\ntwo words", 0) and got[2] == ("\nx\ntwo words", 1)
     assert got[3] == ("All rights reserved!", 0) and got[4] == ("  All   rights ", 0)
-    assert lines.without_repeated_lines(frame).filter("_n_removed > 0").count() == 0
+    assert lines.without_repeated_lines(frame, exact_words=None).filter("_n_removed > 0").count() == 0
 
 
 def test_different_texts_without_own_id(docs):

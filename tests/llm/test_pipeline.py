@@ -93,5 +93,5 @@ def test_odd_documents(spark, tmp_path):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     ours = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in ours) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in ours) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())

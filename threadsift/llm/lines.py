@@ -1,13 +1,15 @@
 """Line deduplication by a segment-partition edit join.
 
 A line that equals an earlier one, or is within ``EDITS`` edits of one, is removed. Lines come in the order of doc_id
-and place; every line is judged against the input, not against what is left. Lines of fewer than ``MIN_CHARS``
-characters stay; a caller may have those of at least ``exact_words`` words removed where they equal an earlier line.
+and place; every line is judged against the input, not against what is left. Near lines have at least ``MIN_CHARS``
+characters; shorter ones of at least ``EXACT_WORDS`` words are removed where they equal an earlier line.
 
 Equal lines are found by an aggregate over 128-bit hashes. For near lines each distinct line is cut into edits + 1
 segments, of which at most ``edits`` can be touched, so a line within reach has one of them unchanged, at a place that
 differs by at most the shift that the lengths allow. (length, segment number, segment) are the index; each line probes
-the lengths and places where a segment of an earlier line could be. Lines that meet under a key are compared in blocks
+the lengths and places where a segment of an earlier line could be. A key that very many lines share, such as the start
+of a template, says little: what is left of its lines without the shared segment is within reach too, so it is cut into
+segments once more, and the lines meet under both keys, and so on. Lines that meet under a key are compared in blocks
 of bounded size inside expressions: first by their sets of three-character runs, of which an edit changes at most six,
 then by a banded bit-parallel edit distance. A line needs one witness, so no pairs are put out. All of it is DataFrame
 functions.
@@ -22,6 +24,8 @@ so their lines do not remove each other; an empty table gives no rows. Line brea
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,13 +33,18 @@ from pyspark.sql.window import Window
 from threadsift.llm.tables import settled, small_side
 
 MIN_CHARS = 32
+EXACT_WORDS = 3
 EDITS = 2
 #: Lines in one side of a block comparison.
 BLOCK = 64
 #: One of so many lines is frequent enough to be indexed from a list.
 FREQUENT = 10_000
+#: Lines at a key beyond which it is made finer, and how often.
+HOT = 256
+LEVELS = 4
 _GRAM = 3  # characters
-_GRAM_WORDS = 16  # 64-bit words of the set of character grams
+_GRAM_WORDS = 8  # 64-bit words of the set of character grams
+_GAP = bytes(4)  # stands where a shared segment was
 
 
 def lines_of(docs: DataFrame, min_chars: int, exact_words: int | None = None) -> DataFrame:
@@ -66,15 +75,15 @@ def wide(line: str) -> Column:
     return F.encode(F.col(line), "UTF-32")
 
 
-def segment_keys(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def segment_keys(lines: DataFrame, edits: int, min_chars: int, rest: bool = False) -> DataFrame:
     """(name, index, key) from (name, _wide): the keys that each line probes; those with ``index`` below edits + 1 are
-    its own segments."""
+    its own segments. With ``rest`` also the line without the segment."""
     n = edits + 1
     whole = lambda a, b: F.call_function("div", a, F.lit(b)).cast("int")
     length = whole(F.octet_length("_wide"), 4)
     for shorter in range(n):  # sizes of the segments of a line that is so much shorter; the later ones are the longer
         lines = lines.withColumns({f"_q{shorter}": whole(length - shorter, n), f"_r{shorter}": F.pmod(length - shorter, F.lit(n))})
-    index, others = [], []
+    index, others, places = [], [], {}
     for shorter in range(n):
         size, longer = F.col(f"_q{shorter}"), F.col(f"_r{shorter}")
         other = size * n + longer
@@ -87,7 +96,17 @@ def segment_keys(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
                     others.append(F.when(other >= min_chars, key))
                 else:
                     index.append(key)
-    return lines.select("name", F.posexplode_outer(F.array(*index, *others)).alias("index", "key"))
+                places[shorter, shift, i] = (start + shift, own)
+    keys = F.posexplode_outer(F.array(*index, *others)).alias("index", "key")
+    if not rest:
+        return lines.select("name", keys)
+    order = [x for x in places if not (x[0] or x[1])] + [x for x in places if x[0] or x[1]]
+    ends = [F.array(*[places[x][k] for x in order]).alias(f"_{k}") for k in (0, 1)]
+    cut = lines.select("name", "_wide", *ends, keys)
+    start, size = (F.get(f"_{k}", F.col("index")) for k in (0, 1))
+    left = F.substring("_wide", F.lit(1), start * 4)
+    right = F.substring("_wide", (start + size) * 4 + 1, F.octet_length("_wide"))
+    return cut.select("name", "index", "key", F.concat(left, F.lit(_GAP), right).alias("rest"))
 
 
 def code_points(line: str) -> Column:
@@ -139,6 +158,47 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return (apart >= 0) & (apart <= 2 * edits) & (reached.bitwiseAND(F.lit(1)) == 1)
 
 
+def meetings(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """(key, name, index, n) from (name, _wide): names that share a key, how many they are, and whether the name is an
+    entry of the index there.
+
+    A key of more than ``HOT`` names is replaced by finer ones: two lines within reach that share a segment are still within
+    reach without it, so what is left of the shorter one has a segment that the other probes. At the last level, what is
+    still frequent stays as it is.
+    """
+    rows, found, least = lines.select("name", F.lit(True).alias("entry"), F.lit(None).cast("long").alias("above"), "_wide"), [], min_chars
+    for level in range(LEVELS):
+        held = rows.select(F.struct("name", "entry", "above").alias("name"), "_wide")
+        met = settled(_met(_chained(segment_keys(held, edits, least), edits)), "met")
+        counts = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        if level == LEVELS - 1 or counts.filter(F.col("n") > HOT).isEmpty():
+            return reduce(DataFrame.unionByName, [*found, met.join(counts, "key")])
+        counts = settled(counts, "counts")
+        found.append(met.join(counts.filter(F.col("n") <= HOT), "key"))
+        hot = small_side(settled(counts.filter(F.col("n") > HOT).select("key"), "hot"))
+        finer = _chained(segment_keys(held, edits, least, rest=True), edits).join(hot, "key", "left_semi")
+        rows, least = settled(finer.select("name", "entry", F.col("key").alias("above"), F.col("rest").alias("_wide")), "finer"), 0
+
+
+def _chained(keys: DataFrame, edits: int) -> DataFrame:
+    """Keys with those of the levels above; only entries of the index above are entries here."""
+    key = F.when(F.col("name.above").isNull(), F.col("key")).otherwise(F.xxhash64("name.above", "key"))
+    entry = F.col("name.entry") & (F.col("index") <= edits)
+    others = [c for c in keys.columns if c not in ("name", "index", "key")]
+    return keys.filter("key is not null").select(key.alias("key"), F.col("name.name").alias("name"), entry.alias("entry"), *others)
+
+
+def _met(keys: DataFrame) -> DataFrame:
+    """(key, name, index) where a key has more than one name."""
+    one = F.lit(1).cast("long")
+    # the lowest bit says that the row is an entry of the index
+    bits = keys.select("key", F.shiftleft("name", 1).bitwiseOR(F.when(F.col("entry"), one).otherwise(0)).alias("bits"))
+    by_key = Window.partitionBy("key")
+    own = F.shiftright("bits", 1)
+    met = bits.select("key", "bits", F.min(own).over(by_key).alias("_a"), F.max(own).over(by_key).alias("_b")).filter("_a <> _b")
+    return met.groupBy("key", own.alias("name")).agg((F.max(F.col("bits").bitwiseAND(one)) == 1).alias("index"))
+
+
 def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min_chars: int) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within reach."""
     lines = lines_of(docs, min_chars).select("doc_id", "text_key", "pos", "line", *_hashes())
@@ -146,16 +206,8 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     # at most FREQUENT rows
     kept = lines.join(F.broadcast(frequent), (F.col("h1") == F.col("_f1")) & (F.col("h2") == F.col("_f2")), "left")
     kept = kept.filter(F.col("_first").isNull() | F.col("_first").eqNullSafe(_place()))
-    # a line is named by 62 bits of its hash; the lowest bit of the name says that the row is an index entry
-    name = F.shiftleft(F.shiftright("h1", 2), 1)
-    keys = kept.select(name.alias("name"), wide("line").alias("_wide"))
-    keys = segment_keys(keys, edits, min_chars).filter("key is not null")
-    keys = keys.select("key", F.when(F.col("index") <= edits, F.col("name").bitwiseOR(F.lit(1).cast("long"))).otherwise(F.col("name")).alias("name"))
-    by_key = Window.partitionBy("key")
-    own = F.shiftright("name", 1)
-    met = keys.select("key", "name", F.min(own).over(by_key).alias("_a"), F.max(own).over(by_key).alias("_b"))
-    met = met.filter("_a <> _b").groupBy("key", own.alias("name")).agg(F.max(F.col("name").bitwiseAND(F.lit(1).cast("long"))).alias("index"))
-    met = settled(met, "met")
+    # a line is named by 62 bits of its hash
+    met = meetings(kept.select(F.shiftright("h1", 2).alias("name"), wide("line").alias("_wide")), edits, min_chars)
     names = settled(met.select("name").distinct(), "names")
     texts = lines.withColumn("name", F.shiftright(F.shiftleft(F.shiftright("h1", 2), 1), 1))
     texts = texts.join(small_side(names), "name", "left_semi").groupBy("name", "line").agg(F.min(_place()).alias("first"))
@@ -164,15 +216,14 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     # columns of a table, so that the optimizer cannot move their making into a loop over characters
     texts = settled(texts, "texts").withColumn("grams", character_grams("chars"))
     texts = settled(texts.select("name", "line", "first", "chars", *(as_bits("grams", i).alias(w) for i, w in enumerate(words))), "texts")
-    members = met.join(texts, "name").select("key", (F.col("index") == 1).alias("index"), "line", "chars", "first", *words)
+    members = met.join(texts, "name").select("key", "n", "index", "line", "chars", "first", *words)
     # all lines of a key in one array, or those of a frequent key in blocks, whose pairs are dealt out anew
-    members = members.withColumn("_n", F.count(F.lit(1)).over(by_key))
     fields = F.collect_list(F.struct("line", "chars", "first", "index", *words))
-    few = members.filter(F.col("_n") <= BLOCK).groupBy("key").agg(fields.alias("lines"))
-    block = F.floor((F.row_number().over(by_key.orderBy("first", "line")) - 1) / BLOCK)
-    blocks = members.filter(F.col("_n") > BLOCK).withColumn("block", block).groupBy("key", "block").agg(fields.alias("lines"))
+    few = members.filter(F.col("n") <= BLOCK).groupBy("key").agg(fields.alias("lines"))
+    block = F.pmod(F.xxhash64("line"), F.ceil(F.col("n") / BLOCK))
+    blocks = members.filter(F.col("n") > BLOCK).groupBy("key", block.alias("block")).agg(fields.alias("lines"))
     earlier = blocks.select(F.col("key").alias("_key"), F.col("block").alias("before"), F.col("lines").alias("earlier"))
-    pairs = blocks.join(earlier, (F.col("key") == F.col("_key")) & (F.col("before") <= F.col("block")))
+    pairs = blocks.join(earlier, F.col("key") == F.col("_key"))
     pairs = pairs.repartition("key", "block", "before").select("lines", "earlier")
     pairs = pairs.unionByName(few.select("lines", F.col("lines").alias("earlier")))
 
@@ -190,7 +241,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
     return found.filter("line is not null").select(*_hashes()).distinct()
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = None) -> DataFrame:
+def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = EXACT_WORDS) -> DataFrame:
     """(doc_id, text_key, removed): the lines that go, as (pos, h1) members, for documents that lose any."""
     places = lines_of(docs, min_chars, exact_words).select("doc_id", "text_key", "pos", *_hashes())
     distinct = places.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -204,7 +255,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     return gone.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = None) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_words: int | None = EXACT_WORDS) -> DataFrame:
     """``docs`` with what is left of each text, and _n_lines and _n_removed."""
     removed = settled(removed_lines(docs, edits, min_chars, exact_words), "removed")
     removed = removed.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed"))

@@ -148,13 +148,13 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Edit distances of DuckDB count bytes, so accented letters of the corpus become single bytes first.
-OP10_SQL = """
+OP10_SQL = r"""
 with parts as (select doc_id, text, unnest(string_split(text, chr(10))) as line,
   generate_subscripts(string_split(text, chr(10)), 1) as pos from documents where text is not null),
-taking as (select * from parts where length(line) >= 32),
+taking as (select * from parts where length(line) >= 32 or len(list_filter(string_split_regex(line, '[ \t\x0B\f\r]+'), lambda x: x <> '')) >= 3),
 named as (select line, min(row(doc_id is null, doc_id, pos)) as first from taking group by line),
 bytes as (select *, translate(line, 'äöüßéèêçàùôîñóíúáâëïûœÄÖÜÉÈÊÇÀÙÔÎÑÓÍÚÁ', '0123456789@#~^=<>{}[]|ABCDEFGHIJKLMNOP') as b,
-  length(line) as n from named),
+  length(line) as n from named where length(line) >= 32),
 near as (select distinct p.line from bytes p join bytes q on q.n between p.n - 2 and p.n + 2 and q.first < p.first
   and (substr(p.line, 1, q.n // 3) = substr(q.line, 1, q.n // 3) or right(p.line, q.n // 3) = right(q.line, q.n // 3)
     or levenshtein(substr(p.b, 1, 24), substr(q.b, 1, 24)) <= 2)
