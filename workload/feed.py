@@ -1,5 +1,6 @@
-"""A comment feed derived from the given tables, whole tables and whole texts.
+"""A comment feed derived from the given tables.
 
+Every document that has an event and an order of its number is a comment, with its whole text:
 documents give text, group and language, events the time of day, user and score, orders the
 day, labels the flag. Every rule of the cleaning stage gets rows that break it.
 """
