@@ -74,7 +74,8 @@ def test_edit_distance(spark):
         rows.append((a, b, distance(a, b)))
     pairs = spark.createDataFrame(rows, "a string, b string, d int").select("*", lines.code_points("a").alias("ca"), lines.code_points("b").alias("cb"))
     for edits in (0, 1, 2, 3):
-        assert pairs.filter(lines.within_edits(F.col("ca"), F.col("cb"), edits) != (F.col("d") <= edits)).count() == 0
+        for measure in (lines.within_edits, lines.within_edits_trimmed):
+            assert pairs.filter(measure(F.col("ca"), F.col("cb"), edits) != (F.col("d") <= edits)).count() == 0
 
 
 @pytest.mark.parametrize(("edits", "block", "frequent"), [(2, 64, 10_000), (1, 64, 10_000), (3, 2, 4)])

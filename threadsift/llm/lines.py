@@ -158,6 +158,25 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return (apart >= 0) & (apart <= 2 * edits) & (reached.bitwiseAND(F.lit(1)) == 1)
 
 
+def within_edits_trimmed(a: Column, b: Column, edits: int) -> Column:
+    """``within_edits``, measured without halves or quarters at the start and the end that both have."""
+    least = F.least(F.size(a), F.size(b))
+
+    def same(side: int) -> Column:
+        out = F.lit(0)
+        for share in (4, 2):
+            n = F.call_function("div", least, F.lit(share)).cast("int")
+            start = F.lit(1) if side > 0 else F.least(-n, F.lit(-1))
+            out = F.when((n > 0) & (F.slice(a, start, F.greatest(n, F.lit(0))) == F.slice(b, start, F.greatest(n, F.lit(0)))), n).otherwise(out)
+        return out
+
+    cut = lambda x, t: F.slice(x, t["front"] + 1, F.size(x) - t["front"] - t["back"])
+    # through arrays of one, so that each part is made once
+    ends = F.array(F.struct(same(1).alias("front"), same(-1).alias("back")))
+    middles = F.transform(ends, lambda t: F.struct(cut(a, t).alias("a"), cut(b, t).alias("b")))
+    return F.exists(middles, lambda t: within_edits(t["a"], t["b"], edits))
+
+
 def meetings(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """(key, name, index, n) from (name, _wide): names that share a key, how many they are, and whether the name is an
     entry of the index there.
@@ -233,7 +252,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame, total: int, edits: int, min
             some, all_of_them = (sum(x[1:], x[0]) <= 2 * _GRAM * edits for x in (changed[: _GRAM_WORDS // 4], changed))
             # the index holds the segments of the shorter line of a pair, which may be either
             comes_first = (q["first"] < p["first"]) & (p["line"] != q["line"]) & (p["index"] | q["index"])
-            return comes_first & some & all_of_them & within_edits(q["chars"], p["chars"], edits)
+            return comes_first & some & all_of_them & within_edits_trimmed(q["chars"], p["chars"], edits)
 
         return F.exists("earlier", witness)
 
