@@ -423,12 +423,15 @@ def clustered_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _in_increments(spark: SparkSession, sf: str) -> str:
-    """The table in three runs: odd years, even years with wrong scores, and the months of the even years once more."""
+    """The table in three runs: odd years, even years with wrong scores, and the months of the even years once more.
+
+    Scores that do not convert stay as they are: a month without a row to keep would replace nothing."""
     output = scratch_folder(spark, "job")
     feed = comment_feed(spark, sf)
     year = F.year(F.timestamp_add("SECOND", F.col(DEFAULT.event_time).try_cast("bigint"), F.lit("1970-01-01").cast("timestamp_ntz")))
     even = F.coalesce(year % 2 == 0, F.lit(True))
-    wrong = feed.filter(even).withColumn(DEFAULT.score, F.lit("99"))
+    score = F.col(DEFAULT.score)
+    wrong = feed.filter(even).withColumn(DEFAULT.score, F.when(score.try_cast("double").isNotNull(), "99").otherwise(score))
     for part, mode in ((feed.filter(~even), "overwrite"), (wrong, "append"), (feed.filter(even), "overwrite_months")):
         source = scratch_folder(spark, "feed")
         write_feed_json(part, source)
